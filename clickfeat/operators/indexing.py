@@ -25,3 +25,17 @@ def with_global_index(df: DataFrame, order_cols: list, name: str = "idx") -> Dat
     out = s.join(F.broadcast(offsets), "_pid")
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
     return out.withColumn(name, (F.col("_off") + local).cast("bigint")).drop("_pid", "_mid", "_off")
+
+
+def rank_within(df: DataFrame, group_cols: list, order_cols: list, name: str = "rank") -> DataFrame:
+    """0-based position of each row inside its group, by ``order_cols``.
+
+    Equal to row_number()-1 over (partition by group order by order), but a
+    hot group is never sorted in one task: the global index is distributed and
+    the group's first index comes from a partial aggregate.
+    """
+    idx = with_global_index(df, list(group_cols) + list(order_cols), "_gidx")
+    first = idx.groupBy(*group_cols).agg(F.min("_gidx").alias("_gfirst"))
+    return (idx.join(first, [c for c in group_cols], "inner")
+               .withColumn(name, F.col("_gidx") - F.col("_gfirst"))
+               .drop("_gidx", "_gfirst"))
