@@ -43,8 +43,8 @@ def write_clicks_csv(clicks: DataFrame, path: str, mode: str = "overwrite") -> N
     clicks.write.mode(mode).option("quoteAll", "false").csv(path)
 
 
-def sentence_lines(sentences: DataFrame, col: str = "sentence") -> DataFrame:
-    return sentences.select(F.col(col).alias("value"))
+def sentence_lines(sentences: DataFrame, col: str = "sentence", keep: list[str] | None = None) -> DataFrame:
+    return sentences.select(*(keep or []), F.col(col).alias("value"))
 
 
 def write_sentences(sentences: DataFrame, path: str, col: str = "sentence", mode: str = "overwrite") -> None:

@@ -130,8 +130,8 @@ def parse_training_points(lines: DataFrame, n_features: int = 11) -> DataFrame:
 
 # --------------------------------------------------------------- sentences
 def parse_sentences(lines: DataFrame) -> DataFrame:
-    """Split on single spaces (empty tokens kept, as written)."""
-    return lines.select(F.split("value", " ", -1).alias("words"))
+    """Split on single spaces (empty tokens kept, as written); other columns kept."""
+    return lines.select(*[c for c in lines.columns if c != "value"], F.split("value", " ", -1).alias("words"))
 
 
 # --------------------------------------------------------------- synonyms (JSON lines)
