@@ -27,15 +27,25 @@ def with_global_index(df: DataFrame, order_cols: list, name: str = "idx") -> Dat
     return out.withColumn(name, (F.col("_off") + local).cast("bigint")).drop("_pid", "_mid", "_off")
 
 
-def rank_within(df: DataFrame, group_cols: list, order_cols: list, name: str = "rank") -> DataFrame:
+def rank_within(df: DataFrame, group_cols: list, order_cols: list, name: str = "rank",
+                chunk_width: int = 100000) -> DataFrame:
     """0-based position of each row inside its group, by ``order_cols``.
 
-    Equal to row_number()-1 over (partition by group order by order), but a
-    hot group is never sorted in one task: the global index is distributed and
-    the group's first index comes from a partial aggregate.
+    Equal to row_number()-1 over (partition by group order by order), but a hot
+    group is never sorted in one task.  The first order column must be an
+    integer that is unique inside a group (a file position, an index): rows are
+    cut into chunks floor(order / chunk_width) -- at most ``chunk_width`` rows
+    each -- counted per (group, chunk), the counts prefix-summed per group (a
+    table of at most rows/chunk_width + groups rows), and the row number inside
+    a chunk comes from a window bounded by the chunk.
     """
-    idx = with_global_index(df, list(group_cols) + list(order_cols), "_gidx")
-    first = idx.groupBy(*group_cols).agg(F.min("_gidx").alias("_gfirst"))
-    return (idx.join(first, [c for c in group_cols], "inner")
-               .withColumn(name, F.col("_gidx") - F.col("_gfirst"))
-               .drop("_gidx", "_gfirst"))
+    first = order_cols[0]
+    d = df.withColumn("_ch", F.floor(F.col(first) / chunk_width))
+    cnt = d.groupBy(*group_cols, "_ch").agg(F.count(F.lit(1)).alias("_cn"))
+    wg = Window.partitionBy(*group_cols).orderBy("_ch").rowsBetween(Window.unboundedPreceding, -1)
+    before = cnt.select(*group_cols, "_ch", F.coalesce(F.sum("_cn").over(wg), F.lit(0)).alias("_cb"))
+    wc = Window.partitionBy(*group_cols, "_ch").orderBy(*order_cols)
+    return (d.withColumn("_rn", F.row_number().over(wc))
+             .join(before, list(group_cols) + ["_ch"])
+             .withColumn(name, (F.col("_cb") + F.col("_rn") - 1).cast("bigint"))
+             .drop("_ch", "_rn", "_cb"))
