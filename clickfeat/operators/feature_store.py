@@ -31,15 +31,20 @@ def _prefix_map() -> F.Column:
     return F.create_map(*entries)
 
 
-def feature_store(counters: DataFrame) -> DataFrame:
-    """Tall counters -> (feature_key, feature_value); clicks and impressions
-    become two rows each (stack), prefix per (kind, measure)."""
+def counter_pairs(counters: DataFrame) -> DataFrame:
+    """Tall counters -> (prefix, key, value): clicks and impressions become two
+    rows each (stack), prefix per (kind, measure)."""
     s = counters.select(
         "kind", _key_expr().alias("key"),
         F.expr("stack(2, 'clicks', clicks, 'impressions', impressions) as (measure, value)"))
     prefix = F.element_at(_prefix_map(), F.concat_ws("|", "kind", "measure"))
-    return s.select(F.concat_ws("_", prefix, F.col("key")).alias("feature_key"),
-                    F.col("value").cast("bigint").alias("feature_value"))
+    return s.select(prefix.alias("prefix"), "key", F.col("value").cast("bigint").alias("value"))
+
+
+def feature_store(counters: DataFrame) -> DataFrame:
+    """(feature_key = prefix_key, feature_value)."""
+    p = counter_pairs(counters)
+    return p.select(F.concat_ws("_", "prefix", "key").alias("feature_key"), F.col("value").alias("feature_value"))
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str = "feature_key") -> DataFrame:

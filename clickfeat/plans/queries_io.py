@@ -1 +1,110 @@
-"""(filled in below)"""
+"""Source/sink round trips over text columns (files are tested in pytest)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from clickfeat.operators.counters import all_counters
+from clickfeat.operators.enrichment import training_vectors
+from clickfeat.operators.feature_store import counter_pairs, feature_store
+from clickfeat.plans.queries_counters import ALL_COUNTERS_SQL_BODY, TRAINING_SQL_BODY, _store_sql
+from clickfeat.plans.registry import register, sql_with
+from clickfeat.schemas import CLICK_COLUMNS, FEATURE_COLUMNS
+from clickfeat.sinks.files import clicks_csv_lines, training_tuple_lines, tuple_pair_lines
+from clickfeat.sources.files import (parse_clicks, parse_training_points, parse_tuple_pairs, parse_users,
+                                     rejected_clicks, valid_click_lines)
+from clickfeat.sources.fixtures import click_view, user_view
+
+CLICK_CSV_SQL = ("concat_ws(',', device_ip, device_id, session_id, query, ad_id, campaign_id, cat_match, clicked)")
+
+
+@register("export_clicks_csv", sql_with(["click"], f"SELECT {CLICK_CSV_SQL} AS value FROM click"))
+def q_export_clicks_csv(spark, sf_dir):
+    return clicks_csv_lines(click_view(spark, sf_dir))
+
+
+@register("scan_clicks", sql_with(["click"], """SELECT CAST(device_ip AS VARCHAR) AS device_ip, CAST(device_id AS VARCHAR)
+AS device_id, session_id, query, CAST(ad_id AS VARCHAR) AS ad_id, CAST(campaign_id AS VARCHAR) AS campaign_id,
+cat_match, clicked FROM click"""))
+def q_scan_clicks(spark, sf_dir):
+    return parse_clicks(clicks_csv_lines(click_view(spark, sf_dir)))
+
+
+@register("rejected_clicks", sql_with(["click"], "SELECT count(*) AS n_rejected FROM click WHERE false"))
+def q_rejected_clicks(spark, sf_dir):
+    return rejected_clicks(clicks_csv_lines(click_view(spark, sf_dir))).agg(F.count(F.lit(1)).alias("n_rejected"))
+
+
+@register("valid_clicks", sql_with(["click"], f"SELECT {CLICK_CSV_SQL} AS value FROM click "
+                                   f"WHERE len(string_split({CLICK_CSV_SQL}, ',')) >= 8"))
+def q_valid_clicks(spark, sf_dir):
+    c = click_view(spark, sf_dir)
+    lines = c.select(F.concat_ws(",", *[F.col(x).cast("string") for x in CLICK_COLUMNS]).alias("value"))
+    return valid_click_lines(lines)
+
+
+@register("blank_guard", sql_with(["click"], """SELECT * FROM click WHERE trim(query) <> ''
+AND trim(CAST(ad_id AS VARCHAR)) <> '' AND trim(CAST(campaign_id AS VARCHAR)) <> ''"""))
+def q_blank_guard(spark, sf_dir):
+    c = click_view(spark, sf_dir)
+    ok = None
+    for col in ("query", "ad_id", "campaign_id"):
+        cond = F.trim(F.col(col).cast("string")) != ""
+        ok = cond if ok is None else ok & cond
+    return c.where(ok)
+
+
+@register("scan_users", sql_with(["usr"], """SELECT CAST(ip AS VARCHAR) AS ip, CAST(i - 1 AS INTEGER) AS idx,
+CAST(devices[i] AS VARCHAR) AS device_id FROM usr, LATERAL (SELECT unnest(range(1, 6)) AS i)"""))
+def q_scan_users(spark, sf_dir):
+    u = user_view(spark, sf_dir)
+    lines = u.select(F.concat_ws(",", F.col("ip").cast("string"),
+                                 F.array_join(F.transform("devices", lambda d: d.cast("string")), ",")).alias("value"),
+                     "pos")
+    p = parse_users(lines)
+    return p.select("ip", F.posexplode("devices").alias("idx", "device_id"))
+
+
+@register("user_count", sql_with(["usr"], "SELECT count(*) AS n_users FROM usr"))
+def q_user_count(spark, sf_dir):
+    return user_view(spark, sf_dir).agg(F.count(F.lit(1)).alias("n_users"))
+
+
+@register("scan_counters", sql_with(["click"], _store_sql("cnt"), [f"cnt AS ({ALL_COUNTERS_SQL_BODY})"]))
+def q_scan_counters(spark, sf_dir):
+    """Counters written as legacy tuple text per store prefix, read back and keyed."""
+    pairs = counter_pairs(all_counters(click_view(spark, sf_dir)))
+    parsed = parse_tuple_pairs(tuple_pair_lines(pairs, "key", "value", keep=["prefix"]))
+    return parsed.select(F.concat_ws("_", "prefix", "key").alias("feature_key"),
+                         F.col("value").alias("feature_value"))
+
+
+@register("export_features_jsonl", sql_with(["click"], "SELECT to_json({'feature_key': feature_key, 'feature_value': "
+                                            "feature_value})::VARCHAR AS value FROM st", [
+                                                f"cnt AS ({ALL_COUNTERS_SQL_BODY})", f"st AS ({_store_sql('cnt')})"]))
+def q_export_features_jsonl(spark, sf_dir):
+    store = feature_store(all_counters(click_view(spark, sf_dir)))
+    return store.select(F.to_json(F.struct("feature_key", "feature_value")).alias("value"))
+
+
+TRAIN_POINTS_SQL = ("SELECT CAST(label AS DOUBLE) AS label, "
+                    + ", ".join(f"CAST({c} AS DOUBLE) AS f{i}" for i, c in enumerate(FEATURE_COLUMNS)) + " FROM tv")
+
+
+@register("scan_training", sql_with(["click"], TRAIN_POINTS_SQL, [f"tv AS ({TRAINING_SQL_BODY})"]))
+def q_scan_training(spark, sf_dir):
+    tv = training_vectors(click_view(spark, sf_dir))
+    return parse_training_points(training_tuple_lines(tv, FEATURE_COLUMNS))
+
+
+@register("parse_features", sql_with(["click"], "SELECT count(*) AS n_ok, 0 AS n_rejected FROM tv",
+                                     [f"tv AS ({TRAINING_SQL_BODY})"]))
+def q_parse_features(spark, sf_dir):
+    tv = training_vectors(click_view(spark, sf_dir))
+    p = parse_training_points(training_tuple_lines(tv, FEATURE_COLUMNS))
+    bad = None
+    for c in ["label"] + [f"f{i}" for i in range(len(FEATURE_COLUMNS))]:
+        cond = F.col(c).isNull()
+        bad = cond if bad is None else bad | cond
+    return p.agg(F.sum((~bad).cast("int")).cast("bigint").alias("n_ok"),
+                 F.sum(bad.cast("int")).cast("int").alias("n_rejected"))

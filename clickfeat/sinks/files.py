@@ -91,3 +91,25 @@ def read_feature_store(spark: SparkSession, base: str) -> DataFrame:
 def write_lr_model_json(model_row: DataFrame, path: str) -> None:
     """One-row (weights array<double>, bias double) -> JSON."""
     model_row.coalesce(1).write.mode("overwrite").json(path)
+
+
+def _py_quote(col) -> F.Column:
+    """Quote a string the way Python's repr does for plain text: single quotes,
+    or double quotes when the text holds a single quote (and no double quote)."""
+    c = F.col(col) if isinstance(col, str) else col
+    dq = F.instr(c, "'") > 0
+    return F.when(dq & (F.instr(c, '"') == 0), F.concat(F.lit('"'), c, F.lit('"'))) \
+            .otherwise(F.concat(F.lit("'"), F.regexp_replace(c, "'", "\\\\'"), F.lit("'")))
+
+
+def tuple_pair_lines(df: DataFrame, key_col: str, value_col: str, keep: list[str] | None = None) -> DataFrame:
+    """Legacy text form of a (key, count) pair: ``('key', 12)``."""
+    return df.select(*(keep or []), F.concat(F.lit("("), _py_quote(F.col(key_col).cast("string")), F.lit(", "),
+                              F.col(value_col).cast("string"), F.lit(")")).alias("value"))
+
+
+def training_tuple_lines(vectors: DataFrame, feature_cols: list[str], label_col: str = "label") -> DataFrame:
+    """Legacy text form of a training row: ``('f1,...,f11', label)``."""
+    feats = F.concat_ws(",", *[F.col(c).cast("string") for c in feature_cols])
+    return vectors.select(F.concat(F.lit("('"), feats, F.lit("', "), F.col(label_col).cast("string"),
+                                   F.lit(")")).alias("value"))

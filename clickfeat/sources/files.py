@@ -100,7 +100,10 @@ def parse_tuple_pairs(lines: DataFrame) -> DataFrame:
     m = F.regexp_extract("value", r"^\s*\((.*),\s*(-?\d+)\s*\)\s*$", 1)
     v = F.regexp_extract("value", r"^\s*\((.*),\s*(-?\d+)\s*\)\s*$", 2)
     key = F.regexp_replace(F.trim(m), r"""^[uU]?(['"])(.*)\1$""", "$2")
-    return lines.select(key.alias("key"), v.cast("bigint").alias("value")).where(F.col("value").isNotNull())
+    key = F.regexp_replace(key, r"\\'", "'")
+    others = [c for c in lines.columns if c != "value"]
+    return (lines.select(*others, key.alias("key"), v.try_cast("bigint").alias("value"))
+                 .where(F.col("value").isNotNull()))
 
 
 def read_counter_dirs(spark: SparkSession, dirs: dict[str, str]) -> DataFrame:
