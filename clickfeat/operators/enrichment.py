@@ -11,8 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from clickfeat.operators.counters import KIND_KEYS, all_counters, counters_of_kind
-from clickfeat.operators.lookup import salted_left_join
+from clickfeat.operators.lookup import lookup_join, salted_left_join
 from clickfeat.schemas import FEATURE_COLUMNS, MATCH_SCALE
+from clickfeat.session import materialize
 
 _PREFIX = {"device_ip": "ip", "device_id": "device", "ad": "ad", "query_campaign": "qc", "query_ad": "qa"}
 
@@ -23,21 +24,28 @@ def match_feature(col="cat_match") -> F.Column:
 
 
 def training_vectors(clicks: DataFrame, counters: DataFrame | None = None,
-                     salted: bool = True, max_hot_keys: int = 10000, salts: int = 64) -> DataFrame:
+                     salted: bool | str = True, max_hot_keys: int = 10000, salts: int = 64) -> DataFrame:
     """Click rows + 11 features (FEATURE_COLUMNS order) + label.
 
     ``counters`` defaults to all_counters(clicks) (features counted on the same
     rows they label, as published); pass counters of another log to avoid that.
+    ``salted``: True = broadcast behind a size check, else salted shuffle join;
+    "always" = salted shuffle join; False = plain join (AQE decides).
     """
     if counters is None:
-        counters = all_counters(clicks)
+        # The counters are the published stage output: write them once as a
+        # table partitioned by kind, so the five lookups read one small table
+        # (not the log again) and each kind has a measured size.
+        counters = materialize(all_counters(clicks), "counters", partition_by=["kind"])
     out = clicks
     for kind, keys in KIND_KEYS.items():
         p = _PREFIX[kind]
         cnt = counters_of_kind(counters, kind).select(
             *keys, F.col("clicks").alias(f"{p}_clicks"), F.col("impressions").alias(f"{p}_impressions"))
-        if salted:
+        if salted == "always":
             out = salted_left_join(out, cnt, keys, f"{p}_impressions", max_hot_keys, salts)
+        elif salted:
+            out = lookup_join(out, cnt, keys, f"{p}_impressions", max_hot_keys, salts)
         else:
             out = out.join(cnt, keys, "left")
     filled = [F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in FEATURE_COLUMNS[:-1]]

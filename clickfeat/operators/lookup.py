@@ -19,6 +19,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from clickfeat.session import broadcast_limit, estimated_bytes
+
 
 def salted_left_join(big: DataFrame, small: DataFrame, keys: list[str], freq_col: str,
                      max_hot_keys: int = 10000, salts: int = 64) -> DataFrame:
@@ -34,3 +36,18 @@ def salted_left_join(big: DataFrame, small: DataFrame, keys: list[str], freq_col
                                               .otherwise(F.array(F.lit(0)))))
               .drop("_hot"))
     return b.join(s, keys + ["_salt"], "left").drop("_salt")
+
+
+def lookup_join(big: DataFrame, small: DataFrame, keys: list[str], freq_col: str,
+                max_hot_keys: int = 10000, salts: int = 64, limit: int | None = None) -> DataFrame:
+    """LEFT JOIN ``small`` (unique on ``keys``) onto ``big``.
+
+    Broadcast only behind a size check: when Catalyst's estimate of ``small``
+    (measured file sizes of a materialised table) is within the broadcast
+    threshold, the big side is not shuffled at all.  Beyond it, the salted
+    shuffle join spreads hot keys over ``salts`` tasks.
+    """
+    lim = broadcast_limit(big.sparkSession) if limit is None else limit
+    if 0 < estimated_bytes(small) <= lim:
+        return big.join(F.broadcast(small), keys, "left")
+    return salted_left_join(big, small, keys, freq_col, max_hot_keys, salts)

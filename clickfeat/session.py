@@ -61,3 +61,34 @@ def cut_lineage(df):
     """Materialise ``df`` in the reliable checkpoint folder (never localCheckpoint)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize(df, name: str, partition_by: list[str] | None = None):
+    """Write ``df`` as a parquet table under the reliable checkpoint folder and
+    read it back.  Unlike checkpoint(), the file index gives Catalyst a measured
+    size (and partition pruning), which the broadcast decisions rely on."""
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    w = df.write.mode("errorifexists")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    return spark.read.parquet(path)
+
+
+def estimated_bytes(df) -> int:
+    """Catalyst's size estimate of ``df`` (file sizes for parquet scans, after
+    partition pruning); huge when unknown."""
+    v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(v) if isinstance(v, int) else int(v.toString())
+
+
+def broadcast_limit(spark) -> int:
+    v = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    try:
+        n = int(v)
+    except ValueError:
+        n = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(v))
+    return n
