@@ -21,6 +21,8 @@ DEFAULT_CONF = {
     # at Spark's default and is only used when file statistics prove the size.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
+    # reliable checkpoints of intermediate tables are removed once unreferenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
