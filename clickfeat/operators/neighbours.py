@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from clickfeat.operators.indexing import with_global_index
+from clickfeat.session import materialize
 
 
 def _block_topk(k: int):
@@ -50,6 +51,7 @@ def top_k_cosine(vectors: DataFrame, id_col: str, vec_col: str, k: int = 5,
     v = vectors.select(F.col(id_col).cast("bigint").alias("id"),
                        F.col(vec_col).cast("array<double>").alias("vec"))
     v = with_global_index(v, ["id"], "_i").withColumn("_b", F.floor(F.col("_i") / block_rows).cast("int"))
+    v = materialize(v.drop("_i"), "vector_blocks")   # read twice (query and candidate sides)
     nb = v.agg(F.max("_b") + 1).scalar()
     blocks = F.sequence(F.lit(0), nb - 1)
     q = v.select(F.col("id").alias("qid"), F.col("vec").alias("qvec"), F.col("_b").alias("qb"),

@@ -28,7 +28,7 @@ from clickfeat.functions.random import hash_uniform, pick_index
 from clickfeat.operators import catalogue as cat
 from clickfeat.operators.indexing import rank_within, with_global_index
 from clickfeat.operators.intervals import interval_lookup
-from clickfeat.session import cut_lineage
+from clickfeat.session import cut_lineage, materialize
 
 G, C, A = "query_group_id", "campaign_id", "ad_id"
 
@@ -84,14 +84,16 @@ def weighted_draw(probes: DataFrame, buckets: DataFrame, keys: list[str], u_col:
 
 
 def campaign_buckets(ads: DataFrame) -> DataFrame:
-    """Campaign buckets per group, campaigns in first-appearance order."""
-    cw = cat.campaign_weights(ads).select(G, C, "first_pos", "weight")
-    return weighted_buckets(cw, [G], "first_pos", "weight")
+    """Campaign buckets per group, campaigns in first-appearance order.  The
+    weights and the buckets are catalogue-sized tables read by several
+    branches: each is written once (parquet in the checkpoint folder)."""
+    cw = materialize(cat.campaign_weights(ads).select(G, C, "first_pos", "weight"), "campaign_weights")
+    return materialize(weighted_buckets(cw, [G], "first_pos", "weight"), "campaign_buckets")
 
 
 def ad_buckets(ads: DataFrame) -> DataFrame:
-    aw = cat.ad_weights(ads).select(G, C, A, "pos", "weight")
-    return weighted_buckets(aw, [G, C], "pos", "weight")
+    aw = materialize(cat.ad_weights(ads).select(G, C, A, "pos", "weight"), "ad_weights")
+    return materialize(weighted_buckets(aw, [G, C], "pos", "weight"), "ad_buckets")
 
 
 def cumulative_weights(ads: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickfeat.operators.indexing import with_global_index
+from clickfeat.session import cut_lineage
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,7 +79,7 @@ def synonym_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = ads.select(F.element_at(F.split("query", " ", -1), 1).alias("word")).distinct()
     # "next word in alphabetical order" = global index + equi-joins on idx+1, idx+2
     # (no single-task window over the vocabulary).
-    idx = with_global_index(words, ["word"], "i")
+    idx = cut_lineage(with_global_index(words, ["word"], "i"))
     n1 = idx.select((F.col("i") - 1).alias("i"), F.col("word").alias("n1"))
     n2 = idx.select((F.col("i") - 2).alias("i"), F.col("word").alias("n2"))
     nxt = idx.join(n1, "i", "left").join(n2, "i", "left")
