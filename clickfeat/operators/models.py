@@ -1,7 +1,7 @@
 """CTR models on the training vectors (pyspark.ml).
 
-The assembled training set is cut from its lineage (reliable checkpoint in
-spark.checkpoint.dir) before fitting, so the iterative solvers re-read a
+The assembled training set is cut from its lineage (a parquet table in
+spark.checkpoint.dir, partitioned by the split flag) before fitting, so the iterative solvers re-read a
 materialised table instead of re-running the five enrichment joins, and a lost
 executor costs a re-read, not a recomputation.
 """
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickfeat.functions.random import hash_uniform
 from clickfeat.schemas import FEATURE_COLUMNS
-from clickfeat.session import checkpoint_dir, cut_lineage
+from clickfeat.session import checkpoint_dir, materialize
 
 # Published solver settings.
 LR_MAX_ITER = 100
@@ -95,9 +95,18 @@ def gbt_summary(spark: SparkSession, model: GBTClassificationModel) -> DataFrame
         "num_trees int, total_nodes int, debug_chars int, feature_importances array<double>")
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Iterative solvers run one task per partition per iteration: make sure the
+    training set has at least the cluster's default parallelism (a small input
+    file can arrive as one partition).  Large inputs are left as they are."""
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def materialised_split(vectors: DataFrame, key_cols: list[str], seed: int = 42):
-    """Assembled train/test sets, checkpointed once."""
-    assembled = cut_lineage(split_flag(assemble(vectors, keep=key_cols), key_cols, seed))
+    """Assembled train/test sets, spread over the cluster and checkpointed once."""
+    assembled = materialize(spread(split_flag(assemble(vectors, keep=key_cols), key_cols, seed)),
+                            "training_set", partition_by=["is_train"])
     return (assembled.where(F.col("is_train") == 1).drop("is_train"),
             assembled.where(F.col("is_train") == 0).drop("is_train"))
 
