@@ -6,12 +6,14 @@ A plain shuffle join would put all of those rows in one task.  Here:
 1. Hot keys are those whose known frequency exceeds total/max_hot_keys.  As
    frequencies sum to ``total``, fewer than ``max_hot_keys`` keys qualify, so
    the hot-key set has a proven size bound and is broadcast.
-2. Fact rows of hot keys get a salt 0..salts-1 (round robin); the keyed side
-   replicates each hot key's row ``salts`` times.  Cold keys use salt 0.
+2. Fact rows of hot keys get a salt 0..salts-1 from a hash of the row's own
+   columns (deterministic, so a retried task routes every row the same way);
+   the keyed side replicates each hot key's row ``salts`` times.  Cold keys
+   use salt 0.
 3. One shuffle join on (key, salt): a hot key is spread over ``salts`` tasks.
 
 Every salt replica carries the same values, so the result never depends on
-which salt a row gets (task retries and lost executors cannot change it).
+which salt a row gets.
 Spark's AQE skew-join split stays enabled as a second line of defence.
 """
 
@@ -27,8 +29,9 @@ def salted_left_join(big: DataFrame, small: DataFrame, keys: list[str], freq_col
     total = small.agg(F.sum(freq_col)).scalar()
     hot = (small.where(F.col(freq_col) > total / F.lit(float(max_hot_keys)))
                 .select(*keys).withColumn("_hot", F.lit(True)))
+    row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
     b = (big.join(F.broadcast(hot), keys, "left")
-            .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.monotonically_increasing_id(), F.lit(salts)))
+            .withColumn("_salt", F.when(F.col("_hot"), F.pmod(row_hash, F.lit(salts)))
                                   .otherwise(F.lit(0)).cast("int"))
             .drop("_hot"))
     s = (small.join(F.broadcast(hot), keys, "left")
