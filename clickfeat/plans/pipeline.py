@@ -1,0 +1,148 @@
+"""End-to-end stage plans over files (the published order of stages).
+
+    catalogue  ads JSON lines -> weights, ordered maps (parquet + JSON-lines maps)
+    corpus     ads -> sentence text
+    embeddings sentences -> Word2Vec model, vectors, top-5 synonyms (JSON lines)
+    rewrites   synonyms + ad queries -> rewrites (JSON lines)
+    counters   click log -> ten counters (one pass) -> published feature store (keyed upsert)
+    training   click log + counters -> training vectors (parquet)
+    models     training vectors -> LR (+ JSON weights) and GBT, test errors
+
+Every stage reads what the previous one wrote (parquet / text in ``out_dir``),
+so a stage can be re-run alone; nothing passes through the driver.
+
+usage: python -m clickfeat.plans.pipeline --dir OUT --ads ADS.jsonl [--clicks CLICKS_CSV] [--stages ...]
+"""
+
+from __future__ import annotations
+
+import argparse
+import json
+
+from pyspark.sql import SparkSession, functions as F
+
+from clickfeat.operators import catalogue as cat
+from clickfeat.operators import models as ml
+from clickfeat.operators import text as tx
+from clickfeat.operators.counters import all_counters
+from clickfeat.operators.enrichment import training_vectors
+from clickfeat.operators.feature_store import feature_store
+from clickfeat.operators.neighbours import word_neighbours
+from clickfeat.operators.rewrites import rewrites
+from clickfeat.operators.word2vec import fit_word2vec, word_vectors
+from clickfeat.schemas import AD, AD_REQUIRED_SENTENCES, AD_REQUIRED_WEIGHTS
+from clickfeat.sinks import files as sinks
+from clickfeat.sources import files as src
+
+STAGES = ["catalogue", "corpus", "embeddings", "rewrites", "counters", "training", "models"]
+KEY = ["session_id", "device_id", "ad_id"]
+
+
+def _p(out_dir: str, name: str) -> str:
+    return f"{out_dir.rstrip('/')}/{name}"
+
+
+def stage_catalogue(spark: SparkSession, ads_path: str, out_dir: str, ad_schema=AD) -> None:
+    ads = cat.normalise(src.read_ads(spark, ads_path, ad_schema, AD_REQUIRED_WEIGHTS))
+    ads = cat.dedupe_last(ads)
+    sinks.write_parquet(ads, _p(out_dir, "ads"))
+    ads = spark.read.parquet(_p(out_dir, "ads"))
+    sinks.write_parquet(cat.quarantined(ads), _p(out_dir, "ads_quarantined"))
+    sinks.write_parquet(cat.ad_weights(ads), _p(out_dir, "ad_weights"))
+    sinks.write_parquet(cat.campaign_weights(ads), _p(out_dir, "campaign_weights"))
+    sinks.write_parquet(cat.campaign_category(ads), _p(out_dir, "campaign_category"))
+    sinks.write_parquet(cat.group_queries(ads), _p(out_dir, "group_queries"))
+    sinks.write_nested_map(cat.group_campaign_ads(ads), _p(out_dir, "group_campaign_ads_map"))
+    sinks.write_parquet(cat.campaign_ads(ads), _p(out_dir, "campaign_ads"))
+    sinks.write_parquet(cat.campaign_ads_reset(ads), _p(out_dir, "campaign_ads_reset"))
+
+
+def stage_corpus(spark: SparkSession, ads_path: str, out_dir: str, ad_schema=AD) -> None:
+    ads = src.read_ads(spark, ads_path, ad_schema, AD_REQUIRED_SENTENCES)
+    sinks.write_sentences(tx.sentences(ads), _p(out_dir, "sentences"))
+
+
+def stage_embeddings(spark: SparkSession, out_dir: str, num_partitions: int = 1) -> None:
+    words = tx.sentence_words(spark.read.text(_p(out_dir, "sentences")).withColumnRenamed("value", "sentence"))
+    model = fit_word2vec(words, num_partitions=num_partitions)
+    model.write().overwrite().save(_p(out_dir, "word2vec_model"))
+    vec = word_vectors(model)
+    sinks.write_parquet(vec, _p(out_dir, "word_vectors"))
+    nb = word_neighbours(spark.read.parquet(_p(out_dir, "word_vectors")), k=5)
+    syn = nb.groupBy("word").agg(F.array_sort(F.collect_list(F.struct("rank", "synonym"))).alias("_s"))
+    syn = syn.select("word", F.transform("_s", lambda s: s["synonym"]).alias("synonyms"))   # <= 5 per word
+    sinks.write_jsonl(syn, _p(out_dir, "synonyms"))
+
+
+def stage_rewrites(spark: SparkSession, ads_path: str, out_dir: str, lowercase: bool = False,
+                   ad_schema=AD) -> None:
+    syn = src.parse_synonyms(src.read_lines(spark, _p(out_dir, "synonyms"), positions=True))
+    ads = src.read_ads(spark, ads_path, ad_schema, ["query"])
+    sinks.write_jsonl(rewrites(ads, syn, lowercase=lowercase), _p(out_dir, "rewrites"))
+
+
+def stage_counters(spark: SparkSession, clicks_path: str, out_dir: str) -> None:
+    clicks = src.read_clicks(spark, clicks_path)
+    sinks.write_parquet(all_counters(clicks), _p(out_dir, "counters"))
+    store = feature_store(spark.read.parquet(_p(out_dir, "counters")))
+    sinks.publish_feature_store(spark, store, _p(out_dir, "feature_store"))
+
+
+def stage_training(spark: SparkSession, clicks_path: str, out_dir: str) -> None:
+    clicks = src.read_clicks(spark, clicks_path)
+    counters = spark.read.parquet(_p(out_dir, "counters"))
+    sinks.write_parquet(training_vectors(clicks, counters=counters), _p(out_dir, "training_vectors"))
+
+
+def stage_models(spark: SparkSession, out_dir: str, gbt_iterations: int = ml.GBT_MAX_ITER) -> dict:
+    tv = spark.read.parquet(_p(out_dir, "training_vectors"))
+    train, test = ml.materialised_split(tv, KEY)
+    lr = ml.fit_lr(train)
+    lr.write().overwrite().save(_p(out_dir, "lr_model"))
+    sinks.write_lr_model_json(ml.lr_model_row(spark, lr), _p(out_dir, "lr_weights_json"))
+    gbt = ml.fit_gbt(train, gbt_iterations)
+    gbt.write().overwrite().save(_p(out_dir, "gbt_model"))
+    lr_err = ml.test_error(lr.transform(test)).first()
+    gbt_err = ml.test_error(gbt.transform(test)).first()
+    return {"lr_test_error": lr_err.test_error, "gbt_test_error": gbt_err.test_error, "n_test": lr_err.n_test}
+
+
+def run(spark: SparkSession, out_dir: str, ads_path: str | None = None, clicks_path: str | None = None,
+        stages: list[str] | None = None, gbt_iterations: int = ml.GBT_MAX_ITER, ad_schema=AD) -> dict:
+    result: dict = {}
+    for st in stages or STAGES:
+        if st == "catalogue":
+            stage_catalogue(spark, ads_path, out_dir, ad_schema)
+        elif st == "corpus":
+            stage_corpus(spark, ads_path, out_dir, ad_schema)
+        elif st == "embeddings":
+            stage_embeddings(spark, out_dir)
+        elif st == "rewrites":
+            stage_rewrites(spark, ads_path, out_dir, ad_schema=ad_schema)
+        elif st == "counters":
+            stage_counters(spark, clicks_path, out_dir)
+        elif st == "training":
+            stage_training(spark, clicks_path, out_dir)
+        elif st == "models":
+            result.update(stage_models(spark, out_dir, gbt_iterations))
+        else:
+            raise ValueError(f"unknown stage {st}")
+    return result
+
+
+def main(argv: list[str] | None = None) -> None:
+    from clickfeat.session import get_session
+
+    ap = argparse.ArgumentParser(description="clickfeat stage plans")
+    ap.add_argument("--dir", required=True, help="output folder (any Hadoop filesystem path)")
+    ap.add_argument("--ads", help="ad catalogue, JSON lines")
+    ap.add_argument("--clicks", help="click log, CSV without header")
+    ap.add_argument("--stages", nargs="*", default=STAGES, choices=STAGES)
+    ap.add_argument("--gbt-iterations", type=int, default=ml.GBT_MAX_ITER)
+    a = ap.parse_args(argv)
+    spark = get_session()
+    print(json.dumps(run(spark, a.dir, a.ads, a.clicks, a.stages, a.gbt_iterations)))
+
+
+if __name__ == "__main__":
+    main()
