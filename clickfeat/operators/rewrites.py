@@ -41,3 +41,40 @@ def rewrite_rows(rw: DataFrame) -> DataFrame:
     """(query_key, idx, rewrite) rows."""
     return rw.select("query_key", F.posexplode("rewrites").alias("idx", "rewrite")).select(
         "query_key", F.col("idx").cast("bigint").alias("idx"), "rewrite")
+
+
+def rewrite_rows_product(queries: DataFrame, synonyms: DataFrame, query_col: str = "query",
+                         lowercase: bool = False) -> DataFrame:
+    """(query_key, idx, rewrite) rows without building a per-query array.
+
+    The product is grown one term position at a time by joins with that
+    position's alternatives (the plan has as many steps as the longest query
+    has terms; that number is the only value read on the driver).  Each
+    partial rewrite carries its mixed-radix order ``ord = ord * n_alts + i``,
+    which is the order of the nested loops; duplicates keep their smallest
+    ``ord`` (a partial aggregate) and ``idx`` is the rank of ``ord`` inside the
+    query, chunked so that no task sorts a whole large product.
+    """
+    from clickfeat.operators.indexing import rank_within
+
+    q = queries.select(F.col(query_col).alias("query")).where(F.col("query").isNotNull()).distinct()
+    if lowercase:
+        q = q.select(F.lower("query").alias("query")).distinct()
+    terms = q.select("query", F.posexplode(tokens("query")).alias("ti", "term"))
+    syn = synonyms.select(F.col("word").alias("term"), F.col("synonyms").alias("alts"))
+    alts = (terms.join(syn, "term", "left")
+                 .select("query", "ti", F.coalesce("alts", F.array("term")).alias("alts"))
+                 .select("query", "ti", F.size("alts").alias("n"), F.posexplode("alts").alias("ai", "item")))
+    n_steps = terms.agg(F.max("ti")).first()[0]
+    rows = alts.where(F.col("ti") == 0).select("query", F.col("item").alias("s"), F.col("ai").cast("bigint").alias("ord"))
+    for t in range(1, (n_steps or 0) + 1):
+        step = alts.where(F.col("ti") == t).select("query", "n", "ai", "item")
+        rows = (rows.join(step, "query", "left")
+                    .select("query",
+                            F.when(F.col("item").isNull(), F.col("s"))
+                             .otherwise(F.concat("s", F.lit("_"), "item")).alias("s"),
+                            F.when(F.col("item").isNull(), F.col("ord"))
+                             .otherwise(F.col("ord") * F.col("n") + F.col("ai")).alias("ord")))
+    first = rows.groupBy("query", "s").agg(F.min("ord").alias("ord"))
+    ranked = rank_within(first, ["query"], ["ord"], "idx")
+    return ranked.select(query_key("query").alias("query_key"), "idx", F.col("s").alias("rewrite"))

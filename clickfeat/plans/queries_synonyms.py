@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from clickfeat.operators import text as tx
 from clickfeat.operators.neighbours import top_k_cosine, word_neighbours
-from clickfeat.operators.rewrites import rewrite_rows, rewrites
+from clickfeat.operators.rewrites import rewrite_rows_product, rewrites
 from clickfeat.operators.word2vec import fit_word2vec, word_vectors
 from clickfeat.plans.registry import register, sql_with
 from clickfeat.sources.files import parse_synonyms
@@ -76,7 +76,7 @@ REWRITE_CTES = SYN_CTES + [
                                      REWRITE_CTES))
 def q_query_rewrites(spark, sf_dir):
     syn = synonym_view(spark, sf_dir).select("word", F.array_append("synonyms", F.col("word")).alias("synonyms"))
-    return rewrite_rows(rewrites(ad_view(spark, sf_dir), syn))
+    return rewrite_rows_product(ad_view(spark, sf_dir), syn)
 
 
 @register("export_rewrites", sql_with(["syn"], """SELECT query_key, string_agg(rewrite, ',' ORDER BY idx) AS rewrites FROM (

@@ -64,3 +64,13 @@ def test_top_k_cosine_matches_brute_force_across_blocks(spark):
             got.setdefault(r.vec_id, []).append((r.rank, r.other_id))
         got = {k: [o for _, o in sorted(v)] for k, v in got.items()}
         assert got == expect
+
+
+def test_row_product_equals_array_product(spark):
+    from clickfeat.operators.rewrites import rewrite_rows, rewrite_rows_product
+    q = spark.createDataFrame([("a b c",), ("b",), ("c a",), ("a a",)], "query string")
+    syn = spark.createDataFrame([("a", ["x", "y", "a"]), ("c", ["b", "c"]), ("b", ["b"])],
+                                "word string, synonyms array<string>")
+    want = sorted(map(tuple, rewrite_rows(rewrites(q, syn)).collect()))
+    got = sorted(map(tuple, rewrite_rows_product(q, syn).collect()))
+    assert got == want
