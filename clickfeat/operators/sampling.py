@@ -142,9 +142,10 @@ def campaign_ad_index(ads: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def pick_ad_of_campaign(picks: DataFrame, ads: DataFrame, u_col: str, campaign_col: str = "neg_campaign",
-                        out_col: str = "neg_ad") -> DataFrame:
-    """Uniform ad of the picked campaign (all its ads, file order)."""
-    ca, n = campaign_ad_index(ads)
+                        out_col: str = "neg_ad", index=None) -> DataFrame:
+    """Uniform ad of the picked campaign (all its ads, file order).  ``index``:
+    a precomputed campaign_ad_index(ads) to share between callers."""
+    ca, n = index or campaign_ad_index(ads)
     p = (picks.join(n.withColumnRenamed(C, campaign_col), campaign_col)
               .withColumn("_i", pick_index(F.col(u_col), F.col("n_ads"))).drop("n_ads"))
     return (p.join(ca.select(F.col(C).alias(campaign_col), F.col("idx").alias("_i"), F.col(A).alias(out_col)),
@@ -219,7 +220,7 @@ def category_candidates(ads: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ negatives
-def neg_category(sources: DataFrame, ads: DataFrame, seed: int = 42) -> DataFrame:
+def neg_category(sources: DataFrame, ads: DataFrame, seed: int = 42, index=None) -> DataFrame:
     """Type 0: a campaign of another category that is not in the source's group
     (uniform, candidates in (category, first appearance) order), then a uniform
     ad of it; category match 0.  No candidate -> no row."""
@@ -253,12 +254,12 @@ def neg_category(sources: DataFrame, ads: DataFrame, seed: int = 42) -> DataFram
                               .otherwise(F.col("p") + F.col("m_k")))
     picked = hit.join(camps.select("P", F.col(C).alias("neg_campaign")), "P").select("src_ad_id", "neg_campaign")
     picked = picked.withColumn("u_ad", hash_uniform(seed, F.lit("cat_ad"), "src_ad_id"))
-    out = pick_ad_of_campaign(picked, ads, "u_ad")
+    out = pick_ad_of_campaign(picked, ads, "u_ad", index=index)
     return out.select("src_ad_id", F.col("neg_ad").alias(A), F.col("neg_campaign").alias(C),
                       F.lit(0).alias("cat_match"))
 
 
-def neg_campaign(sources: DataFrame, ads: DataFrame, seed: int = 42) -> DataFrame:
+def neg_campaign(sources: DataFrame, ads: DataFrame, seed: int = 42, index=None) -> DataFrame:
     """Type 1: a fair coin; heads -> another campaign of the same group (match 1),
     tails -> any (group, campaign) pair of another group (match 0), then a
     uniform ad of that campaign."""
@@ -290,7 +291,7 @@ def neg_campaign(sources: DataFrame, ads: DataFrame, seed: int = 42) -> DataFram
                 .select("src_ad_id", "neg_campaign", F.lit(0).alias("cat_match")))
 
     picked = heads.unionByName(tails).withColumn("u_ad", hash_uniform(seed, F.lit("camp_ad"), "src_ad_id"))
-    out = pick_ad_of_campaign(picked, ads, "u_ad")
+    out = pick_ad_of_campaign(picked, ads, "u_ad", index=index)
     return out.select("src_ad_id", F.col("neg_ad").alias(A), F.col("neg_campaign").alias(C), "cat_match")
 
 
@@ -325,9 +326,10 @@ def negative_rows(ads: DataFrame, sources: DataFrame | None = None, seed: int =
     multi = ads.groupBy(C).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(C)
     src = cut_lineage(sources.join(multi, C, "left_semi")
                              .withColumn("neg_type", negative_type(hash_uniform(seed, F.lit("type"), A))))
+    index = campaign_ad_index(ads)
     parts = [
-        neg_category(src.where(F.col("neg_type") == 0), ads, seed).withColumn("neg_type", F.lit(0)),
-        neg_campaign(src.where(F.col("neg_type") == 1), ads, seed).withColumn("neg_type", F.lit(1)),
+        neg_category(src.where(F.col("neg_type") == 0), ads, seed, index).withColumn("neg_type", F.lit(0)),
+        neg_campaign(src.where(F.col("neg_type") == 1), ads, seed, index).withColumn("neg_type", F.lit(1)),
         neg_lowest(src.where(F.col("neg_type") == 2), ads).withColumn("neg_type", F.lit(2)),
         neg_noclick(src.where(F.col("neg_type") == 3)).withColumn("neg_type", F.lit(3)),
     ]

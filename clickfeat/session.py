@@ -59,10 +59,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def cut_lineage(df):
-    """Materialise ``df`` in the reliable checkpoint folder (never localCheckpoint)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df, name: str = "ckpt"):
+    """Materialise ``df`` in the reliable checkpoint folder (never localCheckpoint).
+
+    Written as a parquet table: an eager RDD checkpoint computes its plan twice
+    (once for the count, once more to write the files) unless cached; a table
+    write computes it once and also gives Catalyst measured sizes."""
+    return materialize(df, name)
 
 
 def materialize(df, name: str, partition_by: list[str] | None = None):
