@@ -178,7 +178,7 @@ NESTED_SQL = """SELECT query_group_id, campaign_id, CAST(row_number() OVER (
     PARTITION BY query_group_id, campaign_id, floor(pos / 10000) ORDER BY pos) - 1 AS INTEGER) AS idx, ad_id FROM ad"""
 
 
-@register("export_group_map", sql_with(["ad"], "SELECT count(*) AS n_lines, sum(n) AS n_ads FROM (SELECT count(*) AS n "
+@register("export_group_map", sql_with(["ad"], "SELECT count(*) AS n_lines, CAST(sum(n) AS BIGINT) AS n_ads FROM (SELECT count(*) AS n "
                                        "FROM ad GROUP BY query_group_id, campaign_id, floor(pos / 10000))"))
 def q_export_group_map(spark, sf_dir):
     lines = nested_map_lines(cat.group_campaign_ads(_ads(spark, sf_dir)))
