@@ -7,6 +7,7 @@ master is local (tests, laptops) do we pick a scratch folder ourselves.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 
@@ -68,10 +69,14 @@ def cut_lineage(df, name: str = "ckpt"):
     return materialize(df, name)
 
 
+_MATERIALIZED: list[tuple[SparkSession, str]] = []
+
+
 def materialize(df, name: str, partition_by: list[str] | None = None):
     """Write ``df`` as a parquet table under the reliable checkpoint folder and
     read it back.  Unlike checkpoint(), the file index gives Catalyst a measured
-    size (and partition pruning), which the broadcast decisions rely on."""
+    size (and partition pruning), which the broadcast decisions rely on.
+    The table is removed by ``release_materialized`` (also run at exit)."""
     import uuid
 
     spark = df.sparkSession
@@ -80,9 +85,29 @@ def materialize(df, name: str, partition_by: list[str] | None = None):
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+    _MATERIALIZED.append((spark, path))
     return spark.read.parquet(path)
 
 
+def release_materialized() -> int:
+    """Delete the intermediate tables this process wrote (call when the
+    DataFrames built on them are no longer needed).  Returns how many."""
+    n = 0
+    while _MATERIALIZED:
+        spark, path = _MATERIALIZED.pop()
+        try:
+            jvm = spark.sparkContext._jvm
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+            n += 1
+        except Exception:  # noqa: BLE001  (session already stopped: nothing to do)
+            pass
+    return n
+
+
+atexit.register(release_materialized)
+
+
 def estimated_bytes(df) -> int:
     """Catalyst's size estimate of ``df`` (file sizes for parquet scans, after
     partition pruning); huge when unknown."""
