@@ -2,8 +2,11 @@
 
 The vectors are numbered (distributed index) and cut into blocks of at most
 ``block_rows`` rows.  Every (query block, candidate block) pair is one cogroup
-task: a (block_rows x block_rows) matrix product in numpy, keeping only each
-query's k best candidates (plus ties at the k-th value).  The per-block
+task: a matrix product in numpy (queries in sub-chunks of 1024 rows, so memory
+stays at 1024 x block_rows doubles), keeping only each query's k best
+candidates (plus ties at the k-th value).  Each vector is replicated once per
+block on each side, so larger blocks mean less replication: with 2M vectors
+and 16384-row blocks, 123 copies and ~15k tasks.  The per-block
 winners -- at most k * n_blocks rows per query -- are merged by a window whose
 partitions are bounded by that number.  Each task holds two bounded blocks;
 nothing goes through the driver and no pair table is written.
@@ -19,31 +22,41 @@ from clickfeat.operators.indexing import with_global_index
 from clickfeat.session import materialize
 
 
-def _block_topk(k: int):
+def _block_topk(k: int, sub_rows: int = 1024):
+    """numpy task for one (query block, candidate block) pair.  Queries are
+    processed ``sub_rows`` at a time, so the similarity matrix held in memory
+    is at most sub_rows x block_rows doubles."""
+    empty = pd.DataFrame({"qid": pd.Series([], dtype="int64"), "cid": pd.Series([], dtype="int64"),
+                          "sim": pd.Series([], dtype="float64")})
+
     def fn(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if q.empty or c.empty:
-            return pd.DataFrame({"qid": pd.Series([], dtype="int64"), "cid": pd.Series([], dtype="int64"),
-                                 "sim": pd.Series([], dtype="float64")})
-        qm = np.stack(q["qvec"].to_numpy()).astype(np.float64)
+            return empty
         cm = np.stack(c["cvec"].to_numpy()).astype(np.float64)
-        qn = np.linalg.norm(qm, axis=1)
         cn = np.linalg.norm(cm, axis=1)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            s = (qm @ cm.T) / np.outer(qn, cn)
-        qid = q["qid"].to_numpy()
         cid = c["cid"].to_numpy()
-        s[qid[:, None] == cid[None, :]] = np.nan          # self excluded
-        s = np.where(np.isnan(s), -np.inf, s)
-        kk = min(k, s.shape[1])
-        kth = -np.partition(-s, kk - 1, axis=1)[:, kk - 1]  # k-th largest per row
-        rows, cols = np.nonzero((s >= kth[:, None]) & np.isfinite(s))
-        return pd.DataFrame({"qid": qid[rows].astype("int64"), "cid": cid[cols].astype("int64"),
-                             "sim": s[rows, cols]})
+        qall = q["qid"].to_numpy()
+        qvecs = q["qvec"].to_numpy()
+        kk = min(k, len(cid))
+        parts = []
+        for start in range(0, len(qall), sub_rows):
+            qid = qall[start:start + sub_rows]
+            qm = np.stack(qvecs[start:start + sub_rows]).astype(np.float64)
+            qn = np.linalg.norm(qm, axis=1)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                s = (qm @ cm.T) / np.outer(qn, cn)
+            s[qid[:, None] == cid[None, :]] = np.nan          # self excluded
+            s = np.where(np.isnan(s), -np.inf, s)
+            kth = -np.partition(-s, kk - 1, axis=1)[:, kk - 1]  # k-th largest per row
+            rows, cols = np.nonzero((s >= kth[:, None]) & np.isfinite(s))
+            parts.append(pd.DataFrame({"qid": qid[rows].astype("int64"), "cid": cid[cols].astype("int64"),
+                                       "sim": s[rows, cols]}))
+        return pd.concat(parts, ignore_index=True) if parts else empty
     return fn
 
 
 def top_k_cosine(vectors: DataFrame, id_col: str, vec_col: str, k: int = 5,
-                 block_rows: int = 4096) -> DataFrame:
+                 block_rows: int = 16384) -> DataFrame:
     """(id, rank 1..k, other_id, similarity) by cosine, self excluded, ties by id.
 
     ``id_col`` must be a bigint key; ``vec_col`` an array of numbers.
