@@ -15,7 +15,7 @@ from clickfeat.sources.fixtures import click_view
 KEY = ["session_id", "device_id", "ad_id"]
 # Fixed scoring weights for the SQL-checkable scorer (feature order of FEATURE_COLUMNS).
 FIXED_WEIGHTS = [0.002, -0.001, 0.004, -0.002, 0.003, -0.001, 0.02, -0.01, 0.05, -0.02, -0.000001]
-GBT_QUERY_ITER = 10
+GBT_QUERY_ITER = ml.GBT_MAX_ITER   # the published 100 boosting iterations
 
 SPLIT_SQL = f"CAST({U(chr(39) + 'split' + chr(39), 'session_id', 'device_id', 'ad_id')} < 0.7 AS INTEGER)"
 TV_CTE = [f"tv AS ({TRAINING_SQL_BODY})"]
