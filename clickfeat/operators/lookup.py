@@ -19,7 +19,7 @@ Spark's AQE skew-join split stays enabled as a second line of defence.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from clickfeat.session import broadcast_limit, estimated_bytes
 
@@ -29,7 +29,8 @@ def salted_left_join(big: DataFrame, small: DataFrame, keys: list[str], freq_col
     total = small.agg(F.sum(freq_col)).scalar()
     hot = (small.where(F.col(freq_col) > total / F.lit(float(max_hot_keys)))
                 .select(*keys).withColumn("_hot", F.lit(True)))
-    row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
+    hashable = [f.name for f in big.schema.fields if not isinstance(f.dataType, T.MapType)]
+    row_hash = F.xxhash64(*[F.col(c) for c in hashable])
     b = (big.join(F.broadcast(hot), keys, "left")
             .withColumn("_salt", F.when(F.col("_hot"), F.pmod(row_hash, F.lit(salts)))
                                   .otherwise(F.lit(0)).cast("int"))

@@ -11,7 +11,7 @@
 Every stage reads what the previous one wrote (parquet / text in ``out_dir``),
 so a stage can be re-run alone; nothing passes through the driver.
 
-usage: python -m clickfeat.plans.pipeline --dir OUT --ads ADS.jsonl [--clicks CLICKS_CSV] [--stages ...]
+usage: python -m clickfeat.plans.stages --dir OUT --ads ADS.jsonl [--clicks CLICKS_CSV] [--stages ...]
 """
 
 from __future__ import annotations

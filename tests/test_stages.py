@@ -4,12 +4,12 @@ import os
 
 from pyspark.sql import functions as F
 
-from clickfeat.plans import pipeline
+from clickfeat.plans import stages
 from clickfeat.sources.fixtures import ad_view, click_view
 from conftest import SF_SMALL
 
 
-def test_pipeline_end_to_end(spark, tmp_dir):
+def test_stages_end_to_end(spark, tmp_dir):
     ads = ad_view(spark, SF_SMALL)
     ads_path = os.path.join(tmp_dir, "ads_json")
     ads.select(F.col("ad_id").alias("adId"), F.col("campaign_id").alias("campaignId"), "query_group_id", "category",
@@ -19,7 +19,7 @@ def test_pipeline_end_to_end(spark, tmp_dir):
     out = os.path.join(tmp_dir, "out")
     # campaign ids of the fixture are strings: read them with a string schema
     from clickfeat.plans.queries_catalogue import AD_FIXTURE_SCHEMA
-    res = pipeline.run(spark, out, ads_path, clicks_path, gbt_iterations=3, ad_schema=AD_FIXTURE_SCHEMA)
+    res = stages.run(spark, out, ads_path, clicks_path, gbt_iterations=3, ad_schema=AD_FIXTURE_SCHEMA)
     assert 0.0 <= res["lr_test_error"] <= 1.0 and res["n_test"] > 0
     assert spark.read.parquet(os.path.join(out, "ad_weights")).count() == ads.count()
     assert spark.read.json(os.path.join(out, "synonyms")).count() > 0
