@@ -15,7 +15,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from clickfeat.plans.registry import QUERIES, load_all  # noqa: E402
-from clickfeat.session import get_session  # noqa: E402
+from clickfeat.session import get_session, release_materialized  # noqa: E402
 
 HEADLINE = [
     "all_counters", "all_counters_union", "training_vectors", "cosine_top5", "query_rewrites",
@@ -34,8 +34,9 @@ def main():
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = sys.argv[1:] or HEADLINE
     load_all()
+    mem = os.environ.get("BENCH_DRIVER_MEMORY", "16g")
     spark = get_session(f"local[{cpus}]", app="clickfeat-bench", shuffle_partitions=max(cpus, 8),
-                        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+                        extra={"spark.driver.memory": mem})
     warm, cold = {}, {}
     for n in names:
         cold[n] = round(run(spark, n, sf_dir), 3)
@@ -43,7 +44,8 @@ def main():
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_queries_total_warm", "value": round(sum(warm.values()), 3),
                       "unit": "sec", "queries": warm, "cold": cold, "sf": sf, "cpus": cpus,
-                      "spark": spark.version}))
+                      "driver_memory": mem, "spark": spark.version}))
+    release_materialized()
     spark.stop()
 
 
