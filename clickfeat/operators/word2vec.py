@@ -13,10 +13,14 @@ W2V_STEP_SIZE = 0.02
 W2V_SEED = 2017
 
 
-def fit_word2vec(words: DataFrame, col: str = "words", num_partitions: int = 1, max_iter: int = 1,
+def fit_word2vec(words: DataFrame, col: str = "words", num_partitions: int | None = None, max_iter: int = 1,
                  window_size: int = 5) -> Word2VecModel:
-    """One partition and one iteration reproduce the published vectors; raise
-    ``num_partitions`` to scale out (vectors then differ)."""
+    """Skip-gram training spread over ``num_partitions`` tasks (default: the
+    cluster's parallelism, so no single task trains on the whole corpus).
+    ``num_partitions=1`` reproduces the published single-partition vectors
+    exactly, at the cost of one task holding the corpus."""
+    if num_partitions is None:
+        num_partitions = max(1, words.sparkSession.sparkContext.defaultParallelism)
     w2v = Word2Vec(vectorSize=W2V_VECTOR_SIZE, minCount=W2V_MIN_COUNT, stepSize=W2V_STEP_SIZE,
                    seed=W2V_SEED, maxIter=max_iter, numPartitions=num_partitions, windowSize=window_size,
                    inputCol=col, outputCol="_w2v")

@@ -62,7 +62,7 @@ def stage_corpus(spark: SparkSession, ads_path: str, out_dir: str, ad_schema=AD)
     sinks.write_sentences(tx.sentences(ads), _p(out_dir, "sentences"))
 
 
-def stage_embeddings(spark: SparkSession, out_dir: str, num_partitions: int = 1) -> None:
+def stage_embeddings(spark: SparkSession, out_dir: str, num_partitions: int | None = None) -> None:
     words = tx.sentence_words(spark.read.text(_p(out_dir, "sentences")).withColumnRenamed("value", "sentence"))
     model = fit_word2vec(words, num_partitions=num_partitions)
     model.write().overwrite().save(_p(out_dir, "word2vec_model"))
