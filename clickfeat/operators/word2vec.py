@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml.feature import Word2Vec, Word2VecModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 # Skip-gram settings of the published model.
 W2V_VECTOR_SIZE = 10

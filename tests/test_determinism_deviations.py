@@ -1,8 +1,6 @@
 """Same answers with 1, 8 and 200 shuffle partitions; deviations D4, D10, D14."""
 
 import pytest
-from pyspark.sql import functions as F
-
 from clickfeat.operators import sampling as smp
 from clickfeat.operators import text as tx
 from clickfeat.operators.rewrites import rewrites
@@ -55,4 +53,3 @@ def test_empty_cleaned_query_and_empty_tokens(spark):
     assert w == ["red", "shoes"]                   # but no empty token enters the corpus
     v = tx.vocabulary(spark.createDataFrame([(["a"] * 5 + ["b"] * 4,)], "words array<string>"), 5)
     assert [(r.word, r.n) for r in v.collect()] == [("a", 5)]
-    _ = F
