@@ -128,7 +128,17 @@ def parse_training_points(lines: DataFrame, n_features: int = 11) -> DataFrame:
         return x.try_cast("double")
 
     cols = [num(i).alias(f"f{i}") for i in range(n_features)]
-    return lines.select(num(n_features).alias("label"), *cols)
+    others = [c for c in lines.columns if c != "value"]
+    return lines.select(*others, num(n_features).alias("label"), *cols)
+
+
+def rejected_points(lines: DataFrame, n_features: int = 11) -> DataFrame:
+    """Quarantine: the raw lines whose label or any feature does not parse."""
+    p = parse_training_points(lines.select("value", F.col("value").alias("_raw")), n_features)
+    bad = F.col("label").isNull()
+    for i in range(n_features):
+        bad = bad | F.col(f"f{i}").isNull()
+    return p.where(bad).select(F.col("_raw").alias("value"))
 
 
 # --------------------------------------------------------------- sentences

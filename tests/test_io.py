@@ -96,6 +96,7 @@ def test_tuple_text_counters_and_training_points(spark, tmp_dir):
     pts = src.parse_training_points(lines).collect()
     assert pts[0].label == 1.0 and pts[0].f10 == 1000000.0 and pts[0].f0 == 1.0
     assert pts[1].f1 is None
+    assert [r.value for r in src.rejected_points(lines).collect()] == ["('1,x,3,4,5,6,7,8,9,10,0', 0)"]
 
 
 def test_counters_parquet_round_trip(spark, tmp_dir):
