@@ -30,52 +30,52 @@ def norm(v):
     return v
 
 
+def duck(sf_dir: str):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+def compare(spark, con, name: str, sf_dir: str):
+    """(ok, message) for one registered query against its oracle SQL."""
+    sdf = QUERIES[name](spark, sf_dir)
+    rows, cols = sdf.collect(), sdf.columns
+    if name not in ORACLE:
+        return True, f"{len(rows)} rows (no oracle)"
+    res = con.execute(ORACLE[name])
+    dcols = [d[0] for d in res.description]
+    drows = res.fetchall()
+    if sorted(cols) != sorted(dcols):
+        return False, f"columns spark={cols} duck={dcols}"
+    order = sorted(cols)
+    si = [cols.index(c) for c in order]
+    di = [dcols.index(c) for c in order]
+    a = sorted((tuple(norm(r[i]) for i in si) for r in rows), key=repr)
+    b = sorted((tuple(norm(r[i]) for i in di) for r in drows), key=repr)
+    if a == b:
+        return True, f"{len(a)} rows"
+    sa, sb = set(a), set(b)
+    return False, (f"spark {len(a)} rows, duck {len(b)} rows; only-spark {list(sa - sb)[:3]} "
+                   f"only-duck {list(sb - sa)[:3]}")
+
+
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:]
     load_all()
     spark = get_session("local[8]", shuffle_partitions=8)
-    con = duckdb.connect()
-    for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    con = duck(sf_dir)
     bad = 0
     for name in (names or sorted(QUERIES)):
         t0 = time.time()
         try:
-            sdf = QUERIES[name](spark, sf_dir)
-            rows = sdf.collect()
-            cols = sdf.columns
-        except Exception as e:  # noqa: BLE001
-            print(f"FAIL {name}: spark error {type(e).__name__}: {str(e)[:400]}")
-            bad += 1
-            continue
-        ts = time.time() - t0
-        if name not in ORACLE:
-            print(f"ROWS {name}: {len(rows)} rows (no oracle) {ts:.1f}s")
-            continue
-        try:
-            res = con.execute(ORACLE[name])
-            dcols = [d[0] for d in res.description]
-            drows = res.fetchall()
+            ok, msg = compare(spark, con, name, sf_dir)
         except Exception as e:  # noqa: BLE001
-            print(f"FAIL {name}: duckdb error {str(e)[:400]}")
-            bad += 1
-            continue
-        if sorted(cols) != sorted(dcols):
-            print(f"FAIL {name}: columns spark={cols} duck={dcols}")
-            bad += 1
-            continue
-        order = sorted(cols)
-        si = [cols.index(c) for c in order]
-        di = [dcols.index(c) for c in order]
-        a = sorted((tuple(norm(r[i]) for i in si) for r in rows), key=repr)
-        b = sorted((tuple(norm(r[i]) for i in di) for r in drows), key=repr)
-        if a == b:
-            print(f"OK   {name}: {len(a)} rows {ts:.1f}s")
-        else:
-            bad += 1
-            sa, sb = set(a), set(b)
-            print(f"FAIL {name}: spark {len(a)} rows, duck {len(b)} rows; only-spark {list(sa - sb)[:3]} only-duck {list(sb - sa)[:3]}")
+            ok, msg = False, f"error {type(e).__name__}: {str(e)[:400]}"
+        tag = "OK  " if ok and name in ORACLE else ("ROWS" if ok else "FAIL")
+        print(f"{tag} {name}: {msg} {time.time() - t0:.1f}s")
+        bad += 0 if ok else 1
     print("mismatches:", bad)
 
 
