@@ -7,6 +7,7 @@ usage: python tools_oracle_check.py [sf_dir] [name ...]
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 
@@ -64,7 +65,7 @@ def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:]
     load_all()
-    spark = get_session("local[8]", shuffle_partitions=8)
+    spark = get_session("local[8]", shuffle_partitions=int(os.environ.get("CHECK_SHUFFLE_PARTITIONS", "8")))
     con = duck(sf_dir)
     bad = 0
     for name in (names or sorted(QUERIES)):
