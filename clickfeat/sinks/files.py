@@ -55,7 +55,8 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
-def _versions(spark: SparkSession, base: str) -> list[int]:
+def _versions(spark: SparkSession, base: str, complete_only: bool = True) -> list[int]:
+    """Version numbers under ``base`` (folders ``v=N``); complete ones carry _SUCCESS."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(base)
@@ -65,18 +66,23 @@ def _versions(spark: SparkSession, base: str) -> list[int]:
     out = []
     for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if name.startswith("v=") and name[2:].isdigit() and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[2:]))
+        if not (name.startswith("v=") and name[2:].isdigit()):
+            continue
+        if complete_only and not fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            continue
+        out.append(int(name[2:]))
     return sorted(out)
 
 
 def publish_feature_store(spark: SparkSession, new: DataFrame, base: str) -> str:
     """Keyed upsert into a versioned table: read the newest complete version,
     upsert, write the next version (never overwrite the version being read).
-    Returns the new version path."""
-    vs = _versions(spark, base)
-    out_path = f"{base}/v={(vs[-1] + 1) if vs else 0}"
-    merged = upsert(spark.read.parquet(f"{base}/v={vs[-1]}"), new) if vs else new
+    A version left incomplete by a failed run is skipped, so a retry neither
+    reads it nor collides with it.  Returns the new version path."""
+    done = _versions(spark, base)
+    every = _versions(spark, base, complete_only=False)
+    out_path = f"{base}/v={(every[-1] + 1) if every else 0}"
+    merged = upsert(spark.read.parquet(f"{base}/v={done[-1]}"), new) if done else new
     merged.write.mode("errorifexists").parquet(out_path)
     return out_path
 

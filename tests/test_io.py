@@ -79,6 +79,11 @@ def test_feature_store_publish_versions_and_append(spark, tmp_dir):
     p1 = sinks.publish_feature_store(spark, new, base)
     assert p0.endswith("v=0") and p1.endswith("v=1")
     assert sorted(map(tuple, sinks.read_feature_store(spark, base).collect())) == [("a", 1), ("b", 5)]
+    os.makedirs(os.path.join(base, "v=2"))                 # a run that died while writing
+    p3 = sinks.publish_feature_store(spark, spark.createDataFrame([("c", 7)], "feature_key string, feature_value bigint"),
+                                     base)
+    assert p3.endswith("v=3")
+    assert sorted(map(tuple, sinks.read_feature_store(spark, base).collect())) == [("a", 1), ("b", 5), ("c", 7)]
     j = os.path.join(tmp_dir, "jsonl")
     sinks.write_jsonl(old, j)
     sinks.write_jsonl(old, j, mode="append")       # rerun in append mode duplicates rows
