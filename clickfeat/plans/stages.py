@@ -7,6 +7,7 @@
     counters   click log -> ten counters (one pass) -> published feature store (keyed upsert)
     training   click log + counters -> training vectors (parquet)
     models     training vectors -> LR (+ JSON weights) and GBT, test errors
+    samples    (optional) catalogue -> seeded positive draws and negatives (parquet)
 
 Every stage reads what the previous one wrote (parquet / text in ``out_dir``),
 so a stage can be re-run alone; nothing passes through the driver.
@@ -35,6 +36,7 @@ from clickfeat.sinks import files as sinks
 from clickfeat.sources import files as src
 
 STAGES = ["catalogue", "corpus", "embeddings", "rewrites", "counters", "training", "models"]
+OPTIONAL_STAGES = ["samples"]
 KEY = ["session_id", "device_id", "ad_id"]
 
 
@@ -81,6 +83,16 @@ def stage_rewrites(spark: SparkSession, ads_path: str, out_dir: str, lowercase:
     sinks.write_jsonl(rewrites(ads, syn, lowercase=lowercase), _p(out_dir, "rewrites"))
 
 
+def stage_samples(spark: SparkSession, out_dir: str, n_draws: int = 49, seed: int = 42) -> None:
+    """Seeded training samples from the catalogue written by ``stage_catalogue``:
+    weighted positive draws per group and one negative per ad (type mix)."""
+    from clickfeat.operators import sampling as smp
+
+    ads = spark.read.parquet(_p(out_dir, "ads"))
+    sinks.write_parquet(smp.positive_draws(ads, n_draws, seed), _p(out_dir, "positive_samples"))
+    sinks.write_parquet(smp.negative_rows(ads, seed=seed), _p(out_dir, "negative_samples"))
+
+
 def stage_counters(spark: SparkSession, clicks_path: str, out_dir: str) -> None:
     clicks = src.read_clicks(spark, clicks_path)
     sinks.write_parquet(all_counters(clicks), _p(out_dir, "counters"))
@@ -125,6 +137,8 @@ def run(spark: SparkSession, out_dir: str, ads_path: str | None = None, clicks_p
             stage_training(spark, clicks_path, out_dir)
         elif st == "models":
             result.update(stage_models(spark, out_dir, gbt_iterations))
+        elif st == "samples":
+            stage_samples(spark, out_dir)
         else:
             raise ValueError(f"unknown stage {st}")
     return result
@@ -137,7 +151,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--dir", required=True, help="output folder (any Hadoop filesystem path)")
     ap.add_argument("--ads", help="ad catalogue, JSON lines")
     ap.add_argument("--clicks", help="click log, CSV without header")
-    ap.add_argument("--stages", nargs="*", default=STAGES, choices=STAGES)
+    ap.add_argument("--stages", nargs="*", default=STAGES, choices=STAGES + OPTIONAL_STAGES)
     ap.add_argument("--gbt-iterations", type=int, default=ml.GBT_MAX_ITER)
     a = ap.parse_args(argv)
     spark = get_session()
