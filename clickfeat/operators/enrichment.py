@@ -29,6 +29,8 @@ def training_vectors(clicks: DataFrame, counters: DataFrame | None = None,
 
     ``counters`` defaults to all_counters(clicks) (features counted on the same
     rows they label, as published); pass counters of another log to avoid that.
+    Passed counters should be a table partitioned by ``kind`` (as the stage
+    plans write it) so each lookup is sized by its own kind.
     ``salted``: True = broadcast behind a size check, else salted shuffle join;
     "always" = salted shuffle join; False = plain join (AQE decides).
     """

@@ -95,7 +95,8 @@ def stage_samples(spark: SparkSession, out_dir: str, n_draws: int = 49, seed: in
 
 def stage_counters(spark: SparkSession, clicks_path: str, out_dir: str) -> None:
     clicks = src.read_clicks(spark, clicks_path)
-    sinks.write_parquet(all_counters(clicks), _p(out_dir, "counters"))
+    # partitioned by kind: each enrichment lookup reads (and is sized by) one kind
+    all_counters(clicks).write.mode("overwrite").partitionBy("kind").parquet(_p(out_dir, "counters"))
     store = feature_store(spark.read.parquet(_p(out_dir, "counters")))
     sinks.publish_feature_store(spark, store, _p(out_dir, "feature_store"))
 
