@@ -3,6 +3,7 @@
 Runs each query's full plan (noop sink: every row produced, nothing collected)
 at $BENCH_SF_DIR on local[$BENCH_CPUS]; a query runs twice and the warm run is
 reported (the cold run is kept in "cold").  Prints ONE JSON line.
+$BENCH_EVENT_LOG (optional): folder for Spark's event log (stage and task times).
 """
 
 from __future__ import annotations
@@ -35,8 +36,10 @@ def main():
     names = sys.argv[1:] or HEADLINE
     load_all()
     mem = os.environ.get("BENCH_DRIVER_MEMORY", "16g")
-    spark = get_session(f"local[{cpus}]", app="clickfeat-bench", shuffle_partitions=max(cpus, 8),
-                        extra={"spark.driver.memory": mem})
+    extra = {"spark.driver.memory": mem}
+    if os.environ.get("BENCH_EVENT_LOG"):          # stage/task times: Spark event log in a scratch folder
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]})
+    spark = get_session(f"local[{cpus}]", app="clickfeat-bench", shuffle_partitions=max(cpus, 8), extra=extra)
     warm, cold = {}, {}
     for n in names:
         cold[n] = round(run(spark, n, sf_dir), 3)
