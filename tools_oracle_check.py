@@ -19,11 +19,15 @@ from clickfeat.session import get_session
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
+# Values are compared exactly (doubles bit for bit); CHECK_ROUND=<places> loosens it.
+ROUND = int(os.environ["CHECK_ROUND"]) if os.environ.get("CHECK_ROUND") else None
+
+
 def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6) + 0.0
+        return (round(v, ROUND) if ROUND is not None else v) + 0.0
     if hasattr(v, "tolist"):
         v = v.tolist()
     if isinstance(v, (list, tuple)):
