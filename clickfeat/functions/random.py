@@ -13,8 +13,12 @@ TWO_POW_32 = 4294967296.0
 
 
 def seed_key(seed, *parts) -> Column:
-    cols = [F.lit(str(seed))] + [(F.col(p) if isinstance(p, str) else p).cast("string") for p in parts]
-    return F.concat_ws("|", *cols)
+    """``seed|part1|part2...``; a NULL part gives a NULL key (no draw) rather than
+    silently merging with another key, as concat_ws would."""
+    cols = [F.lit(str(seed))]
+    for p in parts:
+        cols += [F.lit("|"), (F.col(p) if isinstance(p, str) else p).cast("string")]
+    return F.concat(*cols)
 
 
 def uniform_of_key(key: Column) -> Column:
