@@ -1,8 +1,9 @@
 """Benchmark the headline queries.
 
 Runs each query's full plan (noop sink: every row produced, nothing collected)
-at $BENCH_SF_DIR on local[$BENCH_CPUS]; a query runs twice and the warm run is
-reported (the cold run is kept in "cold").  Prints ONE JSON line.
+at $BENCH_SF_DIR on local[$BENCH_CPUS]; each query runs once cold and
+$BENCH_WARM_RUNS (default 2) times warm; the best warm run is reported, all runs
+are kept in the JSON ("cold", "warm_runs").  Prints ONE JSON line.
 $BENCH_EVENT_LOG (optional): folder for Spark's event log (stage and task times).
 """
 
@@ -24,6 +25,9 @@ HEADLINE = [
 ]
 
 
+WARM_RUNS = int(os.environ.get("BENCH_WARM_RUNS", "2"))
+
+
 def run(spark, name, sf_dir):
     t = time.perf_counter()
     QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
@@ -40,13 +44,14 @@ def main():
     if os.environ.get("BENCH_EVENT_LOG"):          # stage/task times: Spark event log in a scratch folder
         extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]})
     spark = get_session(f"local[{cpus}]", app="clickfeat-bench", shuffle_partitions=max(cpus, 8), extra=extra)
-    warm, cold = {}, {}
+    warm, cold, runs = {}, {}, {}
     for n in names:
         cold[n] = round(run(spark, n, sf_dir), 3)
-        warm[n] = round(run(spark, n, sf_dir), 3)
+        runs[n] = [round(run(spark, n, sf_dir), 3) for _ in range(WARM_RUNS)]
+        warm[n] = min(runs[n])
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_queries_total_warm", "value": round(sum(warm.values()), 3),
-                      "unit": "sec", "queries": warm, "cold": cold, "sf": sf, "cpus": cpus,
+                      "unit": "sec", "queries": warm, "cold": cold, "warm_runs": runs, "sf": sf, "cpus": cpus,
                       "driver_memory": mem, "spark": spark.version}))
     release_materialized()
     spark.stop()
