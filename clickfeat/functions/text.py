@@ -2,11 +2,24 @@
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+
 from pyspark.sql import Column, functions as F
 
-# A token that is only decimal digits ("42") is dropped by the cleaner, as are
-# tokens of one character or less.
-DIGITS_ONLY = r"^\p{Nd}+$"
+
+def _digit_class() -> str:
+    r"""Regex class of the characters Python's str.isdigit() accepts: decimal
+    digits (\p{Nd}) plus the other Numeric_Type=Digit characters (superscripts,
+    subscripts, circled digits, ...), derived from the Unicode data by rule."""
+    extra = [c for c in map(chr, range(sys.maxunicode + 1))
+             if c.isdigit() and unicodedata.category(c) != "Nd"]
+    return "[\\p{Nd}" + "".join(f"\\x{{{ord(c):X}}}" for c in extra) + "]"
+
+
+# A token made only of digits ("42", "²") is dropped by the cleaner, as are
+# tokens of one character or less.  Same pattern in Java regex and RE2.
+DIGITS_ONLY = "^" + _digit_class() + "+$"
 
 
 def _c(col) -> Column:

@@ -5,21 +5,24 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from clickfeat.functions.keys import query_id_key
-from clickfeat.functions.text import clean_tokens, query_key
+from clickfeat.functions.text import DIGITS_ONLY, clean_tokens, query_key
 from clickfeat.operators import text as tx
 from clickfeat.plans.registry import register, sql_with
 from clickfeat.sinks.files import sentence_lines
 from clickfeat.sources.files import parse_sentences
 from clickfeat.sources.fixtures import ad_view, click_view, table
 
-CLEAN_SQL = ("array_to_string(list_filter(string_split({x}, ' '), "
-             "lambda t: NOT regexp_matches(t, '^\\p{{Nd}}+$') AND length(t) > 1), ' ')")
-SENT_SQL = (f"{CLEAN_SQL.format(x='lower(query)')} || ' ' || {CLEAN_SQL.format(x='lower(title)')}")
+def clean_sql(x: str) -> str:
+    return (f"array_to_string(list_filter(string_split({x}, ' '), "
+            f"lambda t: NOT regexp_matches(t, '{DIGITS_ONLY}') AND length(t) > 1), ' ')")
+
+
+SENT_SQL = f"{clean_sql('lower(query)')} || ' ' || {clean_sql('lower(title)')}"
 WORDS_CTE = [f"sent AS (SELECT ad_id, {SENT_SQL} AS sentence FROM ad)",
              "words AS (SELECT ad_id, list_filter(string_split(sentence, ' '), lambda t: t <> '') AS w FROM sent)"]
 
 
-@register("clean_tokens", f"SELECT doc_id, {CLEAN_SQL.format(x='text')} AS cleaned FROM documents")
+@register("clean_tokens", f"SELECT doc_id, {clean_sql('text')} AS cleaned FROM documents")
 def q_clean_tokens(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", clean_tokens("text").alias("cleaned"))
 

@@ -85,3 +85,9 @@ def test_block_task_sub_chunks_agree():
     a = _block_topk(5, sub_rows=3)(q, c).sort_values(["qid", "cid"]).reset_index(drop=True)
     b = _block_topk(5, sub_rows=1024)(q, c).sort_values(["qid", "cid"]).reset_index(drop=True)
     assert a.equals(b) and len(a) >= 20 * 5
+
+
+def test_clean_tokens_follows_python_isdigit(spark):
+    text = "x² ² ³4 ①② ٣٤ ab 1a a"
+    want = " ".join(t for t in text.split(" ") if not t.isdigit() and len(t) > 1)
+    assert one(spark, clean_tokens("x"), text) == want == "x² ab 1a"
