@@ -17,6 +17,8 @@ from pyspark.sql import SparkSession
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # size post-shuffle partitions by the advisory size (64 MB), not by core count
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Runtime (post-shuffle, measured) broadcast threshold; static threshold stays
     # at Spark's default and is only used when file statistics prove the size.
