@@ -43,3 +43,14 @@ def test_rank_within_hot_group_matches_row_number(spark):
     want = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy("pos")) - 1)
     assert sorted(map(tuple, got.select("g", "pos", "r").collect())) == \
         sorted(map(tuple, want.select("g", "pos", "r").collect()))
+
+
+def test_prefix_sum_hot_group_matches_window(spark):
+    from clickfeat.operators.intervals import prefix_sum
+    df = spark.range(4000).select((F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 40)).alias("g"),
+                                  F.col("id").alias("pos"), (F.col("id") % 7).cast("double").alias("w"))
+    got = prefix_sum(df, ["g"], "pos", "w", "cum", chunk_width=50)
+    want = df.withColumn("cum", F.sum("w").over(Window.partitionBy("g").orderBy("pos")
+                                                .rowsBetween(Window.unboundedPreceding, 0)))
+    assert sorted(map(tuple, got.select("g", "pos", "cum").collect())) == \
+        sorted(map(tuple, want.select("g", "pos", "cum").collect()))
