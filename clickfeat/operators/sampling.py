@@ -349,3 +349,17 @@ def branch_choice(pairs: DataFrame, key_cols: list[str], seed: int = 42) -> Data
     u = hash_uniform(seed, F.lit("branch"), *key_cols)
     return pairs.select(*key_cols, (u < LEVEL1_POSITIVE_SHARE).cast("int").alias("positive_l1"),
                         (u < LEVEL2_POSITIVE_SHARE).cast("int").alias("positive_l2"))
+
+
+# Budget range (inclusive) drawn per campaign.
+BUDGET_MIN = 100
+BUDGET_MAX = 2000
+
+
+def campaign_budgets(ads: DataFrame, seed: int = 42) -> DataFrame:
+    """A repeatable integer budget in [BUDGET_MIN, BUDGET_MAX] per catalogue
+    campaign: (campaign_id, budget).  One partial aggregate (distinct)."""
+    camps = ads.select(C).where(F.col(C).isNotNull()).distinct()
+    u = hash_uniform(seed, F.lit("budget"), C)
+    span = BUDGET_MAX - BUDGET_MIN + 1
+    return camps.select(C, (F.lit(BUDGET_MIN) + pick_index(u, F.lit(span))).cast("int").alias("budget"))

@@ -283,3 +283,19 @@ def q_ads_of_group(spark, sf_dir):
     ads = _ads(spark, sf_dir)
     groups = ads.select(G).distinct()
     return groups.join(ads.select(G, A), G)
+
+
+@register("campaign_budgets", sql_with(["ad"], f"""SELECT campaign_id,
+  CAST(100 + {PICK(U("'budget'", 'campaign_id'), '1901')} AS INTEGER) AS budget
+FROM (SELECT DISTINCT campaign_id FROM ad WHERE campaign_id IS NOT NULL)"""))
+def q_campaign_budgets(spark, sf_dir):
+    return smp.campaign_budgets(_ads(spark, sf_dir), 42)
+
+
+@register("export_budgets", sql_with(["ad"], f"""SELECT to_json({{'campaignId': campaign_id, 'budget':
+  CAST(100 + {PICK(U("'budget'", 'campaign_id'), '1901')} AS INTEGER)}})::VARCHAR AS value
+FROM (SELECT DISTINCT campaign_id FROM ad WHERE campaign_id IS NOT NULL)"""))
+def q_export_budgets(spark, sf_dir):
+    """Budget file lines as published: {"campaignId": ..., "budget": ...}."""
+    b = smp.campaign_budgets(_ads(spark, sf_dir), 42)
+    return b.select(F.to_json(F.struct(F.col("campaign_id").alias("campaignId"), "budget")).alias("value"))

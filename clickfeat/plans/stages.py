@@ -8,6 +8,7 @@
     training   click log + counters -> training vectors (parquet)
     models     training vectors -> LR (+ JSON weights) and GBT, test errors
     samples    (optional) catalogue -> seeded positive draws and negatives (parquet)
+    budgets    (optional) catalogue campaigns -> seeded budgets (JSON lines)
 
 Every stage reads what the previous one wrote (parquet / text in ``out_dir``),
 so a stage can be re-run alone; nothing passes through the driver.
@@ -36,7 +37,7 @@ from clickfeat.sinks import files as sinks
 from clickfeat.sources import files as src
 
 STAGES = ["catalogue", "corpus", "embeddings", "rewrites", "counters", "training", "models"]
-OPTIONAL_STAGES = ["samples"]
+OPTIONAL_STAGES = ["samples", "budgets"]
 KEY = ["session_id", "device_id", "ad_id"]
 
 
@@ -93,6 +94,14 @@ def stage_samples(spark: SparkSession, out_dir: str, n_draws: int = 49, seed: in
     sinks.write_parquet(smp.negative_rows(ads, seed=seed), _p(out_dir, "negative_samples"))
 
 
+def stage_budgets(spark: SparkSession, out_dir: str, seed: int = 42) -> None:
+    """Seeded budget per catalogue campaign, JSON lines {campaignId, budget}."""
+    from clickfeat.operators import sampling as smp
+
+    b = smp.campaign_budgets(spark.read.parquet(_p(out_dir, "ads")), seed)
+    sinks.write_jsonl(b.select(F.col("campaign_id").alias("campaignId"), "budget"), _p(out_dir, "budgets"))
+
+
 def stage_counters(spark: SparkSession, clicks_path: str, out_dir: str) -> None:
     clicks = src.read_clicks(spark, clicks_path)
     # partitioned by kind: each enrichment lookup reads (and is sized by) one kind
@@ -140,6 +149,8 @@ def run(spark: SparkSession, out_dir: str, ads_path: str | None = None, clicks_p
             result.update(stage_models(spark, out_dir, gbt_iterations))
         elif st == "samples":
             stage_samples(spark, out_dir)
+        elif st == "budgets":
+            stage_budgets(spark, out_dir)
         else:
             raise ValueError(f"unknown stage {st}")
     return result

@@ -30,7 +30,10 @@ def test_stages_end_to_end(spark, tmp_dir):
     assert store.where("feature_key LIKE 'dipi_%'").agg(F.sum("feature_value")).first()[0] == n
     w = spark.read.json(os.path.join(out, "lr_weights_json")).first()
     assert len(w.weights) == 11 and w.bias == 0.0
-    stages.run(spark, out, stages=["samples"])
+    stages.run(spark, out, stages=["samples", "budgets"])
+    b = spark.read.json(os.path.join(out, "budgets"))
+    assert b.count() == ads.select("campaign_id").distinct().count()
+    assert b.where("budget < 100 OR budget > 2000").count() == 0
     pos = spark.read.parquet(os.path.join(out, "positive_samples"))
     neg = spark.read.parquet(os.path.join(out, "negative_samples"))
     assert pos.where("clicked = 1").count() == pos.count() > 0
