@@ -118,7 +118,7 @@ def positive_draws(ads: DataFrame, n_draws: int = 49, seed: int = 42) -> DataFra
     picked = weighted_draw(probes, ab, [G, C], "u").select(G, "draw", C, A)
     q = cat.dedupe_last(ads.select(A, "query", "pos")).select(A, "query")
     return (picked.join(q, A)
-                  .where(F.col("query").isNotNull() & (F.trim("query") != ""))
+                  .where(F.col("query").isNotNull() & (F.col("query") != ""))
                   .select(G, "draw", "query", A, C, F.lit(1).alias("cat_match"), F.lit(1).alias("clicked")))
 
 
@@ -338,7 +338,7 @@ def negative_rows(ads: DataFrame, sources: DataFrame | None = None, seed: int =
         out = out.unionByName(p)
     q = src.select(F.col(A).alias("src_ad_id"), "query")
     return (out.join(q, "src_ad_id")
-               .where(F.col("query").isNotNull() & (F.trim("query") != "") & F.col(A).isNotNull()
+               .where(F.col("query").isNotNull() & (F.col("query") != "") & F.col(A).isNotNull()
                       & F.col(C).isNotNull())
                .select("src_ad_id", "neg_type", "query", A, C, "cat_match", F.lit(0).alias("clicked")))
 

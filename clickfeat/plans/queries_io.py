@@ -43,13 +43,13 @@ def q_valid_clicks(spark, sf_dir):
     return valid_click_lines(lines)
 
 
-@register("blank_guard", sql_with(["click"], """SELECT * FROM click WHERE trim(query) <> ''
-AND trim(CAST(ad_id AS VARCHAR)) <> '' AND trim(CAST(campaign_id AS VARCHAR)) <> ''"""))
+@register("blank_guard", sql_with(["click"], """SELECT * FROM click WHERE query <> ''
+AND CAST(ad_id AS VARCHAR) <> '' AND CAST(campaign_id AS VARCHAR) <> ''"""))
 def q_blank_guard(spark, sf_dir):
     c = click_view(spark, sf_dir)
     ok = None
     for col in ("query", "ad_id", "campaign_id"):
-        cond = F.trim(F.col(col).cast("string")) != ""
+        cond = F.col(col).cast("string") != ""
         ok = cond if ok is None else ok & cond
     return c.where(ok)
 

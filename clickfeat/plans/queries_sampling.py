@@ -100,7 +100,7 @@ JOIN ab b ON b.query_group_id = c.query_group_id AND b.campaign_id = c.campaign_
   AND {FOLD(U("'ad'", 'c.query_group_id', 'c.draw'), 't.total')} > b.lo
   AND {FOLD(U("'ad'", 'c.query_group_id', 'c.draw'), 't.total')} <= b.hi
 JOIN ad q ON q.ad_id = b.ad_id
-WHERE q.query IS NOT NULL AND trim(q.query) <> ''"""
+WHERE q.query IS NOT NULL AND q.query <> ''"""
 
 
 @register("positive_draws", sql_with(["ad"], POSITIVE_SQL, WEIGHTS + _draws_cte(49)))
@@ -225,7 +225,7 @@ FROM (SELECT *, 0 AS neg_type FROM neg0 UNION ALL SELECT *, 1 FROM neg1 UNION AL
 JOIN ad a ON a.ad_id = x.src_ad_id
 WHERE a.campaign_id IN (SELECT campaign_id FROM ad GROUP BY 1 HAVING count(*) > 1)
   AND x.neg_type = {TYPE_SQL}
-  AND a.query IS NOT NULL AND trim(a.query) <> ''"""
+  AND a.query IS NOT NULL AND a.query <> ''"""
 
 
 @register("negative_rows", sql_with(["ad"], NEGATIVE_ROWS_SQL, WEIGHTS + NEG_CTES))

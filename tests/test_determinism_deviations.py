@@ -53,3 +53,11 @@ def test_empty_cleaned_query_and_empty_tokens(spark):
     assert w == ["red", "shoes"]                   # but no empty token enters the corpus
     v = tx.vocabulary(spark.createDataFrame([(["a"] * 5 + ["b"] * 4,)], "words array<string>"), 5)
     assert [(r.word, r.n) for r in v.collect()] == [("a", 5)]
+
+
+def test_only_empty_queries_are_rejected(spark):
+    from clickfeat.operators import sampling as smp
+    df = ads_df(spark, [(1, "c", 1, "", "x", ["q"], 0), (2, "c", 1, " ", "x", ["q"], 1),
+                        (3, "c", 1, "q", "x", ["q"], 2)])
+    got = {r.src_ad_id for r in smp.negative_rows(df, seed=42).collect()}
+    assert 1 not in got and 2 in got and 3 in got
