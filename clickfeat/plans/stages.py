@@ -4,7 +4,8 @@
     corpus     ads -> sentence text
     embeddings sentences -> Word2Vec model, vectors, top-5 synonyms (JSON lines)
     rewrites   synonyms + ad queries -> rewrites (JSON lines)
-    counters   click log -> ten counters (one pass) -> published feature store (keyed upsert)
+    counters   click log -> ten counters (one pass) -> published feature store (keyed upsert);
+               unparseable lines -> clicks_rejected
     training   click log + counters -> training vectors (parquet)
     models     training vectors -> LR (+ JSON weights) and GBT, test errors
     samples    (optional) catalogue -> seeded positive draws and negatives (parquet)
@@ -102,8 +103,15 @@ def stage_budgets(spark: SparkSession, out_dir: str, seed: int = 42) -> None:
     sinks.write_jsonl(b.select(F.col("campaign_id").alias("campaignId"), "budget"), _p(out_dir, "budgets"))
 
 
+def _clicks(spark: SparkSession, clicks_path: str):
+    """Typed click rows from CSV lines (quoted fields allowed)."""
+    return src.parse_clicks(spark.read.text(clicks_path))
+
+
 def stage_counters(spark: SparkSession, clicks_path: str, out_dir: str) -> None:
-    clicks = src.read_clicks(spark, clicks_path)
+    # lines that do not parse to 8 typed fields are kept aside, not silently dropped
+    sinks.write_parquet(src.rejected_clicks(spark.read.text(clicks_path)), _p(out_dir, "clicks_rejected"))
+    clicks = _clicks(spark, clicks_path)
     # partitioned by kind: each enrichment lookup reads (and is sized by) one kind
     all_counters(clicks).write.mode("overwrite").partitionBy("kind").parquet(_p(out_dir, "counters"))
     store = feature_store(spark.read.parquet(_p(out_dir, "counters")))
@@ -111,7 +119,7 @@ def stage_counters(spark: SparkSession, clicks_path: str, out_dir: str) -> None:
 
 
 def stage_training(spark: SparkSession, clicks_path: str, out_dir: str) -> None:
-    clicks = src.read_clicks(spark, clicks_path)
+    clicks = _clicks(spark, clicks_path)
     counters = spark.read.parquet(_p(out_dir, "counters"))
     sinks.write_parquet(training_vectors(clicks, counters=counters), _p(out_dir, "training_vectors"))
 

@@ -25,6 +25,7 @@ def test_stages_end_to_end(spark, tmp_dir):
     assert spark.read.json(os.path.join(out, "synonyms")).count() > 0
     assert spark.read.json(os.path.join(out, "rewrites")).count() == ads.select("query").distinct().count()
     n = click_view(spark, SF_SMALL).count()
+    assert spark.read.parquet(os.path.join(out, "clicks_rejected")).count() == 0
     assert spark.read.parquet(os.path.join(out, "training_vectors")).count() == n
     store = spark.read.parquet(os.path.join(out, "feature_store", "v=0"))
     assert store.where("feature_key LIKE 'dipi_%'").agg(F.sum("feature_value")).first()[0] == n
