@@ -89,6 +89,9 @@ def rejected_clicks(lines: DataFrame, schema_ddl: str = CLICK_DDL) -> DataFrame:
 
 def read_clicks(spark: SparkSession, path: str, schema: T.StructType = CLICK,
                 min_partitions: int | None = None) -> DataFrame:
+    """Typed CSV reader (malformed lines are dropped).  To keep them aside
+    instead, read lines and use ``parse_clicks`` + ``rejected_clicks`` (the
+    stage plans do).  ``min_partitions`` spreads a small log for parallel work."""
     df = spark.read.schema(schema).option("mode", "DROPMALFORMED").csv(path)
     return df.repartition(min_partitions) if min_partitions else df
 
