@@ -13,10 +13,16 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 
 def with_global_index(df: DataFrame, order_cols: list, name: str = "idx") -> DataFrame:
-    """Add a 0-based bigint ``name`` following ``order_cols`` (must be a total order)."""
-    s = (df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
-           .withColumn("_pid", F.spark_partition_id())
-           .withColumn("_mid", F.monotonically_increasing_id()))
+    """Add a 0-based bigint ``name`` following ``order_cols`` (must be a total order).
+
+    The (partition id, row id) pair is written once (a table in the checkpoint
+    folder) before counting: the counts and the positions then come from the
+    same stored values, whatever AQE does to the partitioning of each reader."""
+    from clickfeat.session import materialize
+
+    s = materialize(df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
+                      .withColumn("_pid", F.spark_partition_id())
+                      .withColumn("_mid", F.monotonically_increasing_id()), "indexed")
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_pid",
