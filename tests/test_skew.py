@@ -54,3 +54,17 @@ def test_prefix_sum_hot_group_matches_window(spark):
                                                 .rowsBetween(Window.unboundedPreceding, 0)))
     assert sorted(map(tuple, got.select("g", "pos", "cum").collect())) == \
         sorted(map(tuple, want.select("g", "pos", "cum").collect()))
+
+
+def test_lookup_join_size_check_picks_salted_beyond_limit(spark, tmp_dir):
+    from clickfeat.operators.lookup import lookup_join
+    big = skewed_clicks(spark, 6000)
+    small_path = f"{tmp_dir}/small"
+    big.groupBy("device_ip").agg(F.count(F.lit(1)).alias("imps")).write.parquet(small_path)
+    small = spark.read.parquet(small_path)                       # measured size from the files
+    plain = sorted(map(tuple, big.join(small, "device_ip", "left").collect()))
+    for limit in (1, 1 << 30):                                  # salted path, broadcast path
+        j = lookup_join(big, small, ["device_ip"], "imps", max_hot_keys=50, salts=8, limit=limit)
+        plan = spark.sparkContext._jvm.PythonSQLUtils.explainString(j._jdf.queryExecution(), "simple")
+        assert ("_salt" in plan) == (limit == 1)
+        assert sorted(map(tuple, j.select(*big.columns, "imps").collect())) == plain
