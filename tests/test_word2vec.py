@@ -24,3 +24,11 @@ def test_vocabulary_and_synonym_counts(spark):
     for (w1, r1, s1), (w2, r2, s2) in zip(rows, rows[1:]):
         if w1 == w2:
             assert s1 >= s2
+
+
+def test_single_partition_parity_option_is_deterministic(spark):
+    words = tx.sentence_words(tx.sentences(ad_view(spark, SF_CHECK)))
+    a = {r.word: r.vector for r in word_vectors(fit_word2vec(words, num_partitions=1)).collect()}
+    b = {r.word: r.vector for r in word_vectors(fit_word2vec(words, num_partitions=1)).collect()}
+    assert a == b and set(a) == {r.word for r in tx.vocabulary(words, 5).collect()}
+    assert all(len(v) == 10 for v in a.values())
