@@ -27,3 +27,20 @@ def test_stream_matches_batch(spark, tmp_dir):
     got = sorted(map(tuple, read_feature_store(spark, store).collect()))
     want = sorted(map(tuple, feature_store(all_counters(clicks)).collect()))
     assert got == want
+
+
+def test_continuous_trigger_processes_available_files(spark, tmp_dir):
+    clicks = click_view(spark, SF_SMALL).selectExpr(
+        "CAST(device_ip AS STRING) device_ip", "CAST(device_id AS STRING) device_id", "session_id", "query",
+        "CAST(ad_id AS STRING) ad_id", "campaign_id", "cat_match", "clicked")
+    src = os.path.join(tmp_dir, "clicks")
+    clicks.write.csv(os.path.join(src, "day=1"))
+    store = os.path.join(tmp_dir, "store")
+    q = start_counter_stream(spark, os.path.join(src, "*"), store, name="click_counters_cont",
+                             available_now=False, stream_checkpoint=os.path.join(tmp_dir, "ck"))
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = sorted(map(tuple, read_feature_store(spark, store).collect()))
+    assert got == sorted(map(tuple, feature_store(all_counters(clicks)).collect()))
