@@ -35,3 +35,9 @@ def test_every_query_builds_on_smallest_scale(spark):
             continue   # fits are covered in test_models
         df = fn(spark, SF_SMALL)
         df.write.format("noop").mode("overwrite").save()
+
+
+def test_every_query_is_in_the_readme_inventory():
+    m = load_entry()
+    readme = open(os.path.join(ROOT, "README.md"), encoding="utf-8").read()
+    assert [q for q in m.queries() if f"`{q}`" not in readme] == []
