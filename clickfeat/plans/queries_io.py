@@ -11,7 +11,7 @@ from clickfeat.plans.queries_counters import ALL_COUNTERS_SQL_BODY, TRAINING_SQL
 from clickfeat.plans.registry import register, sql_with
 from clickfeat.schemas import CLICK_COLUMNS, FEATURE_COLUMNS
 from clickfeat.sinks.files import clicks_csv_lines, training_tuple_lines, tuple_pair_lines
-from clickfeat.sources.files import (parse_clicks, parse_training_points, parse_tuple_pairs, parse_users,
+from clickfeat.sources.files import (blank, parse_clicks, parse_training_points, parse_tuple_pairs, parse_users,
                                      rejected_clicks, valid_click_lines)
 from clickfeat.sources.fixtures import click_view, user_view
 
@@ -23,35 +23,64 @@ def q_export_clicks_csv(spark, sf_dir):
     return clicks_csv_lines(click_view(spark, sf_dir))
 
 
-@register("scan_clicks", sql_with(["click"], """SELECT CAST(device_ip AS VARCHAR) AS device_ip, CAST(device_id AS VARCHAR)
-AS device_id, session_id, query, CAST(ad_id AS VARCHAR) AS ad_id, CAST(campaign_id AS VARCHAR) AS campaign_id,
-cat_match, clicked FROM click"""))
+# Lines as they come: by the session's last digit a line lacks two fields (0), has a ninth (1: a comma in the
+# query), a blank device (2), a session that is no number (3), a flag of 2 (4), or a blank query (5).
+LAST = "session_id % 10"
+MESSY_SQL = [f"""messy AS (SELECT *, {LAST} AS d, CASE {LAST}
+  WHEN 0 THEN concat_ws(',', device_ip, device_id, session_id, query, ad_id, campaign_id)
+  WHEN 1 THEN concat_ws(',', device_ip, device_id, session_id, query, 'more', ad_id, campaign_id, cat_match, clicked)
+  WHEN 2 THEN concat_ws(',', device_ip, '', session_id, query, ad_id, campaign_id, cat_match, clicked)
+  WHEN 3 THEN concat_ws(',', device_ip, device_id, 'x' || session_id, query, ad_id, campaign_id, cat_match, clicked)
+  WHEN 4 THEN concat_ws(',', device_ip, device_id, session_id, query, ad_id, campaign_id, cat_match, 2)
+  WHEN 5 THEN concat_ws(',', device_ip, device_id, session_id, '', ad_id, campaign_id, cat_match, clicked)
+  ELSE {CLICK_CSV_SQL} END AS value FROM click)"""]
+
+
+def messy_lines(clicks):
+    """Click lines of which some are short, long, blank in places or not numbers (see MESSY_SQL)."""
+    last = F.col("session_id") % 10
+    text = {c: F.col(c).cast("string") for c in CLICK_COLUMNS}
+
+    def line(**other):
+        return F.concat_ws(",", *[F.lit(x) if isinstance(x := other.get(c, text[c]), str) else x for c in CLICK_COLUMNS])
+
+    value = (F.when(last == 0, F.concat_ws(",", *[text[c] for c in CLICK_COLUMNS[:6]]))
+             .when(last == 1, line(query=F.concat(text["query"], F.lit(",more"))))
+             .when(last == 2, line(device_id="")).when(last == 3, line(session_id=F.concat(F.lit("x"), text["session_id"])))
+             .when(last == 4, line(clicked="2")).when(last == 5, line(query="")).otherwise(line()))
+    return clicks.select(value.alias("value"))
+
+
+@register("scan_clicks", sql_with(["click"], """SELECT CAST(device_ip AS VARCHAR) AS device_ip,
+CASE WHEN d = 2 THEN '' ELSE CAST(device_id AS VARCHAR) END AS device_id, session_id, CASE WHEN d = 5 THEN '' ELSE query END AS query,
+CAST(ad_id AS VARCHAR) AS ad_id, CAST(campaign_id AS VARCHAR) AS campaign_id, cat_match, clicked
+FROM messy WHERE d NOT IN (0, 1, 3, 4)""", MESSY_SQL))
 def q_scan_clicks(spark, sf_dir):
-    return parse_clicks(clicks_csv_lines(click_view(spark, sf_dir)))
+    return parse_clicks(messy_lines(click_view(spark, sf_dir)))
 
 
-@register("rejected_clicks", sql_with(["click"], "SELECT count(*) AS n_rejected FROM click WHERE false"))
+@register("rejected_clicks", sql_with(["click"], "SELECT value, count(*) AS n_rejected FROM messy WHERE d IN (0, 1, 3, 4) GROUP BY 1", MESSY_SQL))
 def q_rejected_clicks(spark, sf_dir):
-    return rejected_clicks(clicks_csv_lines(click_view(spark, sf_dir))).agg(F.count(F.lit(1)).alias("n_rejected"))
+    return rejected_clicks(messy_lines(click_view(spark, sf_dir))).groupBy("value").agg(F.count(F.lit(1)).alias("n_rejected"))
 
 
-@register("valid_clicks", sql_with(["click"], f"SELECT {CLICK_CSV_SQL} AS value FROM click "
-                                   f"WHERE len(string_split({CLICK_CSV_SQL}, ',')) >= 8"))
+@register("valid_clicks", sql_with(["click"], "SELECT value FROM messy WHERE d <> 0", MESSY_SQL))
 def q_valid_clicks(spark, sf_dir):
-    c = click_view(spark, sf_dir)
-    lines = c.select(F.concat_ws(",", *[F.col(x).cast("string") for x in CLICK_COLUMNS]).alias("value"))
-    return valid_click_lines(lines)
+    return valid_click_lines(messy_lines(click_view(spark, sf_dir)))
+
+
+def _blanked(spark, sf_dir):
+    return click_view(spark, sf_dir).withColumn("query", F.when(F.col("session_id") % 10 == 5, F.lit("")).otherwise(F.col("query")))
 
 
-@register("blank_guard", sql_with(["click"], """SELECT * FROM click WHERE query <> ''
-AND CAST(ad_id AS VARCHAR) <> '' AND CAST(campaign_id AS VARCHAR) <> ''"""))
+@register("blank_guard", sql_with(["click"], f"SELECT * FROM click WHERE {LAST} <> 5"))
 def q_blank_guard(spark, sf_dir):
-    c = click_view(spark, sf_dir)
-    ok = None
-    for col in ("query", "ad_id", "campaign_id"):
-        cond = F.col(col).cast("string") != ""
-        ok = cond if ok is None else ok & cond
-    return c.where(ok)
+    return _blanked(spark, sf_dir).where(~blank("query", "ad_id", "campaign_id"))
+
+
+@register("blank_rejects", sql_with(["click"], f"SELECT session_id, ad_id, '' AS query FROM click WHERE {LAST} = 5"))
+def q_blank_rejects(spark, sf_dir):
+    return _blanked(spark, sf_dir).where(blank("query", "ad_id", "campaign_id")).select("session_id", "ad_id", "query")
 
 
 @register("scan_users", sql_with(["usr"], """SELECT CAST(ip AS VARCHAR) AS ip, CAST(i - 1 AS INTEGER) AS idx,

@@ -10,7 +10,7 @@ place inside its split -- no single-task numbering.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from clickfeat.operators.indexing import with_global_index
 from clickfeat.schemas import AD, AD_REQUIRED_WEIGHTS, CLICK, CLICK_COLUMNS, SYNONYM
@@ -71,31 +71,48 @@ def valid_click_lines(lines: DataFrame) -> DataFrame:
     return lines.where(F.size(F.split("value", ",", -1)) >= 8)
 
 
-def parse_clicks(lines: DataFrame, schema_ddl: str = CLICK_DDL) -> DataFrame:
-    """CSV line (quoted fields allowed) -> 8 typed columns.  Lines that do not
-    parse to 8 non-null fields go to ``rejected_clicks``."""
-    p = lines.select(F.from_csv("value", schema_ddl, {"mode": "PERMISSIVE"}).alias("c")).select("c.*")
-    return p.dropna(subset=CLICK_COLUMNS)
+CLICK_TEXT = [f.name for f in CLICK.fields if isinstance(f.dataType, T.StringType)]
+_CORRUPT = "_corrupt"
 
 
-def rejected_clicks(lines: DataFrame, schema_ddl: str = CLICK_DDL) -> DataFrame:
-    p = lines.select("value", F.from_csv("value", schema_ddl, {"mode": "PERMISSIVE"}).alias("c"))
-    bad = None
-    for c in CLICK_COLUMNS:
-        cond = F.col(f"c.{c}").isNull()
-        bad = cond if bad is None else (bad | cond)
-    return p.where(bad).select("value")
+def _click_rows(lines: DataFrame) -> DataFrame:
+    """``value`` with its typed fields (struct c) and whether the line is good.  The whole line is always
+    parsed with the full schema, so what is good never depends on the columns a caller reads: a line is
+    bad if it does not have exactly 8 fields, a number does not parse, or a flag is not 0 or 1.  Blank
+    fields are no fault: a blank id is the id ''."""
+    c = F.from_csv("value", f"{CLICK_DDL}, {_CORRUPT} string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    d = lines.select("value", c.alias("c"))
+    flag = lambda x: F.col(f"c.{x}").isin(0, 1)
+    good = F.col("c").isNotNull() & F.col(f"c.{_CORRUPT}").isNull() & flag("cat_match") & flag("clicked")
+    return d.withColumn("good", F.coalesce(good, F.lit(False)))
 
 
-def read_clicks(spark: SparkSession, path: str, schema: T.StructType = CLICK,
-                min_partitions: int | None = None) -> DataFrame:
-    """Typed CSV reader (malformed lines are dropped).  To keep them aside
-    instead, read lines and use ``parse_clicks`` + ``rejected_clicks`` (the
-    stage plans do).  ``min_partitions`` spreads a small log for parallel work."""
-    df = spark.read.schema(schema).option("mode", "DROPMALFORMED").csv(path)
+def parse_clicks(lines: DataFrame) -> DataFrame:
+    """CSV line (quoted fields allowed) -> 8 typed columns; the other lines are in ``rejected_clicks``."""
+    d = _click_rows(lines).where("good")
+    return d.select(*[(F.coalesce(f"c.{x}", F.lit("")) if x in CLICK_TEXT else F.col(f"c.{x}")).alias(x) for x in CLICK_COLUMNS])
+
+
+def rejected_clicks(lines: DataFrame) -> DataFrame:
+    """Quarantine: the lines that ``parse_clicks`` leaves out."""
+    return _click_rows(lines).where(~F.col("good")).select("value")
+
+
+def read_clicks(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
+    """The click log of files; batch, text and stream readers share ``parse_clicks``.  ``min_partitions``
+    spreads a small log for parallel work."""
+    df = parse_clicks(spark.read.text(path))
     return df.repartition(min_partitions) if min_partitions else df
 
 
+def blank(*cols: str):
+    """Guard of the samplers: is one of the columns null or exactly empty?"""
+    bad = F.lit(False)
+    for c in cols:
+        bad = bad | F.coalesce(F.col(c).cast("string") == "", F.lit(True))
+    return bad
+
+
 # --------------------------------------------------------------- counters as tuple text
 def parse_tuple_pairs(lines: DataFrame) -> DataFrame:
     """``('key', 12)`` / ``("men's", 3)`` lines -> (key, value bigint).  The key
@@ -171,12 +188,21 @@ NESTED_MAP = "map<string, map<string, array<bigint>>>"
 
 def parse_nested_map(lines: DataFrame, group: str = "query_group_id", campaign: str = "campaign_id",
                      item: str = "ad_id") -> DataFrame:
-    """JSON ``{group: {campaign: [ad, ...]}}`` lines -> (group, campaign, ad, idx).
-    Keys come back as strings (JSON object keys)."""
-    m = lines.select(F.from_json("value", NESTED_MAP).alias("m"))
-    g = m.select(F.explode("m").alias(group, "_cm"))
-    c = g.select(group, F.explode("_cm").alias(campaign, "_ads"))
-    return c.select(group, campaign, F.posexplode("_ads").alias("idx", item))
+    """``{"chunk": k, "map": {group: {campaign: [item, ...]}}}`` lines, or plain published documents
+    ``{group: {campaign: [...]}}``, -> (group, campaign, item, idx).  ``idx`` is the place in the whole list: a
+    chunk's items come after those of the list's earlier chunks.  Keys come back as strings (JSON object keys)."""
+    j = F.from_json("value", f"chunk bigint, map {NESTED_MAP}")
+    whole = F.from_json("value", NESTED_MAP)
+    m = lines.select(F.coalesce(j["chunk"], F.lit(0)).alias("_k"), F.when(j["map"].isNotNull(), j["map"]).otherwise(whole).alias("m"))
+    g = m.select("_k", F.explode("m").alias(group, "_cm"))
+    c = g.select("_k", group, F.explode("_cm").alias(campaign, "_items"))
+    # one number per chunk, not the items, goes through the window
+    n = c.select(group, campaign, "_k", F.size("_items").alias("_n"))
+    w = Window.partitionBy(group, campaign).orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
+    before = n.select(group, campaign, "_k", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
+    c = c.join(before, [group, campaign, "_k"])
+    return c.select(group, campaign, "_before", F.posexplode("_items").alias("_i", item)).select(
+        group, campaign, (F.col("_before") + F.col("_i")).cast("int").alias("idx"), item)
 
 
 def read_nested_map(spark: SparkSession, path: str, **kw) -> DataFrame:

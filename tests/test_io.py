@@ -69,6 +69,39 @@ def test_nested_map_round_trip(spark, tmp_dir):
     back = src.read_nested_map(spark, out)
     got = sorted((int(r.query_group_id), r.campaign_id, r.ad_id) for r in back.collect())
     assert got == [(1, "c", 10), (1, "c", 11), (1, "d", 12), (2, "c", 13)]
+    order = {(r.query_group_id, r.campaign_id, r.ad_id): r.idx for r in back.collect()}
+    assert order["1", "c", 10] == 0 and order["1", "c", 11] == 1       # the place in the whole list, not in its chunk
+    plain = spark.createDataFrame([('{"1": {"c": [5, 6]}}',)], "value string")
+    assert [(r.ad_id, r.idx) for r in src.parse_nested_map(plain).orderBy("idx").collect()] == [(5, 0), (6, 1)]
+
+
+def test_click_lines_as_they_come(spark, tmp_dir):
+    """File, text and stream readers agree, whatever columns are read; bad lines are set aside."""
+    from clickfeat.streaming.counters import click_stream
+    p = os.path.join(tmp_dir, "clicks.txt")
+    good = ["1.1.1.1,d,5,q,7,9,1,0", "1.1.1.1,,6,q,7,9,0,1", '2.2.2.2,d,7,"a, b",7,9,1,1', "2.2.2.2,d,,q,7,9,1,0"]
+    bad = ["1,2,3,4,5,6", "1.1.1.1,d,8,running, shoes,5,7,1,0", "1.1.1.1,d,x,q,7,9,1,0", "1.1.1.1,d,5,q,7,9,2,0", "1.1.1.1,d,5,q,7,9,1,"]
+    write_lines(p, good + bad)
+    clicks = src.read_clicks(spark, p)
+    assert clicks.count() == clicks.select("query", "clicked").count() == len(clicks.collect()) == len(good)
+    assert sorted(r.value for r in src.rejected_clicks(spark.read.text(p)).collect()) == sorted(bad)
+    rows = {(r.session_id, r.device_id, r.query) for r in clicks.collect()}
+    assert rows == {(5, "d", "q"), (6, "", "q"), (7, "d", "a, b"), (None, "d", "q")}
+    want = sorted(map(str, all_counters(clicks).collect()))
+    lines = spark.createDataFrame([(x,) for x in good + bad], "value string")
+    assert sorted(map(str, all_counters(src.parse_clicks(lines)).collect())) == want
+    os.makedirs(os.path.join(tmp_dir, "in"))
+    write_lines(os.path.join(tmp_dir, "in", "a.txt"), good + bad)
+    q = (all_counters(click_stream(spark, os.path.join(tmp_dir, "in"))).writeStream.outputMode("complete").format("memory")
+         .queryName("click_lines").option("checkpointLocation", os.path.join(tmp_dir, "ck")).trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    assert sorted(map(str, spark.table("click_lines").collect())) == want
+
+
+def test_blank_guard(spark):
+    df = spark.createDataFrame([("q", "1"), ("", "1"), ("q", ""), (None, "1"), (" ", "1")], "query string, ad_id string")
+    assert [(r.query, r.ad_id) for r in df.where(~src.blank("query", "ad_id")).collect()] == [("q", "1"), (" ", "1")]
+    assert df.where(src.blank("query", "ad_id")).count() == 3
 
 
 def test_feature_store_publish_versions_and_append(spark, tmp_dir):
