@@ -45,9 +45,9 @@ def training_vectors(clicks: DataFrame, counters: DataFrame | None = None,
         cnt = counters_of_kind(counters, kind).select(
             *keys, F.col("clicks").alias(f"{p}_clicks"), F.col("impressions").alias(f"{p}_impressions"))
         if salted == "always":
-            out = salted_left_join(out, cnt, keys, f"{p}_impressions", max_hot_keys, salts)
+            out = salted_left_join(out, cnt, keys, max_hot_keys, salts, count_on=clicks)
         elif salted:
-            out = lookup_join(out, cnt, keys, f"{p}_impressions", max_hot_keys, salts)
+            out = lookup_join(out, cnt, keys, max_hot_keys, salts, count_on=clicks)
         else:
             out = out.join(cnt, keys, "left")
     filled = [F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in FEATURE_COLUMNS[:-1]]

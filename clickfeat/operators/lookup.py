@@ -1,57 +1,76 @@
-"""Skew-aware lookup join (big fact table LEFT JOIN small keyed table).
-
-A key may carry a third of the fact rows (one busy device ip, one popular ad).
-A plain shuffle join would put all of those rows in one task.  Here:
-
-1. Hot keys are those whose known frequency exceeds total/max_hot_keys.  As
-   frequencies sum to ``total``, fewer than ``max_hot_keys`` keys qualify, so
-   the hot-key set has a proven size bound and is broadcast.
-2. Fact rows of hot keys get a salt 0..salts-1 from a hash of the row's own
-   columns (deterministic, so a retried task routes every row the same way);
-   the keyed side replicates each hot key's row ``salts`` times.  Cold keys
-   use salt 0.
-3. One shuffle join on (key, salt): a hot key is spread over ``salts`` tasks.
-
-Every salt replica carries the same values, so the result never depends on
-which salt a row gets.
-Spark's AQE skew-join split stays enabled as a second line of defence.
+"""Skew-aware joins of rows to a keyed table (one row per key).
+
+A key may carry a third of the rows (one busy device ip, one popular ad).  A plain
+shuffle join would put all of those rows in one task, and AQE does not split a join
+whose other side is an aggregate on the same key.  Here:
+
+1. A keyed table whose measured size is within the broadcast threshold is broadcast.
+2. Beyond it, the keys' frequencies are counted on the rows themselves (a partial
+   aggregate).  Hot keys exceed total/max_hot_keys rows; as frequencies sum to
+   ``total``, fewer than ``max_hot_keys`` keys qualify, so that set is broadcast.
+3. Rows of hot keys get a salt from a hash of the row's own columns (deterministic, so a
+   retried task routes every row the same way): ``salts`` of them at least, and as many
+   more as it takes for at most max(MIN_TASK_ROWS, total/max_hot_keys) rows per salt.  The
+   keyed side is repeated per salt.  Cold keys use salt 0.
+4. One shuffle join on (key, salt): a hot key is spread over its salts.
+
+Every salt's copy carries the same values, so the result never depends on which salt a
+row gets.  Spark's AQE skew-join split stays enabled as a second line of defence.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from clickfeat.session import broadcast_limit, estimated_bytes
-
-
-def salted_left_join(big: DataFrame, small: DataFrame, keys: list[str], freq_col: str,
-                     max_hot_keys: int = 10000, salts: int = 64) -> DataFrame:
-    total = small.agg(F.sum(freq_col)).scalar()
-    hot = (small.where(F.col(freq_col) > total / F.lit(float(max_hot_keys)))
-                .select(*keys).withColumn("_hot", F.lit(True)))
-    hashable = [f.name for f in big.schema.fields if not isinstance(f.dataType, T.MapType)]
-    row_hash = F.xxhash64(*[F.col(c) for c in hashable])
-    b = (big.join(F.broadcast(hot), keys, "left")
-            .withColumn("_salt", F.when(F.col("_hot"), F.pmod(row_hash, F.lit(salts)))
-                                  .otherwise(F.lit(0)).cast("int"))
-            .drop("_hot"))
-    s = (small.join(F.broadcast(hot), keys, "left")
-              .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                                              .otherwise(F.array(F.lit(0)))))
-              .drop("_hot"))
-    return b.join(s, keys + ["_salt"], "left").drop("_salt")
-
-
-def lookup_join(big: DataFrame, small: DataFrame, keys: list[str], freq_col: str,
-                max_hot_keys: int = 10000, salts: int = 64, limit: int | None = None) -> DataFrame:
+from clickfeat.session import broadcast_limit, estimated_bytes, materialize
+
+MIN_TASK_ROWS = 20_000
+
+
+def _salted(rows: DataFrame, keyed: DataFrame, keys: list[str], how: str, max_hot_keys: int, salts: int,
+            count_on: DataFrame | None = None) -> DataFrame:
+    freq = materialize((rows if count_on is None else count_on).groupBy(*keys).agg(F.count(F.lit(1)).alias("_f")), "key_counts")
+    total = freq.agg(F.sum("_f")).first()[0] or 0
+    per_task = max(MIN_TASK_ROWS, total // max_hot_keys)
+    many = F.greatest(F.lit(salts), F.ceil(F.col("_f") / F.lit(per_task))).cast("int")
+    hot = freq.where(F.col("_f") > total / max_hot_keys).select(*keys, many.alias("_salts"))
+    hashable = [f.name for f in rows.schema.fields if not isinstance(f.dataType, T.MapType)]
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in hashable]), F.col("_salts"))
+    b = (rows.join(F.broadcast(hot), keys, "left")
+             .withColumn("_salt", F.coalesce(spread, F.lit(0)).cast("int")).drop("_salts"))
+    s = (keyed.join(F.broadcast(hot), keys, "left")
+              .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)))
+              .drop("_salts"))
+    return b.join(s, keys + ["_salt"], how).drop("_salt")
+
+
+def split_join(rows: DataFrame, keyed: DataFrame, keys: list[str], max_hot_keys: int = 1000, salts: int = 2,
+               limit: int | None = None) -> DataFrame:
+    """INNER JOIN of ``rows`` to ``keyed`` (unique on ``keys``, often an aggregate of the same
+    rows).  ``keyed`` is written once, so its size is measured, not guessed."""
+    keyed = materialize(keyed, "keyed")
+    lim = broadcast_limit(rows.sparkSession) if limit is None else limit
+    if 0 < estimated_bytes(keyed) <= lim:
+        return rows.join(F.broadcast(keyed), keys)
+    return _salted(rows, keyed, keys, "inner", max_hot_keys, salts)
+
+
+def salted_left_join(big: DataFrame, small: DataFrame, keys: list[str], max_hot_keys: int = 10000, salts: int = 64,
+                     count_on: DataFrame | None = None) -> DataFrame:
+    """LEFT JOIN by salts.  ``count_on``: rows with the keys of ``big`` that are cheaper to count."""
+    return _salted(big, small, keys, "left", max_hot_keys, salts, count_on)
+
+
+def lookup_join(big: DataFrame, small: DataFrame, keys: list[str], max_hot_keys: int = 10000, salts: int = 64,
+                limit: int | None = None, count_on: DataFrame | None = None) -> DataFrame:
     """LEFT JOIN ``small`` (unique on ``keys``) onto ``big``.
 
     Broadcast only behind a size check: when Catalyst's estimate of ``small``
     (measured file sizes of a materialised table) is within the broadcast
     threshold, the big side is not shuffled at all.  Beyond it, the salted
-    shuffle join spreads hot keys over ``salts`` tasks.
+    shuffle join spreads hot keys over their salts.
     """
     lim = broadcast_limit(big.sparkSession) if limit is None else limit
     if 0 < estimated_bytes(small) <= lim:
         return big.join(F.broadcast(small), keys, "left")
-    return salted_left_join(big, small, keys, freq_col, max_hot_keys, salts)
+    return salted_left_join(big, small, keys, max_hot_keys, salts, count_on)

@@ -24,7 +24,7 @@ def test_salted_join_spreads_hot_key(spark):
     try:
         big = skewed_clicks(spark)
         small = big.groupBy("device_ip").agg(F.count(F.lit(1)).alias("imps"), F.sum("clicked").alias("clk"))
-        j = salted_left_join(big, small, ["device_ip"], "imps", max_hot_keys=100, salts=16)
+        j = salted_left_join(big, small, ["device_ip"], max_hot_keys=100, salts=16)
         parts = (j.where("device_ip = 7").select(F.spark_partition_id().alias("p")).distinct().count())
         assert parts >= 8                                 # the hot key is processed by many tasks
         plain = big.join(small, "device_ip", "left")
@@ -64,7 +64,37 @@ def test_lookup_join_size_check_picks_salted_beyond_limit(spark, tmp_dir):
     small = spark.read.parquet(small_path)                       # measured size from the files
     plain = sorted(map(tuple, big.join(small, "device_ip", "left").collect()))
     for limit in (1, 1 << 30):                                  # salted path, broadcast path
-        j = lookup_join(big, small, ["device_ip"], "imps", max_hot_keys=50, salts=8, limit=limit)
+        j = lookup_join(big, small, ["device_ip"], max_hot_keys=50, salts=8, limit=limit)
         plan = spark.sparkContext._jvm.PythonSQLUtils.explainString(j._jdf.queryExecution(), "simple")
         assert ("_salt" in plan) == (limit == 1)
         assert sorted(map(tuple, j.select(*big.columns, "imps").collect())) == plain
+
+
+def test_joins_back_to_an_aggregate_are_split(spark):
+    """A third of the rows on one key, no broadcast: no task holds the key."""
+    from clickfeat.operators.lookup import split_join
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        big = skewed_clicks(spark, 300000)
+        total = big.groupBy("device_ip").agg(F.sum("clicked").alias("clk"))
+        j = split_join(big, total, ["device_ip"], limit=0)
+        sizes = j.groupBy(F.spark_partition_id().alias("p")).count()
+        assert sizes.agg(F.max("count")).first()[0] < 50000
+        assert sorted(map(tuple, j.select("device_ip", "session_id", "clk").collect())) == \
+            sorted(map(tuple, big.join(total, "device_ip").select("device_ip", "session_id", "clk").collect()))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_equal_vectors_emit_k_rows_per_query_and_block(spark):
+    import pandas as pd
+
+    from clickfeat.operators.neighbours import _block_topk
+    q = pd.DataFrame({"qid": range(1000), "qvec": [[1.0, 2.0]] * 1000})
+    c = pd.DataFrame({"cid": range(1000), "cvec": [[1.0, 2.0]] * 1000})
+    out = _block_topk(5)(q, c)
+    assert len(out) == 5000 and out[out.qid == 3].cid.tolist() == [0, 1, 2, 4, 5]
