@@ -6,7 +6,9 @@ order the published maps follow).
 
 Per-group totals are partial aggregates joined back on the group key, never
 windows: a window puts a whole (possibly huge) group in one task, while an
-aggregate pre-combines map-side and the join-back is split by AQE when skewed.
+aggregate pre-combines map-side.  AQE does not split a join of rows to an aggregate on
+the same key, so the joins back go through ``split_join``: a broadcast behind a size
+check, beyond it salts for the frequent keys.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from clickfeat.functions.text import tokens
+from clickfeat.operators.lookup import split_join
 
 G, C, A = "query_group_id", "campaign_id", "ad_id"
 
@@ -49,11 +52,12 @@ def quarantined(ads: DataFrame) -> DataFrame:
     return with_relevance(ads).where(F.col("relevance").isNull())
 
 
-def dedupe_last(ads: DataFrame, key: str = A) -> DataFrame:
-    """One row per ad, the last in file order wins (partial max_by aggregate)."""
-    others = [c for c in ads.columns if c != key]
-    agg = ads.groupBy(key).agg(F.max_by(F.struct(*others), F.col("pos")).alias("_r"))
-    return agg.select(key, *[F.col("_r")[c].alias(c) for c in others])
+def dedupe_last(ads: DataFrame, key: str | list[str] = A) -> DataFrame:
+    """One row per ``key`` (an ad, or a list of columns), the last in file order wins (partial max_by aggregate)."""
+    keys = [key] if isinstance(key, str) else key
+    others = [c for c in ads.columns if c not in keys]
+    agg = ads.groupBy(*keys).agg(F.max_by(F.struct(*others), F.col("pos")).alias("_r"))
+    return agg.select(*keys, *[F.col("_r")[c].alias(c) for c in others])
 
 
 def campaign_relevance(ads: DataFrame) -> DataFrame:
@@ -75,7 +79,7 @@ def ad_weights(ads: DataFrame) -> DataFrame:
     raw score.  Columns: group, campaign, ad_id, pos, relevance, weight."""
     s = scored(ads).select(G, C, A, "pos", "relevance")
     tot = s.groupBy(G, C).agg(F.sum("relevance").alias("_t"))
-    return (s.join(tot, [G, C])
+    return (split_join(s, tot, [G, C])
              .withColumn("weight", F.when(F.col("_t") > 0, F.col("relevance") / F.col("_t"))
                                     .otherwise(F.col("relevance")))
              .drop("_t"))
@@ -86,16 +90,18 @@ def campaign_weights(ads: DataFrame) -> DataFrame:
     campaign total.  Columns: group, campaign, first_pos, n_ads, campaign_total, weight."""
     camp = campaign_relevance(ads)
     grp = camp.groupBy(G).agg(F.sum("campaign_total").alias("_gt"))
-    return (camp.join(grp, G)
+    return (split_join(camp, grp, [G])
                 .withColumn("weight", F.when(F.col("_gt") > 0, F.col("campaign_total") / F.col("_gt"))
                                        .otherwise(F.col("campaign_total")))
                 .drop("_gt"))
 
 
 def campaign_weight_last(ads: DataFrame) -> DataFrame:
-    """A campaign in several groups keeps the weight of the group where it
-    appeared last (by first appearance) -- the published single-key map."""
-    return campaign_weights(ads).groupBy(C).agg(F.max_by("weight", "first_pos").alias("weight"))
+    """A campaign in several groups keeps the weight of the group that itself appeared last
+    in the file -- the published single-key map, written group by group in that order."""
+    w = campaign_weights(ads)
+    first = ads.groupBy(G).agg(F.min("pos").alias("group_first_pos"))
+    return split_join(w, first, [G]).groupBy(C).agg(F.max_by("weight", "group_first_pos").alias("weight"))
 
 
 def group_campaign_ads(ads: DataFrame) -> DataFrame:
@@ -114,7 +120,7 @@ def campaign_ads_reset(ads: DataFrame) -> DataFrame:
     the last such first appearance remain."""
     first = ads.groupBy(G, C).agg(F.min("pos").alias("_fp"))
     reset = first.groupBy(C).agg(F.max("_fp").alias("_reset"))
-    return (ads.select(C, A, "pos").join(reset, C)
+    return (split_join(ads.select(C, A, "pos"), reset, [C])
                .where(F.col("pos") >= F.col("_reset")).drop("_reset"))
 
 
@@ -127,7 +133,7 @@ def group_queries_dropfirst(ads: DataFrame) -> DataFrame:
     """Faithful form: the group's first ad only creates the group, its query is
     recorded only if it occurs again."""
     first = ads.groupBy(G).agg(F.min("pos").alias("_fp"))
-    return (ads.select(G, "query", "pos").join(first, G)
+    return (split_join(ads.select(G, "query", "pos"), first, [G])
                .where(F.col("pos") > F.col("_fp")).select(G, "query").distinct())
 
 
@@ -147,15 +153,14 @@ def distinct_queries(ads: DataFrame) -> DataFrame:
 
 def lowest_weight_ad(ads: DataFrame) -> DataFrame:
     """Per group with more than one campaign: the campaign of lowest weight
-    (strictly below 1.0, ties -> first appearance), then inside it the ad of
-    lowest weight (strictly below 1.0, ties -> file order), if the campaign has
-    more than one ad.  Both argmins are partial aggregates of a min(struct)."""
+    (strictly below 1.0, ties -> first appearance), then, if that campaign owns more than
+    one ad in all groups together, the ad of lowest weight (strictly below 1.0, ties -> file
+    order) among all of them.  Every argmin is a partial aggregate of a min(struct)."""
     cw = campaign_weights(ads)
-    ncamp = cw.groupBy(G).agg(F.count(F.lit(1)).alias("_nc"))
-    cand = cw.join(ncamp, G).where((F.col("_nc") > 1) & (F.col("weight") < 1.0))
-    best_c = cand.groupBy(G).agg(
-        F.min(F.struct(F.round("weight", 9).alias("w"), F.col("first_pos"), F.col("n_ads"), F.col(C))).alias("_b"))
-    best_c = best_c.where(F.col("_b.n_ads") > 1).select(G, F.col(f"_b.{C}").alias(C))
-    aw = ad_weights(ads).join(best_c, [G, C]).where(F.col("weight") < 1.0)
-    best_a = aw.groupBy(G, C).agg(F.min(F.struct(F.round("weight", 9).alias("w"), F.col("pos"), F.col(A))).alias("_a"))
-    return best_a.select(G, C, F.col(f"_a.{A}").alias(A))
+    best_c = cw.groupBy(G).agg(F.count(F.lit(1)).alias("_nc"), F.min(F.when(F.col("weight") < 1.0, F.struct(
+        F.round("weight", 9).alias("w"), F.col("first_pos"), F.col(C)))).alias("_b"))
+    best_c = best_c.where((F.col("_nc") > 1) & F.col("_b").isNotNull()).select(G, F.col(f"_b.{C}").alias(C))
+    owns = ads.groupBy(C).agg(F.count(F.lit(1)).alias("_own")).where(F.col("_own") > 1).select(C)
+    aw = ad_weights(ads).where(F.col("weight") < 1.0)
+    best_a = aw.groupBy(C).agg(F.min(F.struct(F.round("weight", 9).alias("w"), F.col("pos"), F.col(A))).alias("_a"))
+    return best_c.join(owns, C, "left_semi").join(best_a, C).select(G, C, F.col(f"_a.{A}").alias(A))

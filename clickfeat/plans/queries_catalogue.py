@@ -75,8 +75,8 @@ def q_campaign_weight(spark, sf_dir):
     return cat.campaign_weights(_ads(spark, sf_dir)).select(G, C, R9("weight").alias("weight"))
 
 
-@register("campaign_weight_last", sql_with(["ad"], "SELECT campaign_id, round(arg_max(weight, first_pos), 9) AS weight "
-                                           "FROM cw GROUP BY 1", CAMP))
+@register("campaign_weight_last", sql_with(["ad"], "SELECT campaign_id, round(arg_max(weight, gfp), 9) AS weight FROM cw "
+                                           "JOIN (SELECT query_group_id, min(pos) AS gfp FROM ad GROUP BY 1) USING (query_group_id) GROUP BY 1", CAMP))
 def q_campaign_weight_last(spark, sf_dir):
     return cat.campaign_weight_last(_ads(spark, sf_dir)).select(C, R9("weight").alias("weight"))
 
@@ -145,15 +145,13 @@ def q_distinct_queries(spark, sf_dir):
     return cat.distinct_queries(_ads(spark, sf_dir))
 
 
-@register("lowest_weight_ad", sql_with(["ad"], """SELECT query_group_id, campaign_id, ad_id FROM (
-  SELECT aw.query_group_id, aw.campaign_id, aw.ad_id,
-         row_number() OVER (PARTITION BY aw.query_group_id, aw.campaign_id ORDER BY round(aw.weight, 9), aw.pos) AS rn
-  FROM aw JOIN bc ON aw.query_group_id = bc.query_group_id AND aw.campaign_id = bc.campaign_id
-  WHERE aw.weight < 1.0) WHERE rn = 1""", CAMP + [
-    "nc AS (SELECT query_group_id, count(*) AS nc FROM cw GROUP BY 1)",
+@register("lowest_weight_ad", sql_with(["ad"], """SELECT query_group_id, campaign_id, ad_id FROM bc JOIN (
+  SELECT campaign_id, ad_id, row_number() OVER (PARTITION BY campaign_id ORDER BY round(weight, 9), pos) AS rn
+  FROM aw WHERE weight < 1.0) USING (campaign_id)
+WHERE rn = 1 AND campaign_id IN (SELECT campaign_id FROM ad GROUP BY 1 HAVING count(*) > 1)""", CAMP + [
     """bc AS (SELECT query_group_id, campaign_id FROM (
-  SELECT cw.*, row_number() OVER (PARTITION BY cw.query_group_id ORDER BY round(cw.weight, 9), cw.first_pos) AS rn
-  FROM cw JOIN nc USING (query_group_id) WHERE nc > 1 AND cw.weight < 1.0) WHERE rn = 1 AND n_ads > 1)"""]))
+  SELECT cw.*, row_number() OVER (PARTITION BY query_group_id ORDER BY round(weight, 9), first_pos) AS rn FROM cw
+  WHERE weight < 1.0 AND query_group_id IN (SELECT query_group_id FROM cw GROUP BY 1 HAVING count(*) > 1)) WHERE rn = 1)"""]))
 def q_lowest_weight_ad(spark, sf_dir):
     return cat.lowest_weight_ad(_ads(spark, sf_dir))
 
@@ -175,20 +173,22 @@ def q_multi_campaign_groups(spark, sf_dir):
 
 
 NESTED_SQL = """SELECT query_group_id, campaign_id, CAST(row_number() OVER (
-    PARTITION BY query_group_id, campaign_id, floor(pos / 10000) ORDER BY pos) - 1 AS INTEGER) AS idx, ad_id FROM ad"""
+    PARTITION BY query_group_id, campaign_id ORDER BY pos) - 1 AS INTEGER) AS idx, ad_id FROM ad"""
+#: Positions per line, small enough that lists go over several lines.
+MAP_CHUNK = 97
 
 
-@register("export_group_map", sql_with(["ad"], "SELECT count(*) AS n_lines, CAST(sum(n) AS BIGINT) AS n_ads FROM (SELECT count(*) AS n "
-                                       "FROM ad GROUP BY query_group_id, campaign_id, floor(pos / 10000))"))
+@register("export_group_map", sql_with(["ad"], f"""SELECT query_group_id, campaign_id, CAST(floor(pos / {MAP_CHUNK}) AS BIGINT) AS chunk,
+  string_agg(CAST(ad_id AS VARCHAR), ' ' ORDER BY pos) AS ads FROM ad GROUP BY 1, 2, 3"""))
 def q_export_group_map(spark, sf_dir):
-    lines = nested_map_lines(cat.group_campaign_ads(_ads(spark, sf_dir)))
-    per_line = lines.select(F.size(F.element_at(F.map_values(F.element_at(F.map_values(
-        F.from_json("value", "map<string, map<string, array<bigint>>>")), 1)), 1)).alias("n"))
-    return per_line.agg(F.count(F.lit(1)).alias("n_lines"), F.sum("n").cast("bigint").alias("n_ads"))
+    lines = nested_map_lines(cat.group_campaign_ads(_ads(spark, sf_dir)), chunk=MAP_CHUNK)
+    j = lines.select(F.from_json("value", "chunk bigint, map map<string, map<string, array<bigint>>>").alias("j"))
+    g = j.select("j.chunk", F.explode("j.map").alias(G, "c")).select("chunk", F.col(G).cast("bigint").alias(G), F.explode("c").alias(C, "a"))
+    return g.select(G, C, "chunk", F.array_join(F.col("a").cast("array<string>"), " ").alias("ads"))
 
 
 @register("scan_nested_map", sql_with(["ad"], NESTED_SQL))
 def q_scan_nested_map(spark, sf_dir):
-    lines = nested_map_lines(cat.group_campaign_ads(_ads(spark, sf_dir)))
+    lines = nested_map_lines(cat.group_campaign_ads(_ads(spark, sf_dir)), chunk=MAP_CHUNK)
     rows = parse_nested_map(lines)
     return rows.select(F.col(G).cast("bigint").alias(G), C, "idx", A)

@@ -10,18 +10,19 @@ from clickfeat.operators.feature_store import upsert
 
 def nested_map_lines(rows: DataFrame, group: str = "query_group_id", campaign: str = "campaign_id",
                      item: str = "ad_id", order: str = "pos", chunk: int = 10000) -> DataFrame:
-    """Rows -> JSON lines ``{group: {campaign: [items in order]}}``.
+    """Rows -> JSON lines ``{"chunk": k, "map": {group: {campaign: [items in order]}}}``.
 
     The reference writes one document; here each line holds one (group,
     campaign, chunk) so no line grows with the catalogue: a chunk covers the
-    positions [k*chunk, (k+1)*chunk), hence at most ``chunk`` items.  Reading all
-    lines and exploding them gives back the full map.
+    positions [k*chunk, (k+1)*chunk), hence at most ``chunk`` items, and carries its
+    number, so reading all lines gives back the full map with its order.
     """
     k = F.floor(F.col(order) / chunk).alias("_chunk")
     agg = rows.groupBy(group, campaign, k).agg(
         F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(item).alias("i")))).alias("_l"))
     inner = F.create_map(F.col(campaign).cast("string"), F.transform("_l", lambda s: s["i"]))
-    return agg.select(F.to_json(F.create_map(F.col(group).cast("string"), inner)).alias("value"))
+    return agg.select(F.to_json(F.struct(
+        F.col("_chunk").alias("chunk"), F.create_map(F.col(group).cast("string"), inner).alias("map"))).alias("value"))
 
 
 def write_nested_map(rows: DataFrame, path: str, mode: str = "overwrite", **kw) -> None:

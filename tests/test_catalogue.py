@@ -69,6 +69,28 @@ def test_campaign_weight_last_group_wins(spark):
     assert last["c"] == 1.0   # group 2 (appeared last) has c alone
 
 
+def test_campaign_weight_last_follows_the_groups_first_appearance(spark):
+    # c enters group 2 before group 1, but group 1 appears first in the file: group 2's weight stays
+    df = ads_df(spark, [(1, "d", 1, "q", "x", ["q"], 0), (2, "c", 2, "q", "x", ["q"], 1), (3, "e", 2, "q", "x", ["q"], 2),
+                        (4, "e", 2, "q", "x", ["q"], 3), (5, "e", 2, "q", "x", ["q"], 4), (6, "c", 1, "q", "x", ["q", "r"], 5)])
+    last = {r.campaign_id: r.weight for r in cat.campaign_weight_last(df).collect()}
+    assert last["c"] == pytest.approx(0.25)
+
+
+def test_lowest_weight_looks_at_all_ads_of_the_campaign(spark):
+    # c is the lowest campaign of group 1 with one ad there, but owns two more in group 2
+    df = ads_df(spark, [(1, "c", 1, "q", "x", ["q", "r", "s"], 0), (2, "d", 1, "q", "x", ["q"], 1), (3, "c", 2, "q", "x", ["q"], 2),
+                        (4, "c", 2, "q", "x", ["q", "r"], 3)])
+    got = {r.query_group_id: (r.campaign_id, r.ad_id) for r in cat.lowest_weight_ad(df).collect()}
+    assert got == {1: ("c", 4)}
+
+
+def test_memberships_are_kept(spark):
+    df = ads_df(spark, [(1, "c", 1, "q", "x", ["q"], 0), (1, "c", 2, "q", "x", ["q"], 1), (1, "c", 1, "r", "x", ["q"], 2)])
+    got = sorted((r.query_group_id, r.query) for r in cat.dedupe_last(df, [cat.G, cat.C, cat.A]).collect())
+    assert got == [(1, "r"), (2, "q")]
+
+
 def test_first_query_of_group_dropped(spark):
     df = ads_df(spark, [(1, "c", 1, "q1", "x", ["q1"], 0), (2, "c", 1, "q2", "x", ["q2"], 1),
                         (3, "c", 1, "q1", "x", ["q1"], 2)])

@@ -64,10 +64,12 @@ def test_lowest_weight_pick(spark):
             if len(camps) <= 1:
                 continue
             low = [x for x in camps if x[0] < 1.0]
-            if not low or low[0][3] <= 1:
+            if not low:
                 continue
             c = low[0][2]
-            ads = sorted((round(aw[a], 9), p, a) for a, cc, gg, q, k, kw, p in rows if gg == g and cc == c)
+            if sum(r[1] == c for r in rows) <= 1:      # the campaign's own list: its ads of all groups
+                continue
+            ads = sorted((round(aw[r[0]], 9), r[6], r[0]) for r in rows if r[1] == c and r[0] in aw)
             ads = [x for x in ads if x[0] < 1.0]
             if ads:
                 want[g] = (c, ads[0][2])
