@@ -1,6 +1,6 @@
 """Seeded, partition-independent uniforms.
 
-u(key) = first 8 hex digits of md5(key) / 2**32, key = seed|part1|part2...
+u(key) = first 13 hex digits of md5(key) / 2**52 (exact in a double), key = seed|part1|part2...
 The same key gives the same number on any cluster layout and after task
 retries, and the same expression is writable in plain SQL.
 """
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-TWO_POW_32 = 4294967296.0
+TWO_POW_52 = 4503599627370496.0
 
 
 def seed_key(seed, *parts) -> Column:
@@ -22,7 +22,7 @@ def seed_key(seed, *parts) -> Column:
 
 
 def uniform_of_key(key: Column) -> Column:
-    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint") / F.lit(TWO_POW_32)
+    return F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("bigint") / F.lit(TWO_POW_52)
 
 
 def hash_uniform(seed, *parts) -> Column:

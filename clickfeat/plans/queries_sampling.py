@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from clickfeat.functions.random import hash_uniform
+from clickfeat.operators.lookup import split_join
 from clickfeat.operators import catalogue as cat
 from clickfeat.operators import sampling as smp
 from clickfeat.operators.users import user_cohorts
@@ -18,7 +19,7 @@ R9 = lambda c: F.round(c, 9)
 def U(*parts: str) -> str:
     """DuckDB form of hash_uniform(42, parts...)."""
     key = " || '|' || ".join(["'42'"] + [p if p.startswith("'") else f"CAST({p} AS VARCHAR)" for p in parts])
-    return f"(('0x' || substr(md5({key}), 1, 8))::BIGINT / 4294967296.0::DOUBLE)"
+    return f"(('0x' || substr(md5({key}), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE)"
 
 
 def PICK(u: str, n: str) -> str:
@@ -179,15 +180,14 @@ NEG_CTES = GC + CA + [
   JOIN ca ON ca.campaign_id = x.campaign_id AND ca.idx = {PICK(U("'camp_ad'", 'x.src_ad_id'), 'nn.n_ads')}
   WHERE x.idx = {PICK(U("'camp'", 'x.src_ad_id'), 'x.n')})""",
     # type 2: lowest-weight ad of lowest-weight campaign of the group
-    "nc AS (SELECT query_group_id, count(*) AS nc FROM cw GROUP BY 1)",
     """bc AS (SELECT query_group_id, campaign_id FROM (
-  SELECT cw.*, row_number() OVER (PARTITION BY cw.query_group_id ORDER BY round(cw.weight, 9), cw.first_pos) AS rn
-  FROM cw JOIN nc USING (query_group_id) WHERE nc > 1 AND cw.weight < 1.0) WHERE rn = 1 AND n_ads > 1)""",
-    """low AS (SELECT query_group_id, campaign_id, ad_id FROM (
-  SELECT aw.query_group_id, aw.campaign_id, aw.ad_id,
-         row_number() OVER (PARTITION BY aw.query_group_id, aw.campaign_id ORDER BY round(aw.weight, 9), aw.pos) AS rn
-  FROM aw JOIN bc ON aw.query_group_id = bc.query_group_id AND aw.campaign_id = bc.campaign_id
-  WHERE aw.weight < 1.0) WHERE rn = 1)""",
+  SELECT cw.*, row_number() OVER (PARTITION BY query_group_id ORDER BY round(weight, 9), first_pos) AS rn FROM cw
+  WHERE weight < 1.0 AND query_group_id IN (SELECT query_group_id FROM cw GROUP BY 1 HAVING count(*) > 1)) WHERE rn = 1)""",
+    # the campaign's ads of all groups count
+    """low AS (SELECT query_group_id, campaign_id, ad_id FROM bc JOIN (
+  SELECT campaign_id, ad_id, row_number() OVER (PARTITION BY campaign_id ORDER BY round(weight, 9), pos) AS rn
+  FROM aw WHERE weight < 1.0) USING (campaign_id)
+  WHERE rn = 1 AND campaign_id IN (SELECT campaign_id FROM ad GROUP BY 1 HAVING count(*) > 1))""",
     "neg2 AS (SELECT a.ad_id AS src_ad_id, l.ad_id, l.campaign_id, 1 AS cat_match FROM ad a JOIN low l USING (query_group_id))",
     "neg3 AS (SELECT ad_id AS src_ad_id, ad_id, campaign_id, 1 AS cat_match FROM ad)",
 ]
@@ -263,7 +263,7 @@ def q_user_cohorts(spark, sf_dir):
 FROM click c JOIN ad a ON a.ad_id = c.ad_id"""))
 def q_ad_query_lookup(spark, sf_dir):
     ads = cat.dedupe_last(_ads(spark, sf_dir).select(A, "query", "pos")).select(A, F.col("query").alias("ad_query"))
-    return click_view(spark, sf_dir).select("session_id", A).join(ads, A).select("session_id", A, "ad_query")
+    return split_join(click_view(spark, sf_dir).select("session_id", A), ads, [A]).select("session_id", A, "ad_query")
 
 
 @register("group_weights", sql_with(["ad"], """SELECT aw.query_group_id, aw.campaign_id, aw.ad_id,
@@ -273,7 +273,7 @@ def q_group_weights(spark, sf_dir):
     ads = _ads(spark, sf_dir)
     cw = cat.campaign_weights(ads).select(G, C, F.col("weight").alias("campaign_weight"))
     aw = cat.ad_weights(ads).select(G, C, A, F.col("weight").alias("ad_weight"))
-    return aw.join(cw, [G, C]).select(G, C, A, R9("campaign_weight").alias("campaign_weight"),
+    return split_join(aw, cw, [G, C]).select(G, C, A, R9("campaign_weight").alias("campaign_weight"),
                                       R9("ad_weight").alias("ad_weight"))
 
 
