@@ -2,9 +2,9 @@
 
 The vectors are numbered (distributed index) and cut into blocks of at most
 ``block_rows`` rows.  Every (query block, candidate block) pair is one cogroup
-task: a matrix product in numpy (queries in sub-chunks of 1024 rows, so memory
-stays at 1024 x block_rows doubles), keeping only each query's k best
-candidates (plus ties at the k-th value).  Each vector is replicated once per
+task: a matrix product in numpy (queries in sub-chunks of 256 rows, so memory
+stays at 256 x block_rows doubles), keeping only each query's k best
+candidates (ties by id).  Each vector is replicated once per
 block on each side, so larger blocks mean less replication: with 2M vectors
 and 16384-row blocks, 123 copies and ~15k tasks.  The per-block
 winners -- at most k * n_blocks rows per query -- are merged by a window whose
@@ -14,6 +14,8 @@ nothing goes through the driver and no pair table is written.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
@@ -22,7 +24,7 @@ from clickfeat.operators.indexing import with_global_index
 from clickfeat.session import materialize
 
 
-def _block_topk(k: int, sub_rows: int = 1024):
+def _block_topk(k: int, sub_rows: int = 256):
     """numpy task for one (query block, candidate block) pair.  Queries are
     processed ``sub_rows`` at a time, so the similarity matrix held in memory
     is at most sub_rows x block_rows doubles."""
@@ -49,6 +51,10 @@ def _block_topk(k: int, sub_rows: int = 1024):
             s = np.where(np.isnan(s), -np.inf, s)
             kth = -np.partition(-s, kk - 1, axis=1)[:, kk - 1]  # k-th largest per row
             rows, cols = np.nonzero((s >= kth[:, None]) & np.isfinite(s))
+            order = np.lexsort((cid[cols], -s[rows, cols], rows))   # exactly k per query: ties by id
+            rows, cols = rows[order], cols[order]
+            place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+            rows, cols = rows[place < kk], cols[place < kk]
             parts.append(pd.DataFrame({"qid": qid[rows].astype("int64"), "cid": cid[cols].astype("int64"),
                                        "sim": s[rows, cols]}))
         return pd.concat(parts, ignore_index=True) if parts else empty
@@ -63,14 +69,19 @@ def top_k_cosine(vectors: DataFrame, id_col: str, vec_col: str, k: int = 5,
     """
     v = vectors.select(F.col(id_col).cast("bigint").alias("id"),
                        F.col(vec_col).cast("array<double>").alias("vec"))
-    v = with_global_index(v, ["id"], "_i").withColumn("_b", F.floor(F.col("_i") / block_rows).cast("int"))
+    # blocks of block_rows at most, and enough of them for every core to have a pair of blocks
+    n = vectors.count()
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    blocks = max(-(-n // block_rows), min(math.isqrt(cores - 1) + 1, -(-n // 64)), 1)
+    rows = max(1, -(-n // blocks))
+    v = with_global_index(v, ["id"], "_i").withColumn("_b", F.floor(F.col("_i") / rows).cast("int"))
     v = materialize(v.drop("_i"), "vector_blocks")   # read twice (query and candidate sides)
     nb = v.agg(F.max("_b") + 1).scalar()
-    blocks = F.sequence(F.lit(0), nb - 1)
+    every = F.sequence(F.lit(0), nb - 1)
     q = v.select(F.col("id").alias("qid"), F.col("vec").alias("qvec"), F.col("_b").alias("qb"),
-                 F.explode(blocks).alias("cb"))
+                 F.explode(every).alias("cb"))
     c = v.select(F.col("id").alias("cid"), F.col("vec").alias("cvec"), F.col("_b").alias("cb"),
-                 F.explode(blocks).alias("qb"))
+                 F.explode(every).alias("qb"))
     best = (q.groupBy("qb", "cb").cogroup(c.groupBy("qb", "cb"))
              .applyInPandas(_block_topk(k), "qid bigint, cid bigint, sim double"))
     w = Window.partitionBy("qid").orderBy(F.col("sim").desc(), F.col("cid"))
