@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.ml.classification import (GBTClassificationModel, GBTClassifier, LogisticRegression,
                                        LogisticRegressionModel)
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickfeat.functions.random import hash_uniform
@@ -26,6 +25,8 @@ GBT_MAX_DEPTH = 3
 GBT_STEP = 0.1
 GBT_MAX_BINS = 32
 TRAIN_SHARE = 0.7
+# Partitions of a training set: fixed, so that fits agree on any machine; raise it with the data.
+MODEL_PARTITIONS = 16
 
 
 def assemble(vectors: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -41,12 +42,6 @@ def split_flag(df: DataFrame, key_cols: list[str], seed: int = 42, share: float
     return df.withColumn("is_train", (hash_uniform(seed, F.lit("split"), *key_cols) < share).cast("int"))
 
 
-def train_test(df: DataFrame, key_cols: list[str], seed: int = 42, share: float = TRAIN_SHARE):
-    flagged = split_flag(df, key_cols, seed, share)
-    return (flagged.where(F.col("is_train") == 1).drop("is_train"),
-            flagged.where(F.col("is_train") == 0).drop("is_train"))
-
-
 def fit_lr(train: DataFrame) -> LogisticRegressionModel:
     """Binary logistic regression by L-BFGS, no intercept, no regularisation."""
     lr = LogisticRegression(maxIter=LR_MAX_ITER, regParam=0.0, elasticNetParam=0.0, fitIntercept=False,
@@ -95,21 +90,10 @@ def gbt_summary(spark: SparkSession, model: GBTClassificationModel) -> DataFrame
         "num_trees int, total_nodes int, debug_chars int, feature_importances array<double>")
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Iterative solvers run one task per partition per iteration: make sure the
-    training set has at least the cluster's default parallelism (a small input
-    file can arrive as one partition).  Large inputs are left as they are."""
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
-
-
-def materialised_split(vectors: DataFrame, key_cols: list[str], seed: int = 42):
-    """Assembled train/test sets, spread over the cluster and checkpointed once."""
-    assembled = materialize(spread(split_flag(assemble(vectors, keep=key_cols), key_cols, seed)),
-                            "training_set", partition_by=["is_train"])
-    return (assembled.where(F.col("is_train") == 1).drop("is_train"),
+def materialised_split(vectors: DataFrame, key_cols: list[str], seed: int = 42, partitions: int = MODEL_PARTITIONS):
+    """Assembled train/test sets from one written table.  The training rows are dealt by their key into
+    ``partitions`` sorted partitions, so a fit does not depend on the machine's cores or file splits."""
+    assembled = materialize(split_flag(assemble(vectors, keep=key_cols), key_cols, seed), "training_set", partition_by=["is_train"])
+    train = assembled.where(F.col("is_train") == 1).drop("is_train")
+    return (train.repartition(partitions, *key_cols).sortWithinPartitions(*key_cols, "label"),
             assembled.where(F.col("is_train") == 0).drop("is_train"))
-
-
-def probability_of_click(predictions: DataFrame) -> DataFrame:
-    return predictions.withColumn("p_click", vector_to_array("probability")[1])

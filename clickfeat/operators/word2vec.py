@@ -11,20 +11,20 @@ W2V_VECTOR_SIZE = 10
 W2V_MIN_COUNT = 5
 W2V_STEP_SIZE = 0.02
 W2V_SEED = 2017
+# Training partitions: fixed, so that the vectors agree on any machine; raise it with the corpus.
+W2V_PARTITIONS = 4
 
 
-def fit_word2vec(words: DataFrame, col: str = "words", num_partitions: int | None = None, max_iter: int = 1,
+def fit_word2vec(words: DataFrame, col: str = "words", num_partitions: int = W2V_PARTITIONS, max_iter: int = 1,
                  window_size: int = 5) -> Word2VecModel:
-    """Skip-gram training spread over ``num_partitions`` tasks (default: the
-    cluster's parallelism, so no single task trains on the whole corpus).
-    ``num_partitions=1`` reproduces the published single-partition vectors
-    exactly, at the cost of one task holding the corpus."""
-    if num_partitions is None:
-        num_partitions = max(1, words.sparkSession.sparkContext.defaultParallelism)
+    """Skip-gram training over ``num_partitions`` tasks.  The sentences are dealt by their own
+    hash and sorted, so the vectors do not depend on cores or file splits.  ``num_partitions=1`` is
+    the published single-partition training, at the cost of one task holding the corpus."""
+    words = words.select(col).repartition(num_partitions, col).sortWithinPartitions(col)
     w2v = Word2Vec(vectorSize=W2V_VECTOR_SIZE, minCount=W2V_MIN_COUNT, stepSize=W2V_STEP_SIZE,
                    seed=W2V_SEED, maxIter=max_iter, numPartitions=num_partitions, windowSize=window_size,
                    inputCol=col, outputCol="_w2v")
-    return w2v.fit(words.select(col))
+    return w2v.fit(words)
 
 
 def word_vectors(model: Word2VecModel) -> DataFrame:

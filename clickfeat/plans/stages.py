@@ -32,7 +32,7 @@ from clickfeat.operators.enrichment import training_vectors
 from clickfeat.operators.feature_store import feature_store
 from clickfeat.operators.neighbours import word_neighbours
 from clickfeat.operators.rewrites import rewrites
-from clickfeat.operators.word2vec import fit_word2vec, word_vectors
+from clickfeat.operators.word2vec import W2V_PARTITIONS, fit_word2vec, word_vectors
 from clickfeat.schemas import AD, AD_REQUIRED_SENTENCES, AD_REQUIRED_WEIGHTS
 from clickfeat.sinks import files as sinks
 from clickfeat.sources import files as src
@@ -48,12 +48,13 @@ def _p(out_dir: str, name: str) -> str:
 
 def stage_catalogue(spark: SparkSession, ads_path: str, out_dir: str, ad_schema=AD) -> None:
     ads = cat.normalise(src.read_ads(spark, ads_path, ad_schema, AD_REQUIRED_WEIGHTS))
-    ads = cat.dedupe_last(ads)
+    ads = cat.dedupe_last(ads, [cat.G, cat.C, cat.A])      # an ad keeps its membership in every group and campaign
     sinks.write_parquet(ads, _p(out_dir, "ads"))
     ads = spark.read.parquet(_p(out_dir, "ads"))
     sinks.write_parquet(cat.quarantined(ads), _p(out_dir, "ads_quarantined"))
     sinks.write_parquet(cat.ad_weights(ads), _p(out_dir, "ad_weights"))
     sinks.write_parquet(cat.campaign_weights(ads), _p(out_dir, "campaign_weights"))
+    sinks.write_parquet(cat.campaign_weight_last(ads), _p(out_dir, "campaign_weight_last"))
     sinks.write_parquet(cat.campaign_category(ads), _p(out_dir, "campaign_category"))
     sinks.write_parquet(cat.group_queries(ads), _p(out_dir, "group_queries"))
     sinks.write_nested_map(cat.group_campaign_ads(ads), _p(out_dir, "group_campaign_ads_map"))
@@ -66,7 +67,7 @@ def stage_corpus(spark: SparkSession, ads_path: str, out_dir: str, ad_schema=AD)
     sinks.write_sentences(tx.sentences(ads), _p(out_dir, "sentences"))
 
 
-def stage_embeddings(spark: SparkSession, out_dir: str, num_partitions: int | None = None) -> None:
+def stage_embeddings(spark: SparkSession, out_dir: str, num_partitions: int = W2V_PARTITIONS) -> None:
     words = tx.sentence_words(spark.read.text(_p(out_dir, "sentences")).withColumnRenamed("value", "sentence"))
     model = fit_word2vec(words, num_partitions=num_partitions)
     model.write().overwrite().save(_p(out_dir, "word2vec_model"))
@@ -111,15 +112,17 @@ def _clicks(spark: SparkSession, clicks_path: str):
 def stage_counters(spark: SparkSession, clicks_path: str, out_dir: str) -> None:
     # lines that do not parse to 8 typed fields are kept aside, not silently dropped
     sinks.write_parquet(src.rejected_clicks(spark.read.text(clicks_path)), _p(out_dir, "clicks_rejected"))
-    clicks = _clicks(spark, clicks_path)
+    sinks.write_parquet(_clicks(spark, clicks_path), _p(out_dir, "clicks"))       # parsed once; the training stage reads it too
+    clicks = spark.read.parquet(_p(out_dir, "clicks"))
     # partitioned by kind: each enrichment lookup reads (and is sized by) one kind
     all_counters(clicks).write.mode("overwrite").partitionBy("kind").parquet(_p(out_dir, "counters"))
     store = feature_store(spark.read.parquet(_p(out_dir, "counters")))
     sinks.publish_feature_store(spark, store, _p(out_dir, "feature_store"))
+    sinks.write_jsonl(store, _p(out_dir, "feature_pairs"))
 
 
 def stage_training(spark: SparkSession, clicks_path: str, out_dir: str) -> None:
-    clicks = _clicks(spark, clicks_path)
+    clicks = spark.read.parquet(_p(out_dir, "clicks"))
     counters = spark.read.parquet(_p(out_dir, "counters"))
     sinks.write_parquet(training_vectors(clicks, counters=counters), _p(out_dir, "training_vectors"))
 

@@ -4,6 +4,7 @@ import os
 
 import numpy as np
 from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from clickfeat.operators import models as ml
@@ -18,7 +19,7 @@ def test_lr_score_equations_and_persistence(spark, tmp_dir):
     train, test = ml.materialised_split(training_vectors(click_view(spark, SF_SMALL)), KEY)
     model = ml.fit_lr(train)
     assert model.intercept == 0.0 and len(model.coefficients) == 11
-    pdf = model.transform(train).select("label", "features", ml.vector_to_array("probability")[1].alias("p")).toPandas()
+    pdf = model.transform(train).select("label", "features", vector_to_array("probability")[1].alias("p")).toPandas()
     x = np.stack(pdf["features"].map(lambda v: v.toArray()).to_numpy())
     r = (pdf["p"] - pdf["label"]).to_numpy()[:, None] * x
     num = np.abs(r.sum(axis=0))
