@@ -29,8 +29,9 @@ WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 16
 EMBED = 8
-#: The sample: documents per language, windows per document, and rows in all.
-DOCS_PER_LANG = 400
+#: The sample: documents per language (dealt evenly over CLASSES hash classes), windows per document, and rows in all.
+DOCS_PER_LANG = 416
+CLASSES = 32
 WINDOWS_PER_DOC = 4
 MOST_ROWS = 16384
 EPOCHS = 6
@@ -142,12 +143,12 @@ class Net:
 
 
 def sample(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG, windows: int = WINDOWS_PER_DOC) -> DataFrame:
-    """Labelled windows (lang, piece): the documents of each language with the smallest hashes, windows
-    spread over the whole text.  ``docs_per_lang`` and MOST_ROWS bound it whatever the input's size."""
+    """Labelled windows (lang, piece): of each language and hash class the documents with the smallest
+    hashes (so no task ranks a whole language), windows spread over the whole text.  ``docs_per_lang`` and MOST_ROWS bound it whatever the input's size."""
     own = (docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & F.col("text").rlike(r"\p{L}"))
            .select("lang", F.xxhash64("doc_id", F.lit(7)).alias("k"), common.text_hash().alias("h")))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("k", "h"))
-    picked = own.withColumn("r", rank).filter(F.col("r") <= docs_per_lang).orderBy("r", "lang").limit(MOST_ROWS // windows)
+    rank = F.row_number().over(Window.partitionBy("lang", F.pmod("k", F.lit(CLASSES))).orderBy("k", "h"))
+    picked = own.withColumn("r", rank).filter(F.col("r") <= -(-docs_per_lang // CLASSES)).orderBy("r", "lang", "k").limit(MOST_ROWS // windows)
     # docs_per_lang rows per language and MOST_ROWS in all: small enough to broadcast
     d = docs.select("lang", "text", F.xxhash64("doc_id", F.lit(7)).alias("k"), common.text_hash().alias("h"))
     d = d.join(F.broadcast(picked.select("lang", "k", "h", "r").distinct()), ["lang", "k", "h"])
