@@ -123,7 +123,9 @@ def training_rows(spark: SparkSession, docs: DataFrame) -> DataFrame:
     drop = F.filter(F.transform(F.col("w"), lambda x: F.when((F.col("v") > 0) & (F.pmod(F.xxhash64(x, F.col("v")), F.lit(10)) == 0), "").otherwise(x)), lambda x: x != "")
     both = both.select("family", drop.alias("w"))
     line = F.explode(F.split(F.coalesce("text", F.lit("")), r"\n"))
-    corpus = (docs.select(F.xxhash64("text").alias("k"), "text").orderBy("k").limit(UNKNOWN_ROWS // 4).select(line.alias("line"))
+    hashed = docs.select(F.xxhash64("text").alias("k"), "text")
+    few = hashed.select("k").distinct().orderBy("k").limit(UNKNOWN_ROWS // 4)      # the hashes first: no task sorts texts
+    corpus = (hashed.join(F.broadcast(few), "k").dropDuplicates(["k"]).select(line.alias("line"))
               .filter(~F.col("line").rlike(ANCHORS)).select(F.lit(UNKNOWN).alias("family"), F.slice(words(F.col("line")), 1, WINDOW).alias("w")))
     corpus = corpus.filter(F.size("w") > 0).orderBy(F.xxhash64("w")).limit(UNKNOWN_ROWS)
     # words of any paragraph around an anchor word are not evidence
