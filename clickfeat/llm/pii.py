@@ -78,18 +78,24 @@ def terms_of(text: Column) -> Column:
     return F.filter(F.array_distinct(F.split(text, WORD)), lambda w: F.length(w) >= LEAST_TERM)
 
 
+def base_items() -> Column:
+    return F.concat(*[common.kinded(F.col(k), i) for i, k in enumerate(KINDS[:4])])
+
+
 def base_rows(docs: DataFrame) -> DataFrame:
-    """doc_id, __h, the spans of each kind, and around every entity its context."""
+    """doc_id, __h, the spans of each kind, around every entity its context, and the text with its base
+    spans replaced (null where there are none)."""
     text = F.coalesce(F.col("text"), F.lit(""))
     d = docs.select("doc_id", common.text_hash().alias("__h"), text.alias("t"))
     d = d.select("*", *[c.alias(k) for k, c in base_spans(F.col("t")).items()])
+    d = d.withColumn("items", F.array_sort(base_items()))
 
     def around(kind: str) -> Column:
         return F.transform(F.col(kind), lambda x: F.struct(F.concat(F.lit(kind + ":"), entity(kind, x["m"])).alias("e"), x["g"].alias("c")))
 
     met = F.concat(*[around(k) for k in KINDS[:4]])
     flat = [F.transform(F.col(k), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))).alias(k) for k in KINDS[:4]]
-    return d.select("doc_id", "__h", *flat, met.alias("met"))
+    return d.select("doc_id", "__h", *flat, met.alias("met"), F.when(F.size("items") > 0, cleaned(F.col("t"), F.col("items"))).alias("clean"))
 
 
 def disclosing_terms(docs: DataFrame, base: DataFrame) -> DataFrame:
@@ -104,27 +110,41 @@ def disclosing_terms(docs: DataFrame, base: DataFrame) -> DataFrame:
     pairs = (pairs.groupBy("e", "term", "ctx").agg(F.count(F.lit(1)).alias("n")).groupBy("e", "term")
              .agg(F.sum("n").alias("n_et"), F.count(F.lit(1)).alias("contexts")).filter(F.col("contexts") >= CONTEXTS))
     pairs = common.table(pairs, "pii-pairs")
-    words = docs.select(F.explode(terms_of(F.coalesce("text", F.lit("")))).alias("term"))
-    words = words.join(pairs.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    j = pairs.join(entities, "e").join(words, "term")
+    # the corpus's words are counted before they meet the pairs, so that join has a row per word
+    words = docs.select(F.explode(terms_of(F.coalesce("text", F.lit("")))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    words = common.table(words.join(pairs.groupBy("term").agg(F.count(F.lit(1)).alias("n")), "term"), "pii-words")
+    # a frequent word stands near many entities
+    j = common.lookup(pairs, words, ["term"], F.col("e")).join(entities, "e")
     n_et = F.least("n_et", "n_e", "n_t")
     bits = F.log2(F.lit(float(total)) / F.col("n_e"))
     share = F.log2(F.lit(float(total)) * n_et / (F.col("n_e") * F.col("n_t"))) / F.when(bits > 0, bits)
     return j.select("term", F.col("e").alias("entity"), share.alias("share")).filter(F.col("share") >= DISCLOSED)
 
 
-def term_spans(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """(doc_id, __h, term spans) of the documents that hold a disclosing term."""
+def holders(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """(__id, __g, terms): the documents that hold disclosing terms."""
+    d = docs.select(F.col("doc_id").alias("__id"), common.text_hash().alias("__g"), F.explode(terms_of(F.coalesce("text", F.lit("")))).alias("term"))
+    return d.join(terms.select("term").distinct(), "term").groupBy("__id", "__g").agg(F.sort_array(F.collect_set("term")).alias("terms"))
+
+
+def term_rows(docs: DataFrame, held: DataFrame) -> DataFrame:
+    """(__id, __g, term, clean) of the documents in ``held``: the spans of their terms, and the text with all its spans replaced."""
     d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("t"), common.text_hash().alias("__h"))
-    held = (d.select("doc_id", "__h", F.explode(terms_of(F.col("t"))).alias("term")).join(terms.select("term").distinct(), "term")
-            .groupBy("doc_id", "__h").agg(F.sort_array(F.collect_set("term")).alias("terms")))
-    held = held.select(F.col("doc_id").alias("__id"), F.col("__h").alias("__g"), "terms")
-    j = d.join(held, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__g")))
+    j = d.join(held, same_row()).select("__id", "__g", "t", "terms")
+    j = j.select("*", *[c.alias(k) for k, c in base_spans(F.col("t")).items()])
     # a term is a whole word of letters and digits, so the words' places are found by splitting once
-    word = common.spans(F.col("t"), r"[\p{L}\p{N}]++")
-    found = F.filter(word, lambda x: F.array_contains(F.col("terms"), x["m"]))
-    got = j.select("doc_id", "__h", F.transform(found, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))).alias("term"))
-    return got.groupBy("doc_id", "__h").agg(F.first("term").alias("term"))
+    found = F.filter(common.spans(F.col("t"), r"[\p{L}\p{N}]++"), lambda x: F.array_contains(F.col("terms"), x["m"]))
+    j = j.withColumn("term", F.transform(found, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))))
+    # a term inside a base span is that span already
+    j = j.withColumn("items", base_items())
+    j = j.withColumn("term", F.filter("term", lambda x: ~F.exists("items", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))))
+    j = j.withColumn("items", F.array_sort(F.concat("items", common.kinded(F.col("term"), 4))))
+    got = j.select("__id", "__g", F.struct("term", cleaned(F.col("t"), F.col("items")).alias("clean")).alias("got"))
+    return got.groupBy("__id", "__g").agg(F.first("got").alias("got")).select("__id", "__g", "got.term", "got.clean")
+
+
+def same_row() -> Column:
+    return F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__g"))
 
 
 def cleaned(text: Column, items: Column) -> Column:
@@ -148,28 +168,12 @@ def sanitise(docs: DataFrame) -> DataFrame:
     comma-joined), sanitised (the text with its spans replaced; null where nothing is to be replaced)."""
     base = common.table(base_rows(docs), "pii-base")
     terms = common.table(disclosing_terms(docs, base), "pii-terms")
-    flat = [*KINDS[:4]]
-    none = F.array().cast("array<struct<s:int,e:int>>")
-    light = base.select("doc_id", "__h", *flat)
-    if terms.limit(1).count():
-        extra = common.table(term_spans(docs, terms), "pii-term-spans").select(F.col("doc_id").alias("__id"), F.col("__h").alias("__g"), "term")
-        light = light.join(extra, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__g")), "left").drop("__id", "__g")
-    else:
-        light = light.withColumn("term", none)
-    light = light.withColumn("term", F.coalesce("term", none))
-    # a term inside a base span is that span already
-    inside = lambda x: F.exists(F.concat(*[F.col(k) for k in flat]), lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
-    light = light.withColumn("term", F.filter("term", lambda x: ~inside(x)))
-    own = F.concat(*[common.kinded(F.col(k), i) for i, k in enumerate(flat)])
+    # few documents hold a disclosing term: as tables their sizes are known, so that their join need not move all texts
+    held = common.table(holders(docs, terms), "pii-holders")
+    more = common.table(term_rows(docs, held), "pii-term-rows").withColumnRenamed("clean", "__clean")
+    d = base.join(more, same_row(), "left")
+    d = d.withColumn("term", F.coalesce("term", F.array().cast("array<struct<s:int,e:int>>")))
+    own = base_items()
     every = F.concat(own, common.kinded(F.col("term"), 4))
-    counted = light.select("doc_id", "__h", *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS], common.span_text(own, KINDS).alias("base"),
-                           common.span_text(every, KINDS).alias("spans"), F.array_sort(every).alias("items"))
-    counted = common.table(counted, "pii-spans")
-    # only texts with something to replace are met again
-    some = counted.filter(F.size("items") > 0).groupBy("doc_id", "__h").agg(F.first("items").alias("items"))
-    some = some.select(F.col("doc_id").alias("__id"), F.col("__h").alias("__g"), "items")
-    d = docs.select("doc_id", F.col("text").alias("t"), common.text_hash().alias("__h"))
-    new = d.join(some, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__g")))
-    new = new.select("__id", "__g", cleaned(F.col("t"), F.col("items")).alias("sanitised")).groupBy("__id", "__g").agg(F.first("sanitised").alias("sanitised"))
-    out = counted.join(new, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__g")), "left")
-    return out.select("doc_id", *[f"n_{k}" for k in KINDS], "base", "spans", "sanitised")
+    return d.select("doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS], common.span_text(own, KINDS).alias("base"),
+                    common.span_text(every, KINDS).alias("spans"), F.coalesce("__clean", "clean").alias("sanitised"))
