@@ -3,9 +3,16 @@
 For a query ``t1 t2 ... tn`` each term is replaced by its synonym list (the
 synonyms followed by the word itself) or, without an entry, by the term alone.
 The rewrites are the ordered cartesian product joined by ``_``, first
-occurrence kept.  All of it is column expressions: posexplode the terms, one
-join with the synonym table, re-assemble per query (bounded by the query's
-term count), then a higher-order ``aggregate`` builds the product.
+occurrence kept.
+
+A query's row holds only its terms' alternatives (their sum, not their
+product).  Rewrite number ``ord`` of the nested loops is read off the digits of
+``ord`` in the mixed radix of the list sizes, so the product is never grown by
+joins: each query's numbers are cut into ranges, the ranges are dealt over the
+tasks, and every task lists the rewrites of its ranges.
+
+Two queries with the same key (``a b`` and ``a_b``) have one set of rewrites,
+that of the smallest query text.
 """
 
 from __future__ import annotations
@@ -13,68 +20,48 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from clickfeat.functions.text import query_key, tokens
+from clickfeat.operators.indexing import rank_within
+from clickfeat.operators.lookup import lookup_join
 
+#: Rewrites in one range, at least (the square root of the product beyond its square).
+RANGE_ROWS = 1024
 
-def rewrites(queries: DataFrame, synonyms: DataFrame, query_col: str = "query",
-             lowercase: bool = False) -> DataFrame:
-    """(query_key, rewrites array<string>).
 
-    ``synonyms``: (word, synonyms) where the list already ends with the word.
-    ``lowercase=False`` matches the published behaviour (queries used as given).
-    """
-    q = queries.select(F.col(query_col).alias("query")).where(F.col("query").isNotNull()).distinct()
-    if lowercase:
-        q = q.select(F.lower("query").alias("query")).distinct()
-    terms = q.select("query", F.posexplode(tokens("query")).alias("ti", "term"))
+def alternatives(queries: DataFrame, synonyms: DataFrame, query_col: str = "query", lowercase: bool = False) -> DataFrame:
+    """(query_key, lists array<array<string>>): per query key the alternatives of each term."""
+    text = F.lower(query_col) if lowercase else F.col(query_col)
+    q = queries.select(text.alias("query")).where(F.col("query").isNotNull())
+    q = q.groupBy(query_key("query").alias("query_key")).agg(F.min("query").alias("query"))
+    terms = q.select("query_key", F.posexplode(tokens("query")).alias("ti", "term"))
     syn = synonyms.select(F.col("word").alias("term"), F.col("synonyms").alias("alts"))
-    looked = terms.join(syn, "term", "left").select(
-        "query", "ti", F.coalesce("alts", F.array("term")).alias("alts"))
-    per_q = looked.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("ti", "alts"))).alias("_l"))
-    lists = F.transform("_l", lambda s: s["alts"])
-    prod = F.aggregate(
-        F.slice(lists, 2, 1 << 30), F.element_at(lists, 1),
-        lambda acc, x: F.flatten(F.transform(acc, lambda p: F.transform(x, lambda c: F.concat(p, F.lit("_"), c)))))
-    return per_q.select(query_key("query").alias("query_key"), F.array_distinct(prod).alias("rewrites"))
+    looked = lookup_join(terms, syn, ["term"]).select("query_key", "ti", F.coalesce("alts", F.array("term")).alias("alts"))
+    per_q = looked.groupBy("query_key").agg(F.array_sort(F.collect_list(F.struct("ti", "alts"))).alias("_l"))
+    return per_q.select("query_key", F.transform("_l", lambda s: s["alts"]).alias("lists"))
 
 
-def rewrite_rows(rw: DataFrame) -> DataFrame:
-    """(query_key, idx, rewrite) rows."""
-    return rw.select("query_key", F.posexplode("rewrites").alias("idx", "rewrite")).select(
-        "query_key", F.col("idx").cast("bigint").alias("idx"), "rewrite")
+def rewrite_rows(queries: DataFrame, synonyms: DataFrame, query_col: str = "query", lowercase: bool = False) -> DataFrame:
+    """(query_key, idx, rewrite), ``idx`` from 0 in the order of the nested loops.
 
+    ``synonyms``: (word, synonyms), one row per word, where the list already ends with the word.
+    ``lowercase=False`` matches the published behaviour (queries used as given)."""
+    one = F.lit(1).cast("bigint")
+    q = alternatives(queries, synonyms, query_col, lowercase)
+    # strides[i]: how many rewrites share the choice of terms 0..i; strides[-1] is 1
+    back = F.aggregate(F.reverse("lists"), F.array(one), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) * F.size(x))))
+    q = q.withColumn("strides", F.reverse(back)).withColumn("n", F.element_at("strides", 1)).where("n > 0")
+    q = q.withColumn("width", F.greatest(F.lit(RANGE_ROWS).cast("bigint"), F.ceil(F.sqrt("n"))))
+    ranges = q.withColumn("range", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr("(n - 1) div width"))))
+    tasks = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = ranges.repartition(tasks, "query_key", "range")
+    rows = dealt.withColumn("ord", F.explode(F.sequence(F.expr("range * width"), F.expr("least(n, (range + 1) * width) - 1"))))
+    pick = F.expr("transform(lists, (x, i) -> x[cast((ord div strides[i + 1]) % size(x) as int)])")
+    rows = rows.select("query_key", "ord", F.array_join(pick, "_").alias("rewrite"))
+    first = rows.groupBy("query_key", "rewrite").agg(F.min("ord").alias("ord"))
+    return rank_within(first, ["query_key"], ["ord"], "idx").select("query_key", "idx", "rewrite")
 
-def rewrite_rows_product(queries: DataFrame, synonyms: DataFrame, query_col: str = "query",
-                         lowercase: bool = False) -> DataFrame:
-    """(query_key, idx, rewrite) rows without building a per-query array.
 
-    The product is grown one term position at a time by joins with that
-    position's alternatives (the plan has as many steps as the longest query
-    has terms; that number is the only value read on the driver).  Each
-    partial rewrite carries its mixed-radix order ``ord = ord * n_alts + i``,
-    which is the order of the nested loops; duplicates keep their smallest
-    ``ord`` (a partial aggregate) and ``idx`` is the rank of ``ord`` inside the
-    query, chunked so that no task sorts a whole large product.
-    """
-    from clickfeat.operators.indexing import rank_within
-
-    q = queries.select(F.col(query_col).alias("query")).where(F.col("query").isNotNull()).distinct()
-    if lowercase:
-        q = q.select(F.lower("query").alias("query")).distinct()
-    terms = q.select("query", F.posexplode(tokens("query")).alias("ti", "term"))
-    syn = synonyms.select(F.col("word").alias("term"), F.col("synonyms").alias("alts"))
-    alts = (terms.join(syn, "term", "left")
-                 .select("query", "ti", F.coalesce("alts", F.array("term")).alias("alts"))
-                 .select("query", "ti", F.size("alts").alias("n"), F.posexplode("alts").alias("ai", "item")))
-    n_steps = terms.agg(F.max("ti")).first()[0]
-    rows = alts.where(F.col("ti") == 0).select("query", F.col("item").alias("s"), F.col("ai").cast("bigint").alias("ord"))
-    for t in range(1, (n_steps or 0) + 1):
-        step = alts.where(F.col("ti") == t).select("query", "n", "ai", "item")
-        rows = (rows.join(step, "query", "left")
-                    .select("query",
-                            F.when(F.col("item").isNull(), F.col("s"))
-                             .otherwise(F.concat("s", F.lit("_"), "item")).alias("s"),
-                            F.when(F.col("item").isNull(), F.col("ord"))
-                             .otherwise(F.col("ord") * F.col("n") + F.col("ai")).alias("ord")))
-    first = rows.groupBy("query", "s").agg(F.min("ord").alias("ord"))
-    ranked = rank_within(first, ["query"], ["ord"], "idx")
-    return ranked.select(query_key("query").alias("query_key"), "idx", F.col("s").alias("rewrite"))
+def rewrite_lines(rows: DataFrame, chunk: int = 10000) -> DataFrame:
+    """Rows -> (query_key, chunk, rewrites): at most ``chunk`` rewrites a line, in order; ``chunk`` numbers the lines of a key."""
+    cut = rows.groupBy("query_key", F.floor(F.col("idx") / chunk).alias("chunk")).agg(
+        F.array_sort(F.collect_list(F.struct("idx", "rewrite"))).alias("_l"))
+    return cut.select("query_key", "chunk", F.transform("_l", lambda s: s["rewrite"]).alias("rewrites"))

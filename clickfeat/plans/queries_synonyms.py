@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from clickfeat.operators import text as tx
 from clickfeat.operators.neighbours import top_k_cosine, word_neighbours
-from clickfeat.operators.rewrites import rewrite_rows_product, rewrites
+from clickfeat.operators.rewrites import rewrite_lines, rewrite_rows
 from clickfeat.operators.word2vec import fit_word2vec, word_vectors
 from clickfeat.plans.registry import register, sql_with
 from clickfeat.sources.files import parse_synonyms
@@ -54,7 +54,7 @@ def q_scan_synonyms(spark, sf_dir):
 
 
 REWRITE_CTES = SYN_CTES + [
-    "q AS (SELECT DISTINCT query FROM ad WHERE query IS NOT NULL)",
+    "q AS (SELECT min(query) AS query FROM ad WHERE query IS NOT NULL GROUP BY replace(query, ' ', '_'))",
     "terms AS (SELECT query, CAST(ti AS INTEGER) AS ti, string_split(query, ' ')[ti] AS term "
     "FROM q, LATERAL (SELECT unnest(range(1, len(string_split(query, ' ')) + 1)) AS ti))",
     "alts AS (SELECT t.query, t.ti, coalesce(s.synonyms, [t.term]) AS alts FROM terms t LEFT JOIN synl s ON s.word = t.term)",
@@ -76,13 +76,14 @@ REWRITE_CTES = SYN_CTES + [
                                      REWRITE_CTES))
 def q_query_rewrites(spark, sf_dir):
     syn = synonym_view(spark, sf_dir).select("word", F.array_append("synonyms", F.col("word")).alias("synonyms"))
-    return rewrite_rows_product(ad_view(spark, sf_dir), syn)
+    return rewrite_rows(ad_view(spark, sf_dir), syn)
 
 
-@register("export_rewrites", sql_with(["syn"], """SELECT query_key, string_agg(rewrite, ',' ORDER BY idx) AS rewrites FROM (
-SELECT replace(query, ' ', '_') AS query_key, row_number() OVER (PARTITION BY query ORDER BY ord) AS idx, s AS rewrite
-FROM firsts) GROUP BY 1""", REWRITE_CTES))
+@register("export_rewrites", sql_with(["syn"], """SELECT query_key, chunk, string_agg(rewrite, ',' ORDER BY idx) AS rewrites FROM (
+SELECT query_key, idx, CAST(floor(idx / 10000) AS BIGINT) AS chunk, rewrite FROM (
+SELECT replace(query, ' ', '_') AS query_key, row_number() OVER (PARTITION BY query ORDER BY ord) - 1 AS idx, s AS rewrite
+FROM firsts)) GROUP BY 1, 2""", REWRITE_CTES))
 def q_export_rewrites(spark, sf_dir):
     syn = synonym_view(spark, sf_dir).select("word", F.array_append("synonyms", F.col("word")).alias("synonyms"))
-    rw = rewrites(ad_view(spark, sf_dir), syn)
-    return rw.select("query_key", F.array_join("rewrites", ",").alias("rewrites"))
+    lines = rewrite_lines(rewrite_rows(ad_view(spark, sf_dir), syn))
+    return lines.select("query_key", "chunk", F.array_join("rewrites", ",").alias("rewrites"))

@@ -3,7 +3,7 @@
     catalogue  ads JSON lines -> weights, ordered maps (parquet + JSON-lines maps)
     corpus     ads -> sentence text
     embeddings sentences -> Word2Vec model, vectors, top-5 synonyms (JSON lines)
-    rewrites   synonyms + ad queries -> rewrites (JSON lines)
+    rewrites   synonyms + ad queries -> rewrites (JSON lines of at most 10,000)
     counters   click log -> ten counters (one pass) -> published feature store (keyed upsert);
                unparseable lines -> clicks_rejected
     training   click log + counters -> training vectors (parquet)
@@ -31,7 +31,7 @@ from clickfeat.operators.counters import all_counters
 from clickfeat.operators.enrichment import training_vectors
 from clickfeat.operators.feature_store import feature_store
 from clickfeat.operators.neighbours import word_neighbours
-from clickfeat.operators.rewrites import rewrites
+from clickfeat.operators.rewrites import rewrite_lines, rewrite_rows
 from clickfeat.operators.word2vec import W2V_PARTITIONS, fit_word2vec, word_vectors
 from clickfeat.schemas import AD, AD_REQUIRED_SENTENCES, AD_REQUIRED_WEIGHTS
 from clickfeat.sinks import files as sinks
@@ -83,7 +83,7 @@ def stage_rewrites(spark: SparkSession, ads_path: str, out_dir: str, lowercase:
                    ad_schema=AD) -> None:
     syn = src.parse_synonyms(src.read_lines(spark, _p(out_dir, "synonyms"), positions=True))
     ads = src.read_ads(spark, ads_path, ad_schema, ["query"])
-    sinks.write_jsonl(rewrites(ads, syn, lowercase=lowercase), _p(out_dir, "rewrites"))
+    sinks.write_jsonl(rewrite_lines(rewrite_rows(ads, syn, lowercase=lowercase)), _p(out_dir, "rewrites"))
 
 
 def stage_samples(spark: SparkSession, out_dir: str, n_draws: int = 49, seed: int = 42) -> None:

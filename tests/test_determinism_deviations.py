@@ -3,7 +3,7 @@
 import pytest
 from clickfeat.operators import sampling as smp
 from clickfeat.operators import text as tx
-from clickfeat.operators.rewrites import rewrites
+from clickfeat.operators.rewrites import rewrite_lines, rewrite_rows
 from clickfeat.plans.registry import QUERIES, load_all
 from conftest import SF_SMALL, ads_df
 
@@ -41,8 +41,8 @@ def test_zero_weight_group_draws_nothing(spark):
 def test_rewrites_lowercase_flag(spark):
     q = spark.createDataFrame([("Nike Shoes",)], "query string")
     syn = spark.createDataFrame([("nike", ["adidas", "nike"])], "word string, synonyms array<string>")
-    assert rewrites(q, syn).first().rewrites == ["Nike_Shoes"]                         # as given (D10)
-    assert rewrites(q, syn, lowercase=True).first().rewrites == ["adidas_shoes", "nike_shoes"]
+    assert rewrite_lines(rewrite_rows(q, syn)).first().rewrites == ["Nike_Shoes"]                         # as given (D10)
+    assert rewrite_lines(rewrite_rows(q, syn, lowercase=True)).first().rewrites == ["adidas_shoes", "nike_shoes"]
 
 
 def test_empty_cleaned_query_and_empty_tokens(spark):

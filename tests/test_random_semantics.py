@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clickfeat.functions.text import clean_tokens, ngrams
 from clickfeat.operators import catalogue as cat
-from clickfeat.operators.rewrites import rewrite_rows_product
+from clickfeat.operators.rewrites import rewrite_rows
 
 WORDS = ["a", "b", "ab", "Nike", "nike", "42", "x²", "²", "", "shoes", "run"]
 
@@ -54,7 +54,7 @@ def test_rewrite_product_random(spark):
     qdf = spark.createDataFrame([(q,) for q in queries], "query string")
     sdf = spark.createDataFrame(list(syn.items()), "word string, synonyms array<string>")
     got = {}
-    for row in rewrite_rows_product(qdf, sdf).collect():
+    for row in rewrite_rows(qdf, sdf).collect():
         got.setdefault(row.query_key, []).append((row.idx, row.rewrite))
     for q in queries:
         alts = [syn.get(t, [t]) for t in q.split(" ")]

@@ -1,11 +1,13 @@
 """Token cleaning, windows, n-grams, rewrites, neighbours."""
 
+import itertools
+
 import numpy as np
 from pyspark.sql import functions as F
 
 from clickfeat.functions.text import clean_tokens, ngrams, query_key, token_windows
 from clickfeat.operators.neighbours import top_k_cosine
-from clickfeat.operators.rewrites import rewrites
+from clickfeat.operators.rewrites import rewrite_lines, rewrite_rows
 
 
 def one(spark, expr, value, t="string"):
@@ -30,14 +32,14 @@ def test_windows_and_ngrams(spark):
 def test_rewrite_order_and_fallback(spark):
     q = spark.createDataFrame([("a b",)], "query string")
     syn = spark.createDataFrame([("a", ["x", "a"])], "word string, synonyms array<string>")
-    r = rewrites(q, syn).first()
+    r = rewrite_lines(rewrite_rows(q, syn)).first()
     assert r.query_key == "a_b" and r.rewrites == ["x_b", "a_b"]
 
 
 def test_rewrite_product_dedupes_in_order(spark):
     q = spark.createDataFrame([("a b",)], "query string")
     syn = spark.createDataFrame([("a", ["x", "x", "a"]), ("b", ["y", "b"])], "word string, synonyms array<string>")
-    assert rewrites(q, syn).first().rewrites == ["x_y", "x_b", "a_y", "a_b"]
+    assert rewrite_lines(rewrite_rows(q, syn)).first().rewrites == ["x_y", "x_b", "a_y", "a_b"]
 
 
 def brute_top_k(ids, vecs, k):
@@ -66,14 +68,42 @@ def test_top_k_cosine_matches_brute_force_across_blocks(spark):
         assert got == expect
 
 
-def test_row_product_equals_array_product(spark):
-    from clickfeat.operators.rewrites import rewrite_rows, rewrite_rows_product
-    q = spark.createDataFrame([("a b c",), ("b",), ("c a",), ("a a",)], "query string")
-    syn = spark.createDataFrame([("a", ["x", "y", "a"]), ("c", ["b", "c"]), ("b", ["b"])],
-                                "word string, synonyms array<string>")
-    want = sorted(map(tuple, rewrite_rows(rewrites(q, syn)).collect()))
-    got = sorted(map(tuple, rewrite_rows_product(q, syn).collect()))
-    assert got == want
+def product_rows(queries, syn):
+    """(query_key, idx, rewrite) by nested loops; of queries with one key the smallest."""
+    by_key = {}
+    for q in sorted(set(queries), reverse=True):
+        by_key[q.replace(" ", "_")] = q
+    out = []
+    for key, q in by_key.items():
+        options = [syn.get(t, [t]) for t in q.split(" ")]
+        seen = dict.fromkeys("_".join(x) for x in itertools.product(*options))
+        out += [(key, i, s) for i, s in enumerate(seen)]
+    return sorted(out)
+
+
+def test_rewrites_equal_nested_loops(spark, monkeypatch):
+    from clickfeat.operators import rewrites as rw
+    queries = ["a b c", "b", "c a", "a a", "", "a b", "a_b", "a  c"]
+    syn = {"a": ["x", "y", "a"], "c": ["b", "c"], "b": ["b"], "a_b": ["z", "a_b"], "": ["e", ""]}
+    qdf = spark.createDataFrame([(q,) for q in [*queries, *queries, None]], "query string")
+    sdf = spark.createDataFrame(list(syn.items()), "word string, synonyms array<string>")
+    for width in (1, 2, 1024):
+        monkeypatch.setattr(rw, "RANGE_ROWS", width)
+        assert sorted(map(tuple, rewrite_rows(qdf, sdf).collect())) == product_rows(queries, syn)
+    assert rewrite_rows(qdf.limit(0), sdf).count() == 0
+    assert rewrite_rows(qdf.where("query = 'a b'"), sdf.limit(0)).first().rewrite == "a_b"
+
+
+def test_twelve_terms_are_dealt_over_tasks_and_lines(spark):
+    words = [f"w{i}" for i in range(12)]
+    syn = {w: [f"{w}x", f"{w}y", w] if i % 2 else [f"{w}x", w] for i, w in enumerate(words)}
+    qdf = spark.createDataFrame([(" ".join(words),), ("w0",)], "query string")
+    rows = rewrite_rows(qdf, spark.createDataFrame(list(syn.items()), "word string, synonyms array<string>"))
+    want = product_rows([" ".join(words), "w0"], syn)
+    assert sorted(map(tuple, rows.collect())) == want and len(want) == 6 ** 6 + 2
+    lines = sorted((r.query_key, r.chunk, r.rewrites) for r in rewrite_lines(rows, 10000).collect())
+    assert max(len(x[2]) for x in lines) == 10000
+    assert [s for k, _, x in lines if k != "w0" for s in x] == [s for k, _, s in want if k != "w0"]
 
 
 def test_block_task_sub_chunks_agree():
