@@ -104,8 +104,8 @@ def disclosing_terms(docs: DataFrame, base: DataFrame) -> DataFrame:
     met = base.select("doc_id", "__h", F.explode("met").alias("m")).select("doc_id", "__h", "m.e", "m.c")
     per_doc = F.struct("doc_id", "__h")
     entities = met.groupBy("e").agg(F.approx_count_distinct(per_doc, 0.02).alias("n_e"))
-    pairs = (met.select("e", F.xxhash64("c").alias("ctx"), F.explode(terms_of(F.col("c"))).alias("term"))
-             .filter(~F.lower("e").contains(F.lower("term"))))
+    # the context holds no text of the entity itself, so a term may well be a part of it
+    pairs = met.select("e", F.xxhash64("c").alias("ctx"), F.explode(terms_of(F.col("c"))).alias("term"))
     # a context counts once however often its passage is copied
     pairs = (pairs.groupBy("e", "term", "ctx").agg(F.count(F.lit(1)).alias("n")).groupBy("e", "term")
              .agg(F.sum("n").alias("n_et"), F.count(F.lit(1)).alias("contexts")).filter(F.col("contexts") >= CONTEXTS))

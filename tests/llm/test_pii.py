@@ -82,6 +82,16 @@ def test_disclosing_terms_are_generalised(spark):
     assert all("meeting" in r.sanitised for r in out.values() if r.sanitised and r.doc_id != 5)
 
 
+def test_a_name_that_is_part_of_the_address_is_generalised(spark):
+    rows = [(i, t.replace("Zaphodson", "Smith").replace("z.b@heart", "john.smith@acme").replace(" the ", " mail ")) for i, t in secrets_of_one_person()]
+    out = {r.doc_id: r for r in pii.sanitise(frame(spark, rows)).collect()}
+    for i in (0, 10, 20, 30, 40, 50, 5):
+        at = dict(rows)[i].index("Smith")
+        assert f"term:{at}:{at + 5}" in out[i].spans.split(",")
+        assert "Smith" not in out[i].sanitised and "[NAME]" in out[i].sanitised
+    assert " mail " in out[0].sanitised                # common, so it tells nothing, though the entity is listed as email
+
+
 def test_copies_of_one_passage_are_one_context(spark):
     rows = [(i, "unique Quuxman wrote from q@q.example.com today") for i in range(30)] + [(100 + i, "other words") for i in range(100)]
     assert all(r.n_term == 0 for r in pii.sanitise(frame(spark, rows)).collect())
