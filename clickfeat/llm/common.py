@@ -99,10 +99,9 @@ def emit(docs: DataFrame, decisions: DataFrame) -> DataFrame:
 SPAN = "array<struct<s:int,e:int,m:string,g:string>>"
 
 
-def spans(text: Column, pattern: str, group: int | None = None, beside: int = 0, chunk: int = 256) -> Column:
+def spans(text: Column, pattern: str, group: int | None = None, chunk: int = 256) -> Column:
     """Leftmost non-overlapping matches of ``pattern`` as array<struct<s, e, m, g>>: start and end in code
-    points (end exclusive), the match, and in g that ``group`` or, with ``beside``, up to so many characters of the
-    text on either side (not beyond the next match).
+    points (end exclusive), the match, and in g that ``group`` (the match without one).
 
     The pieces between the matches give the positions: they are added up over chunks of matches first and
     then within each chunk, so that many matches in a text stay cheap."""
@@ -110,9 +109,6 @@ def spans(text: Column, pattern: str, group: int | None = None, beside: int = 0,
     gap = F.split(text, pattern, -1)
     n = F.size(hit)
     got = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else hit
-    if beside:
-        got = F.zip_with(F.slice(gap, F.lit(1), n), F.slice(gap, F.lit(2), n),
-                         lambda x, y: F.concat(F.right(x, F.lit(beside)), F.lit(" "), F.left(y, F.lit(beside))))
     rows = F.arrays_zip(F.slice(F.transform(gap, lambda x: F.length(x)), F.lit(1), n).alias("gap"), hit.alias("m"), got.alias("g"))
     last = F.greatest(F.floor((n - 1) / chunk), F.lit(0)).cast("int")
     chunks = F.transform(F.sequence(F.lit(0), last), lambda c: F.slice(rows, c * chunk + 1, F.lit(chunk)))
@@ -131,6 +127,36 @@ def spans(text: Column, pattern: str, group: int | None = None, beside: int = 0,
     return F.flatten(F.zip_with(chunks, F.slice(starts, F.lit(1), F.size(chunks)), inside))
 
 
+#: Characters of a piece of a text.
+PIECE = 2048
+
+
+def pieces(text: Column, reach: int) -> Column:
+    """The text in pieces, each with the ``reach`` + 2 characters after it, so that a place deep in a long text is reached at once."""
+    last = F.floor(F.length(text) / PIECE).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda c: F.substr(text, c * PIECE + 1, F.lit(PIECE + reach + 2)))
+
+
+def surroundings(items: Column, cut: Column, size: Column, reach: int) -> Column:
+    """For each span in ``items`` (in order) the whole words within ``reach`` characters on either side of it, and what
+    stands between them, not beyond the span before and the span after it.  ``cut``: the text's ``pieces``, ``size``: its length."""
+    def between(low: Column, high: Column) -> Column:
+        c = F.floor(low / PIECE).cast("int")
+        return F.substr(F.get(cut, c), low - c * PIECE + 1, high - low)
+
+    def around(x: Column, i: Column) -> Column:
+        low = F.greatest(x["s"] - reach, F.coalesce(F.get(items, i - 1)["e"], F.lit(0)))
+        high = F.least(x["e"] + reach, F.coalesce(F.get(items, i + 1)["s"], size))
+        # one character more at each end shows whether the border cuts a word, of which no part is left then
+        left = F.regexp_replace(between(F.greatest(low - 1, F.lit(0)), x["s"] + 1), r"(?<![\p{L}\p{N}])[\p{L}\p{N}]++\z", "")
+        right = F.regexp_replace(between(x["e"] - 1, F.least(high + 1, size)), r"^[\p{L}\p{N}]++", "")
+        left = F.when(low > 0, F.regexp_replace(left, r"^[\p{L}\p{N}]++", "")).otherwise(left)
+        right = F.when(high < size, F.regexp_replace(right, r"(?<![\p{L}\p{N}])[\p{L}\p{N}]++\z", "")).otherwise(right)
+        return F.concat(left, F.lit(" "), right)
+
+    return F.transform(items, around)
+
+
 def no_spans() -> Column:
     return F.array().cast(SPAN)
 

@@ -3,7 +3,8 @@
 Base spans come from four patterns (email, ip, card, phone).  Their values are the protected
 entities.  For every entity the words around its occurrences are counted, by documents, and so
 are all words of the corpus.  With N documents, n(e) holding entity e, n(t) holding term t and
-n(e,t) holding t within REACH characters of e (not beyond the next entity of its kind), the pointwise mutual information
+n(e,t) holding t as a whole word within REACH characters of e (not beyond the next entity of its kind; a number that
+fails its kind's check is no entity), the pointwise mutual information
 log2(N n(e,t) / (n(e) n(t))) is how many of the log2(N / n(e)) bits that identify e the term
 discloses.  A term that discloses at least DISCLOSED of them, met in at least CONTEXTS different
 contexts of e (copies of one passage are one context), is sanitised wherever it occurs: a
@@ -57,13 +58,13 @@ def luhn(d: Column) -> Column:
 def base_spans(text: Column) -> dict[str, Column]:
     """The spans of each base kind."""
     def found(needs: Column, pattern: str) -> Column:
-        return F.when(needs & text.rlike(pattern), common.spans(text, pattern, beside=REACH)).otherwise(common.no_spans())
+        return F.when(needs & text.rlike(pattern), common.spans(text, pattern)).otherwise(common.no_spans())
 
     card = lambda m: F.length(digits(m)).between(12, 19)
     return {
         "email": found(text.contains("@"), EMAIL),
         "ip": F.filter(found(text.contains("."), IP), lambda x: x["m"].rlike(rf"^{PART}(?:\.{PART}){{3}}$")),
-        "card": F.filter(F.when(text.rlike(r"[0-9](?:[\x20-]?+[0-9]){11}"), common.spans(text, CARD, beside=REACH)).otherwise(common.no_spans()),
+        "card": F.filter(F.when(text.rlike(r"[0-9](?:[\x20-]?+[0-9]){11}"), common.spans(text, CARD)).otherwise(common.no_spans()),
                          lambda x: F.when(card(x["m"]), luhn(digits(x["m"]))).otherwise(False)),
         "phone": F.filter(found(text.contains("+"), PHONE), lambda x: F.length(digits(x["m"])).between(9, 15)),
     }
@@ -90,8 +91,12 @@ def base_rows(docs: DataFrame) -> DataFrame:
     d = d.select("*", *[c.alias(k) for k, c in base_spans(F.col("t")).items()])
     d = d.withColumn("items", F.array_sort(base_items()))
 
+    # the contexts follow the places of the spans that passed their checks
+    d = d.withColumn("cut", F.when(F.size("items") > 0, common.pieces(F.col("t"), REACH)))
+
     def around(kind: str) -> Column:
-        return F.transform(F.col(kind), lambda x: F.struct(F.concat(F.lit(kind + ":"), entity(kind, x["m"])).alias("e"), x["g"].alias("c")))
+        beside = common.surroundings(F.col(kind), F.col("cut"), F.length("t"), REACH)
+        return F.zip_with(F.col(kind), beside, lambda x, c: F.struct(F.concat(F.lit(kind + ":"), entity(kind, x["m"])).alias("e"), c.alias("c")))
 
     met = F.concat(*[around(k) for k in KINDS[:4]])
     flat = [F.transform(F.col(k), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))).alias(k) for k in KINDS[:4]]

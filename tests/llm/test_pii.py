@@ -92,6 +92,35 @@ def test_a_name_that_is_part_of_the_address_is_generalised(spark):
     assert " mail " in out[0].sanitised                # common, so it tells nothing, though the entity is listed as email
 
 
+def contexts(text):
+    """(entity, words beside it), plainly."""
+    words = [(m.group(), *m.span()) for m in re.finditer(r"[^\W_]+", text)]
+    out, kinds = [], {}
+    for x in filter(None, brute(text)[1].split(",")):
+        k, s, e = x.split(":")
+        kinds.setdefault(k, []).append((int(s), int(e)))
+    for k, v in kinds.items():
+        for i, (s, e) in enumerate(v):
+            low = max(s - pii.REACH, v[i - 1][1] if i else 0)
+            high = min(e + pii.REACH, v[i + 1][0] if i + 1 < len(v) else len(text))
+            own = text[s:e]
+            own = own.lower() if k in ("email", "ip") else re.sub("[^0-9]", "", own)
+            out.append((f"{k}:{own}", sorted(w for w, a, b in words if low <= a and b <= s or e <= a and b <= high)))
+    return sorted(out)
+
+
+def test_contexts_end_at_entities_and_hold_whole_words(spark):
+    card = "4111 1111 1111 1111"
+    rows = [(1, f"card {card} exp 12/27 holder John Smith"), (2, f"in 2019 Mary paid 30 with {card}, then 1.2.3.4.5 and 10.0.0.1 from 1.2.3.999 to Rome"),
+            (3, "x" * 100 + " Anna wrote a@b.example.com and c@d.example.com wrote back " + "abcdefghij " * 10), (4, f"{card} one {card} two {card}three"),
+            (5, ("word " * 700 + f"Zoe {card} 77 Jim ") * 5), (6, "call +49 30 1234567 or +12 for Bob\n"), (7, f"{card}\nJohn" + " " * 90), (8, "é\U0001F600 Ünal " * 300 + "a@b.cd tail")]
+    rows += [(100 + i, t) for i, t in odd(300)]
+    got = {r.doc_id: r.met for r in pii.base_rows(frame(spark, rows)).select("doc_id", "met").collect()}
+    for i, t in rows:
+        assert sorted((m.e, sorted(x for x in re.split(r"[\W_]+", m.c) if x)) for m in got[i]) == contexts(t), (i, t)
+    assert {"holder", "John", "Smith"} <= set(contexts(rows[0][1])[0][1])
+
+
 def test_copies_of_one_passage_are_one_context(spark):
     rows = [(i, "unique Quuxman wrote from q@q.example.com today") for i in range(30)] + [(100 + i, "other words") for i in range(100)]
     assert all(r.n_term == 0 for r in pii.sanitise(frame(spark, rows)).collect())
