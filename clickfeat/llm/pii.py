@@ -6,9 +6,12 @@ are all words of the corpus.  With N documents, n(e) holding entity e, n(t) hold
 n(e,t) holding t as a whole word within REACH characters of e (not beyond the next entity of its kind; a number that
 fails its kind's check is no entity), the pointwise mutual information
 log2(N n(e,t) / (n(e) n(t))) is how many of the log2(N / n(e)) bits that identify e the term
-discloses.  A term that discloses at least DISCLOSED of them, met in at least CONTEXTS different
-contexts of e (copies of one passage are one context), is sanitised wherever it occurs: a
-name-like term (capital letter) is generalised to ``[NAME]``, one with digits to ``[NUMBER]``,
+discloses.  All four are exact counts of different (doc_id, text).  A term that discloses at least
+DISCLOSED of them is sanitised wherever it occurs, if their meeting is no chance: of c independent
+contexts of e, k hold t, which documents hold with a share of q = n(t) / N; the probability of k or
+more is at most exp(-c KL(k/c || q)) (Chernoff) and has to be at most CHANCE.  Contexts in one
+document, or copies of one passage, are not independent and count as one.  So an entity met once
+is disclosed by terms that are rare in the corpus.  A name-like term (capital letter) is generalised to ``[NAME]``, one with digits to ``[NUMBER]``,
 others are removed (``[...]``).  Base spans become ``[EMAIL]`` and so on.
 
 Only column expressions, joins and aggregates are used.  Searching long texts stays linear: every
@@ -29,7 +32,8 @@ from clickfeat.llm import common
 KINDS = ["email", "ip", "card", "phone", "term"]
 REACH = 80
 DISCLOSED = 0.9
-CONTEXTS = 3
+#: The greatest probability of a chance meeting.
+CHANCE = 0.01
 #: Letters and digits of a term.
 LEAST_TERM = 3
 
@@ -103,27 +107,46 @@ def base_rows(docs: DataFrame) -> DataFrame:
     return d.select("doc_id", "__h", *flat, met.alias("met"), F.when(F.size("items") > 0, cleaned(F.col("t"), F.col("items"))).alias("clean"))
 
 
+def chance(k: Column, c: Column, q: Column) -> Column:
+    """At most this is the probability that k or more of c independent contexts hold a term which a share q of all documents holds."""
+    r = k / c
+    kl = r * F.log(r / q) + F.when(k < c, (1 - r) * F.log((1 - r) / (1 - q))).otherwise(0.0)
+    return F.when((q < 1) & (r > q), F.exp(-c * kl)).otherwise(1.0)
+
+
 def disclosing_terms(docs: DataFrame, base: DataFrame) -> DataFrame:
-    """(term, entity, share): the terms that disclose at least DISCLOSED of an entity's bits."""
-    total = base.count()
+    """(term, entity, share): the terms that disclose at least DISCLOSED of an entity's bits, and not by chance."""
+    # rows that repeat both doc_id and text are one document in every count
+    repeated = base.groupBy(F.col("doc_id").alias("__id"), F.col("__h").alias("__g")).agg((F.count(F.lit(1)) - 1).alias("more"))
+    repeated = common.table(repeated.filter("more > 0"), "pii-repeated")
+    more = repeated.agg(F.sum("more")).first()[0] or 0
+    total = base.count() - more
     met = base.select("doc_id", "__h", F.explode("met").alias("m")).select("doc_id", "__h", "m.e", "m.c")
-    per_doc = F.struct("doc_id", "__h")
-    entities = met.groupBy("e").agg(F.approx_count_distinct(per_doc, 0.02).alias("n_e"))
+    met = met.withColumn("ctx", F.xxhash64("c"))
+    per_doc = F.countDistinct(F.struct("doc_id", "__h"))
+    contexts = F.countDistinct("ctx")
+    pairs = met.select("e", "doc_id", "__h", "ctx", F.explode(terms_of(F.col("c"))).alias("term"))
     # the context holds no text of the entity itself, so a term may well be a part of it
-    pairs = met.select("e", F.xxhash64("c").alias("ctx"), F.explode(terms_of(F.col("c"))).alias("term"))
-    # a context counts once however often its passage is copied
-    pairs = (pairs.groupBy("e", "term", "ctx").agg(F.count(F.lit(1)).alias("n")).groupBy("e", "term")
-             .agg(F.sum("n").alias("n_et"), F.count(F.lit(1)).alias("contexts")).filter(F.col("contexts") >= CONTEXTS))
-    pairs = common.table(pairs, "pii-pairs")
+    pairs = common.table(pairs.groupBy("e", "term").agg(per_doc.alias("n_et"), contexts.alias("k")), "pii-pairs")
+    entities = met.groupBy("e").agg(per_doc.alias("n_e"), contexts.alias("c"))
+    entities = common.table(entities.join(pairs.groupBy("e").agg(F.count(F.lit(1)).alias("n")), "e"), "pii-entities")
     # the corpus's words are counted before they meet the pairs, so that join has a row per word
-    words = docs.select(F.explode(terms_of(F.coalesce("text", F.lit("")))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    held = docs.select("doc_id", common.text_hash().alias("__h"), F.coalesce("text", F.lit("")).alias("t"))
+    words = held.select(F.explode(terms_of(F.col("t"))).alias("term"), F.lit(1).cast("long").alias("n"))
+    if more:
+        again = held.join(repeated, same_row()).groupBy("__id", "__g").agg(F.first("t").alias("t"), F.first("more").alias("more"))
+        words = words.unionByName(again.select(F.explode(terms_of(F.col("t"))).alias("term"), (-F.col("more")).alias("n")))
+    words = words.groupBy("term").agg(F.sum("n").alias("n_t"))
     words = common.table(words.join(pairs.groupBy("term").agg(F.count(F.lit(1)).alias("n")), "term"), "pii-words")
-    # a frequent word stands near many entities
-    j = common.lookup(pairs, words, ["term"], F.col("e")).join(entities, "e")
-    n_et = F.least("n_et", "n_e", "n_t")
+    # a frequent word stands near many entities, and many words stand near a frequent entity
+    j = common.lookup(pairs, words, ["term"], F.col("e")).drop("n")
+    j = common.lookup(j, entities, ["e"], F.col("term"))
     bits = F.log2(F.lit(float(total)) / F.col("n_e"))
-    share = F.log2(F.lit(float(total)) * n_et / (F.col("n_e") * F.col("n_t"))) / F.when(bits > 0, bits)
-    return j.select("term", F.col("e").alias("entity"), share.alias("share")).filter(F.col("share") >= DISCLOSED)
+    share = F.log2(F.lit(float(total)) * F.col("n_et") / (F.col("n_e") * F.col("n_t"))) / F.when(bits > 0, bits)
+    k = F.least("k", "n_et")
+    by_chance = chance(k, F.greatest(k, F.least("c", "n_e")), F.col("n_t") / F.lit(float(total)))
+    return (j.select("term", F.col("e").alias("entity"), share.alias("share"), by_chance.alias("chance"))
+            .filter((F.col("share") >= DISCLOSED) & (F.col("chance") <= CHANCE)).drop("chance"))
 
 
 def holders(docs: DataFrame, terms: DataFrame) -> DataFrame:

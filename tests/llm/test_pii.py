@@ -121,6 +121,32 @@ def test_contexts_end_at_entities_and_hold_whole_words(spark):
     assert {"holder", "John", "Smith"} <= set(contexts(rows[0][1])[0][1])
 
 
+def told(spark, rows):
+    docs = frame(spark, rows)
+    base = common.table(pii.base_rows(docs), "test-base")
+    return {(r.entity, r.term): r.share for r in pii.disclosing_terms(docs, base).collect()}
+
+
+def test_rare_entities_and_exact_counts(spark):
+    rows = [(i, "plain words of the meeting") for i in range(1000)]
+    rows[0] = (0, "the Onceler meeting at o@once.example.com")                       # met once
+    rows[1] = (1, "the Twoson meeting at t@two.example.com")
+    rows[2] = (2, "another Twoson paper by t@two.example.com")                       # met twice
+    for i in range(100):                                                             # n(e) = n(t) = 40, 12 shared, each with four mentions
+        if i < 12:
+            rows[100 + i] = (100 + i, f"Sharer{'.' * i} f@four.example.com " * 4)
+        elif i < 40:
+            rows[100 + i] = (100 + i, f"f@four.example.com {'.' * i}" + " and" * 30)
+        elif i < 68:
+            rows[100 + i] = (100 + i, "Sharer of the meeting")
+    got = told(spark, rows)
+    assert got["email:o@once.example.com", "Onceler"] == got["email:t@two.example.com", "Twoson"] == 1
+    assert not any(t in ("the", "meeting") for _, t in got)
+    assert ("email:f@four.example.com", "Sharer") not in got                         # 12 of 40 documents, not 48 of 40
+    # fully repeated rows are one document in all counts
+    assert told(spark, rows + rows[:500]) == got
+
+
 def test_copies_of_one_passage_are_one_context(spark):
     rows = [(i, "unique Quuxman wrote from q@q.example.com today") for i in range(30)] + [(100 + i, "other words") for i in range(100)]
     assert all(r.n_term == 0 for r in pii.sanitise(frame(spark, rows)).collect())
