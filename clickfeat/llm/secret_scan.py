@@ -29,10 +29,10 @@ SCOPE = 300
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?+\x20*+[:=]\x20*+["']?+([A-Za-z0-9+/_.=-]++)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}+"
 HEX = r"[0-9a-f]{24,}+"
-#: A named identifier, an endpoint, an unnamed secret.
-IDENT = r"""\b(?i:user_?name|user_?id|login|account|client_?id|access_?key_?id|tenant_?id)["']?+\x20*+[:=]\x20*+["']?+[A-Za-z0-9@._-]{3,64}+"""
-ENDPOINT = r"""\b(?:[a-z][a-z0-9+]{1,15}+://[A-Za-z0-9._:@/-]{4,200}+|(?i:host_?name|host|endpoint|server|url)["']?+\x20*+[:=]\x20*+["']?+[A-Za-z0-9._:-]{4,200}+|[a-z0-9-]{1,63}+(?:\.[a-z0-9-]{1,63}+){1,8}+:[0-9]{2,5}+\b)"""
-WEAK = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,200}+(?![A-Za-z0-9+/_=-])"
+#: A named identifier, an endpoint, an unnamed secret; of any length, read once as nothing is given back.
+IDENT = r"""\b(?i:user_?name|user_?id|login|account|client_?id|access_?key_?id|tenant_?id)["']?+\x20*+[:=]\x20*+["']?+[A-Za-z0-9@._-]{3,}+"""
+ENDPOINT = r"""\b(?:[a-z][a-z0-9+]{1,15}+://[A-Za-z0-9._:@/-]{4,}+|(?i:host_?name|host|endpoint|server|url)["']?+\x20*+[:=]\x20*+["']?+[A-Za-z0-9._:-]{4,}+|[a-z0-9-]{1,63}+(?:\.[a-z0-9-]{1,63}+){1,8}+:[0-9]{2,5}+\b)"""
+WEAK = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+(?![A-Za-z0-9+/_=-])"
 
 IDENT_ROLE, SECRET_ROLE, ENDPOINT_ROLE = 0, 1, 2
 
