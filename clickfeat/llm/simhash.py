@@ -251,7 +251,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, leaf_rows: int = LEAF_ROWS) -> DataFrame:
-    """One row per document: doc_id, __h (hash of the text), fp, component_id, n_links_class (size of the component)."""
+    """One row per document: doc_id, __h (hash of the text), fp, component_id, size (of the component), root (the
+    component's smallest fingerprint, which tells components apart whatever their doc_ids are)."""
     spark = docs.sparkSession
     common.workers(spark)
     own = docs.select("doc_id", "text", common.text_hash().alias("__h"))
@@ -261,13 +262,13 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BIT
     roots = common.table(reps.join(labels, "fp", "left").select("fp", "rep", "n", F.coalesce("label", "fp").alias("root")), "simhash-root")
     heads = roots.groupBy("root").agg(F.min("rep").alias("component_id"), F.sum("n").alias("size"), F.count(F.lit(1)).alias("n"))
     named = common.lookup(roots.select("fp", "root", F.col("n").alias("rows")), heads, ["root"], F.col("fp"))
-    named = common.table(named.select("fp", "component_id", "size", F.col("rows").alias("n")), "simhash-named")
-    return common.lookup(fps, named, ["fp"], F.col("doc_id")).select("doc_id", "__h", "fp", "component_id", "size")
+    named = common.table(named.select("fp", "root", "component_id", "size", F.col("rows").alias("n")), "simhash-named")
+    return common.lookup(fps, named, ["fp"], F.col("doc_id")).select("doc_id", "__h", "fp", "component_id", "size", "root")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The documents with the smallest doc_id of their group, with all their columns (of rows that share
-    that doc_id, the one with the smallest text hash)."""
+    """One document of every group, with all its columns: the one with the smallest doc_id (a null one last), and of
+    rows that share it the one with the smallest text hash."""
     got = near_groups(docs, shingle, max_bits)
-    first = got.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id", "doc_id").agg(F.min("__h").alias("__h"))
-    return common.emit(docs, first.select("doc_id", "__h", F.lit(1).alias("__emit")))
+    first = got.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__h")).alias("one"))
+    return common.emit(docs, first.select("one.doc_id", "one.__h", F.lit(1).alias("__emit")))

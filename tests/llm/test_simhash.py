@@ -34,6 +34,17 @@ def brute(rows, bits=4):
     return sorted((r[0] is not None, r[0] or 0, fp[i], best.get(find(i))) for i, r in enumerate(rows))
 
 
+def groups(fp, bits=4):
+    """The number of components."""
+    left, n = set(fp), 0
+    while left:
+        new, n = {left.pop()}, n + 1
+        while new:
+            near = {x for x in left if any((x ^ y).bit_count() <= bits for y in new)}
+            left, new = left - near, near
+    return n
+
+
 def got(df):
     return sorted((r.doc_id is not None, r.doc_id or 0, r.fp % (1 << 64), r.component_id) for r in df.collect())
 
@@ -68,6 +79,19 @@ def test_near_copies(spark):
     assert kept.columns == frame(spark, rows).columns
 
 
+def test_null_and_repeated_ids_keep_one_of_every_group(spark):
+    plain = [t.lower() for _, t in near_texts(60) if len(t.split()) >= 30]
+    apart = [t for i, t in enumerate(plain) if all((slow_fingerprint(t) ^ slow_fingerprint(o)).bit_count() > 12 for o in plain[:i])][:6]
+    a, b, c, d, e, f = apart
+    rows = [(None, a), (None, a.upper()), (None, b), (7, c), (7, d), (7, d), (None, e), (3, e.upper()), (9, e), (None, f)]
+    kept = sorted((r.doc_id is not None, r.doc_id or 0, r.text.lower()) for r in simhash.keep_one(frame(spark, rows)).collect())
+    assert kept == sorted([(False, 0, a), (False, 0, b), (True, 7, c), (True, 7, d), (True, 3, e), (False, 0, f)])
+    every = edge_rows()
+    fp = [slow_fingerprint(r[1]) for r in every]
+    out = [slow_fingerprint(r.text) for r in simhash.keep_one(frame(spark, every)).collect()]
+    assert len(out) == len({*out}) == groups(fp)
+
+
 def test_empty(spark):
     assert simhash.near_groups(frame(spark, [])).count() == 0 and simhash.keep_one(frame(spark, [])).count() == 0
 
