@@ -9,7 +9,9 @@ and a magic number.  Any zstandard reader can decompress the whole file; a reade
 one document reads the tail, then only that document's frame, and checks its checksum.
 
 Words are encoded by the tokenizers library; as its white space never joins words, each worker
-keeps a bounded cache of the ids of words met before.
+keeps a bounded cache of the ids of words met before.  With ``added`` (as in ``round_trip``) the
+strings of the tokenizer's added tokens get those tokens' ids, the library's default; texts that may
+hold one go to the library whole.  Without it they are ordinary text.
 
 Files are written under a name of their own per attempt and then renamed, so a task that is
 run again after a lost executor leaves one complete file.  Paths are opened through
@@ -127,6 +129,8 @@ class Reader:
 # ---- encoding ----
 
 LATIN = regex.compile(r"[\x21-\x7e\xa1-\xff]+")
+#: Marks that NFC and lower case neither make of other characters nor change, except by a mark that composes.
+MARKS = regex.compile(r"[!-/:<-@\[-_{-~]+")
 
 
 class WordEncoder:
@@ -136,18 +140,21 @@ class WordEncoder:
     one call for many of them: each pre-token ends with an id whose text ends with the word-end mark.
     Other words go to the library whole."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
             said = json.load(f)
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True          # their strings in a text are ordinary text
+        self.tok.encode_special_tokens = not added
         mark = said["model"].get("end_of_word_suffix")
         steps = said["pre_tokenizer"].get("pretokenizers", [])
         plain = said["normalizer"] and [x["type"] for x in said["normalizer"].get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
         split = next((x["pattern"]["Regex"] for x in steps if x["type"] == "Split" and x["invert"] and x["behavior"] == "Removed"), None)
         self.split = regex.compile(split).findall if mark and split and plain else None
+        # a text without the marks of an added token's string does not hold it; a string without marks may be in any text
+        strings = [x["content"] for x in said.get("added_tokens") or []] if added else []
+        self.hints = {max(MARKS.findall(x) if plain else [], key=len, default="") for x in strings}
         vocab = said["model"]["vocab"]
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         if mark:
@@ -182,6 +189,15 @@ class WordEncoder:
             self.words[w] = whole[i] if c is None else b"".join([self.pieces[p] for p in c])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
+        whole = [i for i, t in enumerate(texts) if t and any(h in t for h in self.hints)]
+        if not whole:
+            return self._by_words(texts)
+        out = self._by_words([None if t and any(h in t for h in self.hints) else t for t in texts])
+        for i in whole:
+            out[i] = self._whole([texts[i]])[0]
+        return out
+
+    def _by_words(self, texts: list[str | None]) -> list[bytes]:
         if len(self.words) > CACHE:
             self.words.clear()
         if len(self.pieces) > CACHE:
@@ -200,17 +216,17 @@ class WordEncoder:
 _ENCODERS: dict = {}
 
 
-def word_encoder(path: str) -> WordEncoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+def word_encoder(path: str, added: bool) -> WordEncoder:
+    if (path, added) not in _ENCODERS:
+        _ENCODERS[path, added] = WordEncoder(path, added)
+    return _ENCODERS[path, added]
 
 
-def _encode(path: str, end_id: int):
+def _encode(path: str, end_id: int, added: bool):
     end = struct.pack("<I", end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = word_encoder(path)
+        e = word_encoder(path, added)
         for b in batches:
             for i in range(0, b.num_rows, 100):
                 part = b.slice(i, 100)
@@ -251,7 +267,7 @@ def _write(folder: str):
     return run
 
 
-def write(docs: DataFrame, tokenizer: str, end_id: int, folder: str, range_rows: int = RANGE_ROWS) -> DataFrame:
+def write(docs: DataFrame, tokenizer: str, end_id: int, folder: str, range_rows: int = RANGE_ROWS, added: bool = False) -> DataFrame:
     """Encode the documents and write their files; the manifest (place, path, n_docs, n_ids, first: ids of
     all files before it) has one row per file and is a table."""
     spark = docs.sparkSession
@@ -266,7 +282,7 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, folder: str, range_rows:
     d = d.withColumn("place", F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(place).cast("int")).select("place", "doc_id", "h", "text")
     fs, root = pafs.FileSystem.from_uri(folder) if "://" in folder else (pafs.LocalFileSystem(), folder.removeprefix("file:"))
     fs.create_dir(root, recursive=True)
-    ids = d.mapInArrow(_encode(tokenizer, end_id), "place int, doc_id long, h long, ids binary")
+    ids = d.mapInArrow(_encode(tokenizer, end_id, added), "place int, doc_id long, h long, ids binary")
     dealt = ids.repartition(max(common.partitions(spark), len(cuts) + 1), "place").sortWithinPartitions("place", F.col("doc_id").asc_nulls_first(), "h")
     files = common.table(dealt.mapInArrow(_write(folder), "place int, path string, n_docs long, n_ids long"), "token-manifest")
     before = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)      # one row per file
@@ -314,6 +330,6 @@ def pack(rows: list[tuple[int | None, bytes]], frame: int = FRAME) -> bytes:
 
 
 def round_trip(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """Write the documents' files below ``spark.checkpoint.dir`` and read them back."""
+    """Write the documents' files below ``spark.checkpoint.dir`` and read them back; ids are the library's by default."""
     folder = common.shared_folder(docs.sparkSession, "tokens")
-    return read(common.table(write(docs, tokenizer, end_id, folder), "token-files"), folder)
+    return read(common.table(write(docs, tokenizer, end_id, folder, added=True), "token-files"), folder)

@@ -97,3 +97,24 @@ def test_round_trip(spark):
 
 def test_empty(spark):
     assert tf.round_trip(frame(spark, []), PATH, 2).count() == 0
+
+
+def test_added_tokens_like_the_unmodified_library(spark):
+    plain = Tokenizer.from_file(PATH)
+
+    def ids(t):
+        return plain.encode(t or "", add_special_tokens=False).ids
+    assert ids("hello <|endoftext|> world") == [3306, 49407, 1002]
+    some = ["hello <|endoftext|> world", "<|startoftext|>one<|endoftext|>two", "a <|ENDOFTEXT|> b <| endoftext |>", "<|endoftext|>", "x <|endoftext|\u0338> y", "  <|endoftext|>\n<|endoftext|> ",
+            "no token", None, *texts()]
+    e = tf.WordEncoder(PATH, added=True)
+    for i in range(0, len(some), 7):
+        for t, got in zip(some[i:i + 7], e.encode(some[i:i + 7])):
+            assert np.frombuffer(got, "<u4").tolist() == ids(t), t
+    rows = [(i, t) for i, t in enumerate(some)]
+    at, want = 0, []
+    for i, t in rows:
+        raw_ids = raw([*ids(t), 2])
+        want.append((i, at, len(raw_ids) // 4, zlib.crc32(raw_ids)))
+        at += len(raw_ids) // 4
+    assert sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in tf.round_trip(frame(spark, rows), PATH, 2).collect()) == want
