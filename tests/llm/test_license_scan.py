@@ -53,3 +53,22 @@ def test_variants(scanned):
 
 def test_empty(spark):
     assert license_scan.scan(frame(spark, [])).count() == 0
+
+
+def test_abbreviated_hyphenated_and_wrapped_notices(spark):
+    mit, apache = license_scan.NOTICES["MIT"][3], license_scan.NOTICES["Apache-2.0"][4]
+
+    def wrap(text, n):
+        w = text.split()
+        return "\n".join(" ".join(w[i:i + n]) for i in range(0, len(w), n))
+    want = {"Released under the LGPL version 3 or later.": "LGPL", "Released under CC-BY-SA 4.0.": "CC", "This file is available under Apache 2.0.": "Apache-2.0",
+            "a story\n\n" + wrap(mit, 3) + "\n\nthe end": "MIT", wrap(apache, 4): "Apache-2.0", "Some words first.\nReleased under\nthe MIT License.": "MIT",
+            "Released\n\nunder\n\nMIT": "", "The cat sat on the mat.\nOf the\nto the\nof this file": ""}
+    rows = [(i, t) for i, t in enumerate(want)]
+    docs = common.documents(spark, SF_CHECK).select("doc_id", "text").limit(100).collect()
+    out = {r.doc_id: r for r in license_scan.scan(frame(spark, rows + [(1000 + r.doc_id, r.text) for r in docs])).collect()}
+    for (i, t), f in zip(rows, want.values()):
+        assert out[i].families == f, (t, out[i])
+    lines = [(1, "Released under the MIT License."), (2, "Released under the AGPL, version 3.\nno more"), (3, "Released\nunder the MIT License."), (4, "The boat was under the\nbridge.")]
+    got = {(r.doc_id, r.line, r.last) for r in license_scan.paragraphs(frame(spark, lines)).collect()}
+    assert {(1, 0, 0), (2, 0, 0), (3, 0, 1)} <= got
