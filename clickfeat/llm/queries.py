@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from clickfeat.llm import bpe, common, exact_dedup, fingerprints, langid, license_scan, mixing, pii, secret_scan, simhash, token_files
+from clickfeat.llm import bpe, common, exact_dedup, fingerprints, langid, license_scan, mixing, periodic_runs, pii, secret_scan, simhash, token_files
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -81,6 +81,11 @@ def op10(spark, sf_dir):
     return exact_dedup.exact_groups(common.documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@query("op11_periodic_runs")
+def op11(spark, sf_dir):
+    return periodic_runs.digests(common.documents(spark, sf_dir), periodic_runs.planted)
+
+
 @query("pipeline")
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
