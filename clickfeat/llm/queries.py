@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from clickfeat.llm import bpe, common, exact_dedup, fingerprints, langid, license_scan, mixing, periodic_runs, pii, secret_scan, simhash, token_files
+from clickfeat.llm import bpe, common, exact_dedup, fingerprints, langid, license_scan, mixing, packing, periodic_runs, pii, secret_scan, simhash, token_files
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -86,6 +86,11 @@ def op11(spark, sf_dir):
     return periodic_runs.digests(common.documents(spark, sf_dir), periodic_runs.planted)
 
 
+@query("op12_packing")
+def op12(spark, sf_dir):
+    return packing.pack(common.documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, end_id=0)
+
+
 @query("pipeline")
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
