@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from clickfeat.llm import bpe, common, exact_dedup, fingerprints, langid, license_scan, mixing, packing, periodic_runs, pii, secret_scan, simhash, token_files
+from clickfeat.llm import bpe, common, exact_dedup, fingerprints, langid, license_scan, mixing, packing, periodic_runs, pii, prefix_trie, secret_scan, simhash, token_files
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -91,6 +91,11 @@ def op12(spark, sf_dir):
     return packing.pack(common.documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, end_id=0)
 
 
+@query("op13_prefix_trie")
+def op13(spark, sf_dir):
+    return prefix_trie.rebuilt_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 @query("pipeline")
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
