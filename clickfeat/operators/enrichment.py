@@ -1,20 +1,25 @@
 """Training vectors: every click row joined with its five counters.
 
 Five typed LEFT joins replace the ten per-row key-value lookups; a missing
-counter is 0.  Each join is skew-aware (operators/lookup.py); AQE turns the
-small counter tables (device ips, ads) into broadcast joins at runtime after
-measuring them, so no size is assumed.
+counter is 0.  Each join is skew-aware (operators/lookup.py): a kind whose measured size allows it is
+broadcast.  Beyond that, ads, query x campaign and query x ad are joined to the log's different (query,
+campaign, ad) triples first, and the log meets that one table, so it crosses the network once for the three; device
+ips and device ids have a salted join each.
+
+``out_of_fold_vectors`` leaves a row's own fold out of its counters, so that no row's label is part of its features.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from clickfeat.operators.counters import KIND_KEYS, all_counters, counters_of_kind
-from clickfeat.operators.lookup import lookup_join, salted_left_join
+from clickfeat.functions.random import hash_uniform, pick_index
+from clickfeat.operators.counters import KIND_KEYS, all_counters, counters_of_kind, fold_counters
+from clickfeat.operators.lookup import keyed_left_join, lookup_join, salted_left_join, within
 from clickfeat.schemas import FEATURE_COLUMNS, MATCH_SCALE
 from clickfeat.session import materialize
 
+TRIPLE = ["query", "campaign_id", "ad_id"]
 _PREFIX = {"device_ip": "ip", "device_id": "device", "ad": "ad", "query_campaign": "qc", "query_ad": "qa"}
 
 
@@ -39,17 +44,45 @@ def training_vectors(clicks: DataFrame, counters: DataFrame | None = None,
         # table partitioned by kind, so the five lookups read one small table
         # (not the log again) and each kind has a measured size.
         counters = materialize(all_counters(clicks), "counters", partition_by=["kind"])
-    out = clicks
+    out = _joined(clicks, counters, clicks, salted, max_hot_keys, salts, lambda p: [F.col("clicks").alias(f"{p}_clicks"), F.col("impressions").alias(f"{p}_impressions")])
+    filled = [F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in FEATURE_COLUMNS[:-1]]
+    return out.select(*clicks.columns, *filled, match_feature().alias("match_feature"),
+                      F.col("clicked").cast("int").alias("label"))
+
+
+def _joined(out: DataFrame, counters: DataFrame, clicks: DataFrame, salted: bool | str, max_hot_keys: int, salts: int, values) -> DataFrame:
+    """``out`` (the rows of ``clicks``) with ``values(prefix)`` of every kind of counter."""
+    far = []                                          # kinds of the triple that are too large to be broadcast
     for kind, keys in KIND_KEYS.items():
-        p = _PREFIX[kind]
-        cnt = counters_of_kind(counters, kind).select(
-            *keys, F.col("clicks").alias(f"{p}_clicks"), F.col("impressions").alias(f"{p}_impressions"))
-        if salted == "always":
+        cnt = counters_of_kind(counters, kind)
+        cnt = cnt.select(*keys, *values(_PREFIX[kind]))
+        if not salted:
+            out = out.join(cnt, keys, "left")
+        elif set(keys) <= set(TRIPLE) and (salted == "always" or not within(cnt)):
+            far.append((cnt, keys))
+        elif salted == "always":
             out = salted_left_join(out, cnt, keys, max_hot_keys, salts, count_on=clicks)
-        elif salted:
-            out = lookup_join(out, cnt, keys, max_hot_keys, salts, count_on=clicks)
         else:
-            out = out.join(cnt, keys, "left")
-    filled = [F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in FEATURE_COLUMNS[:-1]]
-    return out.select(*clicks.columns, *filled, match_feature().alias("match_feature"),
+            out = lookup_join(out, cnt, keys, max_hot_keys, salts, count_on=clicks)
+    if len(far) == 1:
+        out = salted_left_join(out, *far[0], max_hot_keys, salts, count_on=clicks)
+    elif far:
+        out = keyed_left_join(out, TRIPLE, far, max_hot_keys, salts, limit=0 if salted == "always" else None, count_on=clicks)
+    return out
+
+
+def out_of_fold_vectors(clicks: DataFrame, key_cols: list[str], folds: int = 5, seed: int = 42, salted: bool | str = True,
+                        max_hot_keys: int = 10000, salts: int = 64) -> DataFrame:
+    """Training vectors whose ten counts leave out the rows of the row's own fold (a seeded uniform of ``key_cols``),
+    with the column ``fold``.  The counts of all folds come from one aggregate; the own fold's are subtracted."""
+    rows = clicks.withColumn("fold", pick_index(hash_uniform(seed, F.lit("fold"), *key_cols), F.lit(folds)).cast("int"))
+    counters = materialize(fold_counters(rows, "fold", folds), "fold_counters", partition_by=["kind"])
+    out = _joined(rows, counters, rows, salted, max_hot_keys, salts,
+                  lambda p: [F.col(c).alias(f"{p}_{c}") for c in ("clicks", "impressions", "fold_clicks", "fold_impressions")])
+
+    def rest(name: str) -> F.Column:
+        p, m = name.rsplit("_", 1)
+        return F.coalesce(F.col(name) - F.get(F.col(f"{p}_fold_{m}"), F.col("fold")), F.lit(0)).cast("bigint").alias(name)
+
+    return out.select(*rows.columns, *[rest(c) for c in FEATURE_COLUMNS[:-1]], match_feature().alias("match_feature"),
                       F.col("clicked").cast("int").alias("label"))

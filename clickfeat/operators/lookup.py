@@ -27,21 +27,79 @@ from clickfeat.session import broadcast_limit, estimated_bytes, materialize
 MIN_TASK_ROWS = 20_000
 
 
+def within(df: DataFrame, limit: int | None = None) -> bool:
+    """Is the measured size of ``df`` within the broadcast threshold?"""
+    return 0 < estimated_bytes(df) <= (broadcast_limit(df.sparkSession) if limit is None else limit)
+
+
+def _hot(count_on: DataFrame, keys: list[str], max_hot_keys: int, salts: int) -> DataFrame:
+    """(keys, _salts) of the hot keys: fewer than ``max_hot_keys`` rows."""
+    freq = materialize(count_on.groupBy(*keys).agg(F.count(F.lit(1)).alias("_f")), "key_counts")
+    total = freq.agg(F.sum("_f")).first()[0] or 0
+    per_task = max(MIN_TASK_ROWS, total // max_hot_keys)
+    many = F.greatest(F.lit(salts), F.ceil(F.col("_f") / F.lit(per_task))).cast("int")
+    return freq.where(F.col("_f") > total / max_hot_keys).select(*keys, many.alias("_salts"))
+
+
+def _spread(rows: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` with _salt: 0 for cold keys.  Rows with a null key match nothing and are dealt over all tasks."""
+    hashable = [f.name for f in rows.schema.fields if not isinstance(f.dataType, T.MapType)]
+    h = F.xxhash64(*[F.col(c) for c in hashable])
+    lost = F.lit(False)
+    for k in keys:
+        lost = lost | F.col(k).isNull()
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salt = F.when(lost, F.pmod(h, F.lit(tasks))).otherwise(F.coalesce(F.pmod(h, F.col("_salts")), F.lit(0)))
+    return rows.join(F.broadcast(hot), keys, "left").withColumn("_salt", salt.cast("int")).drop("_salts")
+
+
+def _repeated(keyed: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
+    """``keyed`` once per salt of its key."""
+    return (keyed.join(F.broadcast(hot), keys, "left")
+                 .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)))
+                 .drop("_salts"))
+
+
 def _salted(rows: DataFrame, keyed: DataFrame, keys: list[str], how: str, max_hot_keys: int, salts: int,
             count_on: DataFrame | None = None) -> DataFrame:
-    freq = materialize((rows if count_on is None else count_on).groupBy(*keys).agg(F.count(F.lit(1)).alias("_f")), "key_counts")
-    total = freq.agg(F.sum("_f")).first()[0] or 0
+    hot = _hot(rows if count_on is None else count_on, keys, max_hot_keys, salts)
+    return _spread(rows, hot, keys).join(_repeated(keyed, hot, keys), keys + ["_salt"], how).drop("_salt")
+
+
+def keyed_left_join(rows: DataFrame, keys: list[str], sides: list[tuple[DataFrame, list[str]]], max_hot_keys: int = 10000,
+                    salts: int = 64, limit: int | None = None, count_on: DataFrame | None = None) -> DataFrame:
+    """LEFT JOIN several tables onto ``rows``, each unique on some of the columns ``keys``.
+
+    The tables are first joined to the different combinations of ``keys`` in ``rows`` (a partial aggregate, a table much
+    smaller than the rows), so the rows themselves meet one table and cross the network once, whatever the number of
+    sides.  The combinations carry their frequency: those that are hot are salted without another count.  Nulls in
+    ``keys`` are kept apart like values here, and match no side.  ``count_on``: rows with the same combinations that
+    are cheaper to count."""
+    t = materialize((rows if count_on is None else count_on).groupBy(*keys).agg(F.count(F.lit(1)).alias("_f")), "combinations")
+    for side, on in sides:
+        t = lookup_join(t, side, on, max_hot_keys, salts, limit)
+    t = materialize(t, "combined")
+    names = {k: f"_key{i}" for i, k in enumerate(keys)}
+    t = t.select(*[F.col(c).alias(names.get(c, c)) for c in t.columns])
+
+    def met(left: DataFrame, right: DataFrame) -> F.Column:
+        on = F.lit(True)
+        for k, name in names.items():
+            on = on & left[k].eqNullSafe(right[name])
+        return on
+
+    if within(t, limit):
+        return rows.join(F.broadcast(t), met(rows, t), "left").drop("_f", *names.values())
+    total = t.agg(F.sum("_f")).first()[0] or 0
     per_task = max(MIN_TASK_ROWS, total // max_hot_keys)
     many = F.greatest(F.lit(salts), F.ceil(F.col("_f") / F.lit(per_task))).cast("int")
-    hot = freq.where(F.col("_f") > total / max_hot_keys).select(*keys, many.alias("_salts"))
+    is_hot = F.col("_f") > total / max_hot_keys       # fewer than max_hot_keys combinations
+    hot = t.where(is_hot).select(*names.values(), many.alias("_salts"))
     hashable = [f.name for f in rows.schema.fields if not isinstance(f.dataType, T.MapType)]
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in hashable]), F.col("_salts"))
-    b = (rows.join(F.broadcast(hot), keys, "left")
-             .withColumn("_salt", F.coalesce(spread, F.lit(0)).cast("int")).drop("_salts"))
-    s = (keyed.join(F.broadcast(hot), keys, "left")
-              .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)))
-              .drop("_salts"))
-    return b.join(s, keys + ["_salt"], how).drop("_salt")
+    spread = F.coalesce(F.pmod(F.xxhash64(*hashable), F.col("_salts")), F.lit(0)).cast("int")
+    salted = rows.join(F.broadcast(hot), met(rows, hot), "left").withColumn("_salt", spread).drop("_salts", *names.values())
+    t = t.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.when(is_hot, many).otherwise(1) - 1))).drop("_f")
+    return salted.join(t, met(salted, t) & (F.col("_salt") == F.col("_copy")), "left").drop("_salt", "_copy", *names.values())
 
 
 def split_join(rows: DataFrame, keyed: DataFrame, keys: list[str], max_hot_keys: int = 1000, salts: int = 2,
@@ -49,12 +107,20 @@ def split_join(rows: DataFrame, keyed: DataFrame, keys: list[str], max_hot_keys:
     """INNER JOIN of ``rows`` to ``keyed`` (unique on ``keys``, often an aggregate of the same
     rows).  ``keyed`` is written once, so its size is measured, not guessed."""
     keyed = materialize(keyed, "keyed")
-    lim = broadcast_limit(rows.sparkSession) if limit is None else limit
-    if 0 < estimated_bytes(keyed) <= lim:
+    if within(keyed, limit):
         return rows.join(F.broadcast(keyed), keys)
     return _salted(rows, keyed, keys, "inner", max_hot_keys, salts)
 
 
+def sized_join(rows: DataFrame, keyed: DataFrame, keys: list[str], source: DataFrame | None = None, limit: int | None = None,
+               max_hot_keys: int = 1000, salts: int = 2) -> DataFrame:
+    """INNER JOIN of ``rows`` to ``keyed`` (unique on ``keys``), which holds no more than the written table ``source``
+    (``keyed`` itself by default): broadcast if that is within the threshold, otherwise as ``split_join``."""
+    if within(keyed if source is None else source, limit):
+        return rows.join(F.broadcast(keyed), keys)
+    return split_join(rows, keyed, keys, max_hot_keys, salts, limit)
+
+
 def salted_left_join(big: DataFrame, small: DataFrame, keys: list[str], max_hot_keys: int = 10000, salts: int = 64,
                      count_on: DataFrame | None = None) -> DataFrame:
     """LEFT JOIN by salts.  ``count_on``: rows with the keys of ``big`` that are cheaper to count."""
@@ -70,7 +136,6 @@ def lookup_join(big: DataFrame, small: DataFrame, keys: list[str], max_hot_keys:
     threshold, the big side is not shuffled at all.  Beyond it, the salted
     shuffle join spreads hot keys over their salts.
     """
-    lim = broadcast_limit(big.sparkSession) if limit is None else limit
-    if 0 < estimated_bytes(small) <= lim:
+    if within(small, limit):
         return big.join(F.broadcast(small), keys, "left")
     return salted_left_join(big, small, keys, max_hot_keys, salts, count_on)
