@@ -11,6 +11,15 @@ product).  Rewrite number ``ord`` of the nested loops is read off the digits of
 joins: each query's numbers are cut into ranges, the ranges are dealt over the
 tasks, and every task lists the rewrites of its ranges.
 
+Two rewrites of a query can only be equal if a term's list repeats an alternative or
+if an alternative holds the separator.  Lists are made distinct first, which
+keeps the order of the first occurrences, so ``ord`` is the final number and the product is not
+shuffled.  Only queries with an alternative that holds ``_`` go through an aggregate that keeps
+first occurrences.
+
+A query with more than MOST_REWRITES rewrites cannot be listed by any engine; ``oversized_queries`` returns
+these with their sizes, and ``rewrite_rows`` leaves them out.
+
 Two queries with the same key (``a b`` and ``a_b``) have one set of rewrites,
 that of the smallest query text.
 """
@@ -22,9 +31,12 @@ from pyspark.sql import DataFrame, functions as F
 from clickfeat.functions.text import query_key, tokens
 from clickfeat.operators.indexing import rank_within
 from clickfeat.operators.lookup import lookup_join
+from clickfeat.session import materialize
 
 #: Rewrites in one range, at least (the square root of the product beyond its square).
 RANGE_ROWS = 1024
+#: Rewrites of one query, at most.
+MOST_REWRITES = 10 ** 15
 
 
 def alternatives(queries: DataFrame, synonyms: DataFrame, query_col: str = "query", lowercase: bool = False) -> DataFrame:
@@ -39,25 +51,46 @@ def alternatives(queries: DataFrame, synonyms: DataFrame, query_col: str = "quer
     return per_q.select("query_key", F.transform("_l", lambda s: s["alts"]).alias("lists"))
 
 
-def rewrite_rows(queries: DataFrame, synonyms: DataFrame, query_col: str = "query", lowercase: bool = False) -> DataFrame:
-    """(query_key, idx, rewrite), ``idx`` from 0 in the order of the nested loops.
+def _sized(lists: DataFrame) -> DataFrame:
+    """Distinct alternatives per term, and the size of their product."""
+    d = lists.withColumn("lists", F.transform("lists", F.array_distinct))
+    return d.withColumn("size", F.aggregate("lists", F.lit(1.0), lambda acc, x: acc * F.size(x)))
 
-    ``synonyms``: (word, synonyms), one row per word, where the list already ends with the word.
-    ``lowercase=False`` matches the published behaviour (queries used as given)."""
+
+def oversized_queries(queries: DataFrame, synonyms: DataFrame, query_col: str = "query", lowercase: bool = False) -> DataFrame:
+    """(query_key, n_rewrites double): queries with more than MOST_REWRITES rewrites."""
+    s = _sized(alternatives(queries, synonyms, query_col, lowercase))
+    return s.where(F.col("size") > MOST_REWRITES).select("query_key", F.col("size").alias("n_rewrites"))
+
+
+def _listed(q: DataFrame) -> DataFrame:
+    """(query_key, ord, rewrite) of queries with their lists: ranges of numbers are dealt over the tasks and listed there."""
     one = F.lit(1).cast("bigint")
-    q = alternatives(queries, synonyms, query_col, lowercase)
     # strides[i]: how many rewrites share the choice of terms 0..i; strides[-1] is 1
     back = F.aggregate(F.reverse("lists"), F.array(one), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) * F.size(x))))
     q = q.withColumn("strides", F.reverse(back)).withColumn("n", F.element_at("strides", 1)).where("n > 0")
     q = q.withColumn("width", F.greatest(F.lit(RANGE_ROWS).cast("bigint"), F.ceil(F.sqrt("n"))))
     ranges = q.withColumn("range", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr("(n - 1) div width"))))
-    tasks = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(q.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = ranges.repartition(tasks, "query_key", "range")
     rows = dealt.withColumn("ord", F.explode(F.sequence(F.expr("range * width"), F.expr("least(n, (range + 1) * width) - 1"))))
     pick = F.expr("transform(lists, (x, i) -> x[cast((ord div strides[i + 1]) % size(x) as int)])")
-    rows = rows.select("query_key", "ord", F.array_join(pick, "_").alias("rewrite"))
-    first = rows.groupBy("query_key", "rewrite").agg(F.min("ord").alias("ord"))
-    return rank_within(first, ["query_key"], ["ord"], "idx").select("query_key", "idx", "rewrite")
+    return rows.select("query_key", "ord", F.array_join(pick, "_").alias("rewrite"))
+
+
+def rewrite_rows(queries: DataFrame, synonyms: DataFrame, query_col: str = "query", lowercase: bool = False) -> DataFrame:
+    """(query_key, idx, rewrite), ``idx`` from 0 in the order of the nested loops.
+
+    ``synonyms``: (word, synonyms), one row per word, where the list already ends with the word.
+    ``lowercase=False`` matches the published behaviour (queries used as given)."""
+    sized = _sized(alternatives(queries, synonyms, query_col, lowercase))
+    sized = sized.withColumn("joint", (F.size("lists") > 1) & F.exists("lists", lambda x: F.exists(x, lambda w: w.contains("_"))))
+    q = materialize(sized.where(F.col("size") <= MOST_REWRITES).drop("size"), "rewrite_lists")
+    plain = _listed(q.where(~F.col("joint"))).select("query_key", F.col("ord").alias("idx"), "rewrite")
+    if q.where("joint").isEmpty():
+        return plain
+    first = _listed(q.where("joint")).groupBy("query_key", "rewrite").agg(F.min("ord").alias("ord"))
+    return plain.unionByName(rank_within(first, ["query_key"], ["ord"], "idx").select("query_key", "idx", "rewrite"))
 
 
 def rewrite_lines(rows: DataFrame, chunk: int = 10000) -> DataFrame:

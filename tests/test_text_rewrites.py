@@ -121,3 +121,42 @@ def test_clean_tokens_follows_python_isdigit(spark):
     text = "x² ² ³4 ①② ٣٤ ab 1a a"
     want = " ".join(t for t in text.split(" ") if not t.isdigit() and len(t) > 1)
     assert one(spark, clean_tokens("x"), text) == want == "x² ab 1a"
+
+
+def _plan(spark, df):
+    return spark.sparkContext._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
+
+
+def test_the_product_is_not_shuffled(spark):
+    from clickfeat.operators.rewrites import rewrite_rows
+    q = spark.createDataFrame([("a b c",), ("d a",)], "query string")
+    syn = spark.createDataFrame([("a", ["x", "y", "x", "a"]), ("b", ["b1", "b"])], "word string, synonyms array<string>")
+    rows = rewrite_rows(q, syn)
+    plan = _plan(spark, rows)
+    assert plan.count("Exchange") == 1 and "Aggregate" not in plan
+    got = sorted((r.query_key, r.idx, r.rewrite) for r in rows.collect())
+    assert got == sorted([("a_b_c", i, w) for i, w in enumerate(["x_b1_c", "x_b_c", "y_b1_c", "y_b_c", "a_b1_c", "a_b_c"])]
+                         + [("d_a", i, w) for i, w in enumerate(["d_x", "d_y", "d_a"])])
+
+
+def test_alternatives_that_hold_the_separator_are_told_apart(spark):
+    from clickfeat.operators.rewrites import rewrite_rows
+    q = spark.createDataFrame([("a b",), ("c d",)], "query string")
+    syn = spark.createDataFrame([("a", ["x", "x_y", "a"]), ("b", ["y_z", "z", "b"])], "word string, synonyms array<string>")
+    got = sorted((r.query_key, r.idx, r.rewrite) for r in rewrite_rows(q, syn).collect())
+    want, seen = [], set()
+    for one in ("x", "x_y", "a"):
+        for two in ("y_z", "z", "b"):
+            if (w := f"{one}_{two}") not in seen:
+                seen.add(w)
+                want.append(("a_b", len(want), w))
+    assert got == sorted([*want, ("c_d", 0, "c_d")]) and len(want) == 8
+
+
+def test_an_oversized_query_does_not_stop_the_others(spark):
+    from clickfeat.operators.rewrites import oversized_queries, rewrite_rows
+    q = spark.createDataFrame([(" ".join(["t"] * 25),), ("x y",)], "query string")
+    syn = spark.createDataFrame([("t", [f"s{i}" for i in range(5)] + ["t"])], "word string, synonyms array<string>")
+    assert [(r.query_key, r.idx, r.rewrite) for r in rewrite_rows(q, syn).collect()] == [("x_y", 0, "x_y")]
+    big = oversized_queries(q, syn).collect()
+    assert len(big) == 1 and abs(big[0].n_rewrites / 6.0 ** 25 - 1) < 1e-9
