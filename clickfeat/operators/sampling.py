@@ -28,6 +28,7 @@ from clickfeat.functions.random import hash_uniform, pick_index
 from clickfeat.operators import catalogue as cat
 from clickfeat.operators.indexing import rank_within, with_global_index
 from clickfeat.operators.intervals import interval_lookup
+from clickfeat.operators.lookup import sized_join, split_join
 from clickfeat.session import cut_lineage, materialize
 
 G, C, A = "query_group_id", "campaign_id", "ad_id"
@@ -64,7 +65,7 @@ def weighted_buckets(items: DataFrame, keys: list[str], order_col: str, weight_c
     b = (run.join(last, list(keys) + ["_pch"], "left")
             .withColumn("lo", F.coalesce("_prev", "_lasthi", F.lit(0.0))))
     summary = b.groupBy(*keys).agg(F.max("hi").alias("total"), F.count(F.lit(1)).alias("nbins"))
-    return b.drop("_ch", "_ct", "_cb", "_pch", "_prev", "_lasthi").join(summary, list(keys))
+    return split_join(b.drop("_ch", "_ct", "_cb", "_pch", "_prev", "_lasthi"), summary, list(keys))
 
 
 def fold_cycles(u, total):
@@ -79,7 +80,7 @@ def weighted_draw(probes: DataFrame, buckets: DataFrame, keys: list[str], u_col:
     """Each probe (keys, u) picks the bucket holding its (cycle-folded) u.
     Probes of groups without positive weight get no row."""
     summary = buckets.select(*keys, "total", "nbins").distinct()
-    p = probes.join(summary, list(keys)).withColumn("_x", fold_cycles(F.col(u_col), F.col("total")))
+    p = sized_join(probes, summary, list(keys), source=buckets).withColumn("_x", fold_cycles(F.col(u_col), F.col("total")))
     return interval_lookup(p, buckets, keys, "_x").drop("_x", "lo", "hi")
 
 
@@ -146,10 +147,10 @@ def pick_ad_of_campaign(picks: DataFrame, ads: DataFrame, u_col: str, campaign_c
     """Uniform ad of the picked campaign (all its ads, file order).  ``index``:
     a precomputed campaign_ad_index(ads) to share between callers."""
     ca, n = index or campaign_ad_index(ads)
-    p = (picks.join(n.withColumnRenamed(C, campaign_col), campaign_col)
-              .withColumn("_i", pick_index(F.col(u_col), F.col("n_ads"))).drop("n_ads"))
-    return (p.join(ca.select(F.col(C).alias(campaign_col), F.col("idx").alias("_i"), F.col(A).alias(out_col)),
-                   [campaign_col, "_i"]).drop("_i"))
+    p = (sized_join(picks, n.withColumnRenamed(C, campaign_col), [campaign_col], source=ca)
+         .withColumn("_i", pick_index(F.col(u_col), F.col("n_ads"))).drop("n_ads"))
+    ads_of = ca.select(F.col(C).alias(campaign_col), F.col("idx").alias("_i"), F.col(A).alias(out_col))
+    return sized_join(p, ads_of, [campaign_col, "_i"]).drop("_i")
 
 
 def uniform_pick(ads: DataFrame, seed: int = 42) -> DataFrame:
@@ -165,7 +166,7 @@ def _group_campaigns(ads: DataFrame) -> DataFrame:
     """(group, campaign, first_pos of the pair, group first_pos)."""
     gc = ads.groupBy(G, C).agg(F.min("pos").alias("first_pos"))
     gf = gc.groupBy(G).agg(F.min("first_pos").alias("group_first_pos"))
-    return gc.join(gf, G)
+    return split_join(gc, gf, [G])
 
 
 def _campaigns(ads: DataFrame) -> DataFrame:
@@ -177,7 +178,7 @@ def same_group_candidates(ads: DataFrame) -> DataFrame:
     """(group, campaign, n_candidates): other campaigns of the same group."""
     gc = _group_campaigns(ads)
     m = gc.groupBy(G).agg(F.count(F.lit(1)).alias("m"))
-    return gc.join(m, G).select(G, C, (F.col("m") - 1).alias("n_candidates"))
+    return split_join(gc, m, [G]).select(G, C, (F.col("m") - 1).alias("n_candidates"))
 
 
 def other_group_candidates(ads: DataFrame) -> DataFrame:
@@ -242,17 +243,16 @@ def neg_category(sources: DataFrame, ads: DataFrame, seed: int = 42, index=None)
     nb = intervals.groupBy(G, "k").agg(F.count(F.lit(1)).alias("nbins"))
     intervals = cut_lineage(intervals.join(nb, [G, "k"]))
     nb = intervals.select(G, "k", "nbins").distinct()
-    src = (sources.select(F.col(A).alias("src_ad_id"), G, F.col("category").alias("k"))
-                  .join(demand.where(F.col("n") > 0).select(G, "k", "n", "start_k", "m_k"), [G, "k"])
-                  .withColumn("j", pick_index(hash_uniform(seed, F.lit("cat"), "src_ad_id"), F.col("n")))
-                  .withColumn("_x", (F.col("j") + 1).cast("double"))
-                  .join(nb, [G, "k"])
-                  .withColumn("total", F.col("n").cast("double")))
+    src = sized_join(sources.select(F.col(A).alias("src_ad_id"), G, F.col("category").alias("k")),
+                     demand.where(F.col("n") > 0).select(G, "k", "n", "start_k", "m_k"), [G, "k"], source=demand)
+    src = (src.withColumn("j", pick_index(hash_uniform(seed, F.lit("cat"), "src_ad_id"), F.col("n")))
+              .withColumn("_x", (F.col("j") + 1).cast("double")))
+    src = sized_join(src, nb, [G, "k"], source=intervals).withColumn("total", F.col("n").cast("double"))
     hit = interval_lookup(src, intervals, [G, "k"], "_x")
     hit = hit.withColumn("p", F.col("j") + F.col("skip"))
     hit = hit.withColumn("P", F.when(F.col("start_k").isNull() | (F.col("p") < F.col("start_k")), F.col("p"))
                               .otherwise(F.col("p") + F.col("m_k")))
-    picked = hit.join(camps.select("P", F.col(C).alias("neg_campaign")), "P").select("src_ad_id", "neg_campaign")
+    picked = sized_join(hit, camps.select("P", F.col(C).alias("neg_campaign")), ["P"], source=camps).select("src_ad_id", "neg_campaign")
     picked = picked.withColumn("u_ad", hash_uniform(seed, F.lit("cat_ad"), "src_ad_id"))
     out = pick_ad_of_campaign(picked, ads, "u_ad", index=index)
     return out.select("src_ad_id", F.col("neg_ad").alias(A), F.col("neg_campaign").alias(C),
@@ -271,24 +271,24 @@ def neg_campaign(sources: DataFrame, ads: DataFrame, seed: int = 42, index=None)
     # heads: same group, own campaign skipped by rank
     ranked = cut_lineage(rank_within(gc.select(G, C, "first_pos"), [G], ["first_pos"], "r"))
     m = ranked.groupBy(G).agg(F.count(F.lit(1)).alias("m"))
-    heads = (src.where(F.col("_coin") < SAME_GROUP_SHARE).join(m, G).where(F.col("m") > 1)
-                .join(ranked.select(G, F.col(C).alias("own_c"), F.col("r").alias("own_r")), [G, "own_c"])
-                .withColumn("j", pick_index(u, F.col("m") - 1))
-                .withColumn("r", F.when(F.col("j") < F.col("own_r"), F.col("j")).otherwise(F.col("j") + 1))
-                .join(ranked.select(G, "r", F.col(C).alias("neg_campaign")), [G, "r"])
-                .select("src_ad_id", "neg_campaign", F.lit(1).alias("cat_match")))
+    heads = sized_join(src.where(F.col("_coin") < SAME_GROUP_SHARE), m, [G], source=ranked).where(F.col("m") > 1)
+    heads = sized_join(heads, ranked.select(G, F.col(C).alias("own_c"), F.col("r").alias("own_r")), [G, "own_c"], source=ranked)
+    heads = (heads.withColumn("j", pick_index(u, F.col("m") - 1))
+                  .withColumn("r", F.when(F.col("j") < F.col("own_r"), F.col("j")).otherwise(F.col("j") + 1)))
+    heads = (sized_join(heads, ranked.select(G, "r", F.col(C).alias("neg_campaign")), [G, "r"], source=ranked)
+             .select("src_ad_id", "neg_campaign", F.lit(1).alias("cat_match")))
 
     # tails: other groups, own block skipped by index shift
     pairs = cut_lineage(with_global_index(gc.select(G, C, "first_pos", "group_first_pos"),
                                           ["group_first_pos", G, "first_pos", C], "i"))
     blocks = pairs.groupBy(G).agg(F.min("i").alias("s"), F.count(F.lit(1)).alias("mg"))
     tot = pairs.count()
-    tails = (src.where(F.col("_coin") >= SAME_GROUP_SHARE).join(blocks, G)
-                .withColumn("n", tot - F.col("mg")).where(F.col("n") > 0)
-                .withColumn("j", pick_index(u, F.col("n")))
-                .withColumn("i", F.when(F.col("j") < F.col("s"), F.col("j")).otherwise(F.col("j") + F.col("mg")))
-                .join(pairs.select("i", F.col(C).alias("neg_campaign")), "i")
-                .select("src_ad_id", "neg_campaign", F.lit(0).alias("cat_match")))
+    tails = sized_join(src.where(F.col("_coin") >= SAME_GROUP_SHARE), blocks, [G], source=pairs)
+    tails = (tails.withColumn("n", tot - F.col("mg")).where(F.col("n") > 0)
+                  .withColumn("j", pick_index(u, F.col("n")))
+                  .withColumn("i", F.when(F.col("j") < F.col("s"), F.col("j")).otherwise(F.col("j") + F.col("mg"))))
+    tails = (sized_join(tails, pairs.select("i", F.col(C).alias("neg_campaign")), ["i"], source=pairs)
+             .select("src_ad_id", "neg_campaign", F.lit(0).alias("cat_match")))
 
     picked = heads.unionByName(tails).withColumn("u_ad", hash_uniform(seed, F.lit("camp_ad"), "src_ad_id"))
     out = pick_ad_of_campaign(picked, ads, "u_ad", index=index)
@@ -298,7 +298,7 @@ def neg_campaign(sources: DataFrame, ads: DataFrame, seed: int = 42, index=None)
 def neg_lowest(sources: DataFrame, ads: DataFrame) -> DataFrame:
     """Type 2: the lowest-weight ad of the lowest-weight campaign of the group; match 1."""
     low = cat.lowest_weight_ad(ads).select(G, F.col(C).alias("neg_campaign"), F.col(A).alias("neg_ad"))
-    return (sources.select(F.col(A).alias("src_ad_id"), G).join(low, G)
+    return (split_join(sources.select(F.col(A).alias("src_ad_id"), G), low, [G])
                    .select("src_ad_id", F.col("neg_ad").alias(A), F.col("neg_campaign").alias(C),
                            F.lit(1).alias("cat_match")))
 

@@ -98,3 +98,55 @@ def test_equal_vectors_emit_k_rows_per_query_and_block(spark):
     c = pd.DataFrame({"cid": range(1000), "cvec": [[1.0, 2.0]] * 1000})
     out = _block_topk(5)(q, c)
     assert len(out) == 5000 and out[out.qid == 3].cid.tolist() == [0, 1, 2, 4, 5]
+
+
+def test_one_interval_with_a_third_of_all_probes(spark):
+    """No broadcast: the probes of a full bin are dealt over tasks."""
+    from clickfeat.operators.intervals import interval_lookup
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        iv = spark.range(100).select(F.floor(F.col("id") / 10).alias("g"), F.col("id").alias("item"), (F.col("id") % 10 / 10.0).alias("lo"), ((F.col("id") % 10 + 1) / 10.0).alias("hi"),
+                                     F.lit(1.0).alias("total"), F.lit(10).cast("bigint").alias("nbins"))
+        one = spark.createDataFrame([(-1, -1, 0.0, 1.0, 1.0, 1)], "g bigint, item bigint, lo double, hi double, total double, nbins bigint")
+        iv = iv.unionByName(one)
+        probes = spark.range(90_000).select(F.col("id"), F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 10).alias("g"),
+                                            ((F.col("id") * 7919 % 1000 + 1) / 1000.0).alias("x"))
+        probes = probes.withColumn("total", F.lit(1.0)).withColumn("nbins", F.when(F.col("g") < 0, 1).otherwise(10).cast("bigint"))
+        got = interval_lookup(probes, iv, ["g"], "x", limit=0, hot_rows=3000)
+        sizes = got.groupBy(F.spark_partition_id().alias("p")).count()
+        assert sizes.agg(F.max("count")).first()[0] < 15_000
+        want = interval_lookup(probes, iv, ["g"], "x")
+        assert got.count() == 90_000
+        assert sorted(map(tuple, got.select("id", "item").collect())) == sorted(map(tuple, want.select("id", "item").collect()))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_sized_join_splits_beyond_the_limit(spark):
+    from clickfeat.operators.lookup import sized_join
+    big = skewed_clicks(spark, 60_000)
+    total = big.groupBy("device_ip").agg(F.sum("clicked").alias("clk"))
+    want = sorted(map(tuple, big.join(total, "device_ip").select("session_id", "clk").collect()))
+    for limit in (0, None):
+        got = sized_join(big, total, ["device_ip"], limit=limit)
+        assert sorted(map(tuple, got.select("session_id", "clk").collect())) == want
+
+
+def test_rows_with_null_keys_are_spread(spark):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        big = spark.range(32_000).select(F.when(F.col("id") % 2 == 0, None).otherwise(F.col("id") % 100).alias("k"), "id")
+        small = spark.range(100).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+        j = salted_left_join(big, small, ["k"], max_hot_keys=10)
+        assert j.count() == 32_000 and j.where("v is null").count() == 16_000
+        assert j.where("k is null").groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0] < 6000
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
