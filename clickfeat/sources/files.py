@@ -5,26 +5,35 @@ string column, which is how the registered queries exercise them.
 Row order matters for the published catalogue maps (last wins, first
 appearance), so readers attach ``pos``: a dense, distributed file position
 built from the hidden ``_metadata`` columns (path, block start) and the row's
-place inside its split -- no single-task numbering.
+place inside its split -- no single-task numbering and no sort: rows are counted per split, the counts are
+added up over the splits in order, and each row adds its place to its split's offset.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from clickfeat.operators.indexing import with_global_index
+from clickfeat.operators.lookup import within
 from clickfeat.schemas import AD, AD_REQUIRED_WEIGHTS, CLICK, CLICK_COLUMNS, SYNONYM
+from clickfeat.session import materialize
 
 AD_RENAME = {"adId": "ad_id", "campaignId": "campaign_id", "keyWords": "keywords"}
 
 
 # --------------------------------------------------------------- positions
 def with_file_position(df: DataFrame, name: str = "pos") -> DataFrame:
-    """Dense 0-based position in (file path, offset) order."""
+    """Dense 0-based position in (file path, offset) order.  A split (path, block start) is read by one task from its first
+    row to its last, so the first row's id and the split's offset give the position; the table of splits has one row per
+    split of the input and is joined by its measured size."""
     d = df.select("*", F.col("_metadata.file_path").alias("_fp"),
                   F.col("_metadata.file_block_start").alias("_fb"),
                   F.monotonically_increasing_id().alias("_row"))
-    return with_global_index(d, ["_fp", "_fb", "_row"], name).drop("_fp", "_fb", "_row")
+    splits = d.groupBy("_fp", "_fb").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
+    before = Window.orderBy("_fp", "_fb").rowsBetween(Window.unboundedPreceding, -1)        # one row per split
+    splits = materialize(splits.select("_fp", "_fb", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_off")), "splits")
+    # also beyond the threshold no split has more rows than its block holds: a plain join, no hot key
+    splits = F.broadcast(splits) if within(splits) else splits
+    return d.join(splits, ["_fp", "_fb"]).withColumn(name, F.col("_row") + F.col("_off")).drop("_fp", "_fb", "_row", "_off")
 
 
 def read_lines(spark: SparkSession, path: str, positions: bool = False) -> DataFrame:
