@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from clickfeat.operators.counters import KIND_KEYS, all_counters, counter
-from clickfeat.operators.enrichment import training_vectors
-from clickfeat.operators.feature_store import feature_store, upsert
+from clickfeat.operators.enrichment import out_of_fold_vectors, training_vectors
+from clickfeat.operators.feature_store import feature_store
 from clickfeat.plans.registry import register, sql_with
+from clickfeat.session import checkpoint_dir
+from clickfeat.sinks.delta_store import DeltaStore
 from clickfeat.sources.fixtures import click_view
 
 MEASURES_SQL = "CAST(sum(clicked) AS BIGINT) AS clicks, count(*) AS impressions"
@@ -89,7 +93,10 @@ def q_feature_upsert(spark, sf_dir):
     clicks = click_view(spark, sf_dir)
     old = feature_store(all_counters(clicks.where(F.col("cat_match") == 1)))
     new = feature_store(all_counters(clicks.where(F.col("cat_match") == 0)))
-    return upsert(old, new)
+    store = DeltaStore(spark, f"{checkpoint_dir(spark).rstrip('/')}/stores/{uuid.uuid4().hex}")
+    store.publish(old)
+    store.publish(new)
+    return store.read()
 
 
 TRAINING_SQL_BODY = """SELECT c.device_ip, c.device_id, c.session_id, c.query, c.ad_id, c.campaign_id, c.cat_match, c.clicked,
@@ -113,3 +120,18 @@ LEFT JOIN (SELECT query, ad_id, CAST(sum(clicked) AS BIGINT) clicks, count(*) im
 @register("training_vectors", sql_with(["click"], TRAINING_SQL_BODY))
 def q_training_vectors(spark, sf_dir):
     return training_vectors(click_view(spark, sf_dir))
+
+
+_KEYS = {"ip": "device_ip", "device": "device_id", "ad": "ad_id", "qc": "query, campaign_id", "qa": "query, ad_id"}
+_REST = ",\n  ".join(f"CAST(sum({v}) OVER (PARTITION BY {k}) - sum({v}) OVER (PARTITION BY {k}, fold) AS BIGINT) AS {p}_{m}"
+                     for p, k in _KEYS.items() for v, m in (("clicked", "clicks"), ("1", "impressions")))
+_FOLD = "least(CAST(floor((('0x' || substr(md5('42|fold|' || CAST(session_id AS VARCHAR) || '|' || CAST(device_id AS VARCHAR) || '|' || " \
+        "CAST(ad_id AS VARCHAR)), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE) * 5) AS INTEGER), 4)"
+
+
+@register("training_vectors_out_of_fold", sql_with(["click"], f"""SELECT device_ip, device_id, session_id, query, ad_id, campaign_id, cat_match, clicked, fold,
+  {_REST},
+  CAST(CASE WHEN cat_match = 1 THEN 1000000 ELSE 0 END AS BIGINT) AS match_feature, clicked AS label
+FROM folded""", [f"folded AS (SELECT *, {_FOLD} AS fold FROM click)"]))
+def q_out_of_fold(spark, sf_dir):
+    return out_of_fold_vectors(click_view(spark, sf_dir), ["session_id", "device_id", "ad_id"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickfeat.operators.feature_store import upsert
+from clickfeat.sinks.delta_store import DeltaStore
 
 
 def nested_map_lines(rows: DataFrame, group: str = "query_group_id", campaign: str = "campaign_id",
@@ -56,43 +56,13 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
-def _versions(spark: SparkSession, base: str, complete_only: bool = True) -> list[int]:
-    """Version numbers under ``base`` (folders ``v=N``); complete ones carry _SUCCESS."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(base)
-    fs = p.getFileSystem(conf)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if not (name.startswith("v=") and name[2:].isdigit()):
-            continue
-        if complete_only and not fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            continue
-        out.append(int(name[2:]))
-    return sorted(out)
-
-
-def publish_feature_store(spark: SparkSession, new: DataFrame, base: str) -> str:
-    """Keyed upsert into a versioned table: read the newest complete version,
-    upsert, write the next version (never overwrite the version being read).
-    A version left incomplete by a failed run is skipped, so a retry neither
-    reads it nor collides with it.  Returns the new version path."""
-    done = _versions(spark, base)
-    every = _versions(spark, base, complete_only=False)
-    out_path = f"{base}/v={(every[-1] + 1) if every else 0}"
-    merged = upsert(spark.read.parquet(f"{base}/v={done[-1]}"), new) if done else new
-    merged.write.mode("errorifexists").parquet(out_path)
-    return out_path
+def publish_feature_store(spark: SparkSession, new: DataFrame, base: str) -> int:
+    """Keyed upsert into the delta store under ``base`` (sinks/delta_store.py): writes the new keys only.  Returns the version."""
+    return DeltaStore(spark, base).publish(new)["version"]
 
 
 def read_feature_store(spark: SparkSession, base: str) -> DataFrame:
-    vs = _versions(spark, base)
-    if not vs:
-        raise FileNotFoundError(f"no published version under {base}")
-    return spark.read.parquet(f"{base}/v={vs[-1]}")
+    return DeltaStore(spark, base).read()
 
 
 def write_lr_model_json(model_row: DataFrame, path: str) -> None:

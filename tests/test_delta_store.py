@@ -1,0 +1,93 @@
+"""The delta store: small publishes stay small, concurrent writers survive, buckets are compacted, versions pruned."""
+
+import os
+import random
+import threading
+
+import pytest
+from pyspark.sql import functions as F
+
+from clickfeat.sinks.delta_store import DeltaStore
+
+SCHEMA = "feature_key string, feature_value bigint"
+
+
+def rows_of(df):
+    return {r.feature_key: r.feature_value for r in df.collect()}
+
+
+def folder_bytes(path):
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet"))
+
+
+def test_publish_writes_its_own_keys_only(spark, tmp_dir):
+    store = DeltaStore(spark, f"{tmp_dir}/s", buckets=4)
+    big = spark.range(200_000).select(F.concat(F.lit("k_"), F.col("id")).alias("feature_key"), F.col("id").alias("feature_value"))
+    store.publish(big)
+    before = folder_bytes(f"{tmp_dir}/s/data")
+    store.publish(big.where("feature_value < 2000").withColumn("feature_value", F.lit(-1).cast("bigint")))
+    grown = folder_bytes(f"{tmp_dir}/s/data") - before
+    assert grown < 0.03 * before
+    got = store.read()
+    assert got.count() == 200_000 and got.where("feature_value = -1").count() == 2000
+    few = store.lookup(spark.createDataFrame([("k_5",), ("k_5000",), ("none",)], "feature_key string"))
+    assert rows_of(few) == {"k_5": -1, "k_5000": 5000}
+
+
+def test_many_publishes_equal_a_dictionary(spark, tmp_dir):
+    rng = random.Random(3)
+    store = DeltaStore(spark, f"{tmp_dir}/s", buckets=3, max_parts=2, keep=2)
+    want = {}
+    for _ in range(8):
+        new = {f"k{rng.randrange(40)}": rng.randrange(1000) for _ in range(rng.randint(1, 20))}
+        want.update(new)
+        store.publish(spark.createDataFrame(sorted(new.items()), SCHEMA))
+        assert rows_of(store.read()) == want
+        per_bucket = {}
+        for _, bucket, _, _ in store.manifest()["parts"]:
+            per_bucket[bucket] = per_bucket.get(bucket, 0) + 1
+        assert max(per_bucket.values()) <= 2
+    assert len(store.versions()) == 2
+    assert rows_of(store.read(store.versions()[0])) is not None          # the version before is still whole
+    named = {p[2].split("/")[1] for v in store.versions() for p in store.manifest(v)["parts"]}
+    left = {d for d in os.listdir(f"{tmp_dir}/s/data") if any(f.startswith("bucket=") for f in os.listdir(f"{tmp_dir}/s/data/{d}"))}
+    assert left == named
+
+
+def test_concurrent_writers_survive(spark, tmp_dir):
+    base = f"{tmp_dir}/s"
+    DeltaStore(spark, base, buckets=2).publish(spark.createDataFrame([("a", 0)], SCHEMA))
+    failures = []
+
+    def write(i):
+        try:
+            DeltaStore(spark, base, buckets=2).publish(spark.createDataFrame([(f"w{i}", i), ("a", i)], SCHEMA))
+        except Exception as e:  # noqa: BLE001
+            failures.append(e)
+
+    threads = [threading.Thread(target=write, args=(i,)) for i in range(1, 5)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert not failures
+    got = rows_of(DeltaStore(spark, base).read())
+    assert {f"w{i}": i for i in range(1, 5)}.items() <= got.items() and got["a"] in range(1, 5) and len(got) == 5
+
+
+def test_a_dead_writer_does_not_block(spark, tmp_dir, monkeypatch):
+    from clickfeat.sinks import delta_store
+    monkeypatch.setattr(delta_store, "LOCK_SECONDS", 0.2)
+    store = DeltaStore(spark, f"{tmp_dir}/s", buckets=2)
+    store.publish(spark.createDataFrame([("a", 1)], SCHEMA))
+    open(f"{tmp_dir}/s/manifests/v000000000001.json.lock", "w").close()
+    done = store.publish(spark.createDataFrame([("b", 2)], SCHEMA))
+    assert done["version"] == 2 and rows_of(store.read()) == {"a": 1, "b": 2}
+
+
+def test_empty(spark, tmp_dir):
+    store = DeltaStore(spark, f"{tmp_dir}/s")
+    with pytest.raises(FileNotFoundError):
+        store.read()
+    store.publish(spark.createDataFrame([], SCHEMA))
+    assert store.read().count() == 0

@@ -108,14 +108,11 @@ def test_feature_store_publish_versions_and_append(spark, tmp_dir):
     base = os.path.join(tmp_dir, "store")
     old = spark.createDataFrame([("a", 1), ("b", 2)], "feature_key string, feature_value bigint")
     new = spark.createDataFrame([("b", 5)], "feature_key string, feature_value bigint")
-    p0 = sinks.publish_feature_store(spark, old, base)
-    p1 = sinks.publish_feature_store(spark, new, base)
-    assert p0.endswith("v=0") and p1.endswith("v=1")
+    assert [sinks.publish_feature_store(spark, d, base) for d in (old, new)] == [0, 1]
     assert sorted(map(tuple, sinks.read_feature_store(spark, base).collect())) == [("a", 1), ("b", 5)]
-    os.makedirs(os.path.join(base, "v=2"))                 # a run that died while writing
-    p3 = sinks.publish_feature_store(spark, spark.createDataFrame([("c", 7)], "feature_key string, feature_value bigint"),
-                                     base)
-    assert p3.endswith("v=3")
+    os.makedirs(os.path.join(base, "data", "left-by-a-dead-writer", "bucket=3"))
+    more = spark.createDataFrame([("c", 7)], "feature_key string, feature_value bigint")
+    assert sinks.publish_feature_store(spark, more, base) == 2
     assert sorted(map(tuple, sinks.read_feature_store(spark, base).collect())) == [("a", 1), ("b", 5), ("c", 7)]
     j = os.path.join(tmp_dir, "jsonl")
     sinks.write_jsonl(old, j)
@@ -150,3 +147,29 @@ def test_sentences_round_trip(spark, tmp_dir):
     sinks.write_sentences(s, out)
     words = sorted(r.words for r in src.parse_sentences(src.read_lines(spark, out)).collect())
     assert words == [["", "empty", "query"], ["nike", "shoes", "red"]]
+
+
+def test_positions_do_not_depend_on_splits(spark, tmp_dir):
+    """The same positions with one split and with many, over several files, without a sort."""
+    folder = os.path.join(tmp_dir, "lines")
+    os.makedirs(folder)
+    want = []
+    for k in range(3):
+        lines = [f"{k}-{i}-" + "x" * (i % 37) for i in range(2000)]
+        want += lines
+        with open(os.path.join(folder, f"part-{k}.txt"), "w", encoding="utf-8") as f:
+            f.write("\n".join(lines) + "\n")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in ("134217728", "3000"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "0")
+            d = src.read_lines(spark, folder, positions=True)
+            assert (d.rdd.getNumPartitions() > 20) == (size == "3000")
+            assert [r.value for r in d.orderBy("pos").collect()] == want
+            assert sorted(r.pos for r in d.collect()) == list(range(len(want)))
+            plan = spark.sparkContext._jvm.PythonSQLUtils.explainString(d._jdf.queryExecution(), "simple")
+            assert "rangepartitioning" not in plan and "Sort " not in plan
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
