@@ -1,15 +1,25 @@
 """Exact top-k cosine neighbours without emitting all pairs.
 
-The vectors are numbered (distributed index) and cut into blocks of at most
-``block_rows`` rows.  Every (query block, candidate block) pair is one cogroup
-task: a matrix product in numpy (queries in sub-chunks of 256 rows, so memory
-stays at 256 x block_rows doubles), keeping only each query's k best
-candidates (ties by id).  Each vector is replicated once per
-block on each side, so larger blocks mean less replication: with 2M vectors
-and 16384-row blocks, 123 copies and ~15k tasks.  The per-block
-winners -- at most k * n_blocks rows per query -- are merged by a window whose
-partitions are bounded by that number.  Each task holds two bounded blocks;
-nothing goes through the driver and no pair table is written.
+Up to ``block_rows`` vectors, and where pruning is not asked for, the vectors are numbered and cut into blocks
+and every (query block, candidate block) pair is one cogroup task: a matrix product in numpy (queries in
+sub-chunks of 256 rows, so memory stays at 256 x block_rows doubles) that keeps only each query's k best
+candidates (ties by id).
+
+More vectors are pruned by the triangle inequality of angles:
+
+1. Each vector goes to the nearest of at most MOST_PIVOTS pivots (chosen by hash); a pivot's vectors, cut by hash
+   into blocks of about ``block_rows``, lie between a least and a largest angle from it.
+2. Round one compares each query with its own block, which gives it k candidates and so an angle beyond which nothing
+   matters.
+3. In round two a query goes only to the blocks whose nearest possible vector (the difference between the query's
+   angle to the pivot and the block's angles) is within that angle.  Queries of a block are dealt in chunks of about
+   ``block_rows``, for which the block is repeated.
+
+The result is exact: a skipped block cannot hold a better candidate, nor an equal one (TOLERANCE covers rounding).
+Vectors without any structure are hardly pruned; then round two compares every pair of blocks.
+
+The winners per block are merged by a window of at most k rows a block and query.  Each task holds two bounded
+blocks; nothing but pivots and the list of blocks goes through the driver, and no pair table is written.
 """
 
 from __future__ import annotations
@@ -61,16 +71,32 @@ def _block_topk(k: int, sub_rows: int = 256):
     return fn
 
 
+#: Pivots, at most; angles by which rounding may be off.
+MOST_PIVOTS = 1024
+TOLERANCE = 1e-6
+FOUND = "qid bigint, cid bigint, sim double"
+
+
+def _merged(best: DataFrame, k: int, id_col: str) -> DataFrame:
+    w = Window.partitionBy("qid").orderBy(F.col("sim").desc(), F.col("cid"))
+    ranked = best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return ranked.select(F.col("qid").alias(id_col), F.col("rank").cast("bigint").alias("rank"),
+                         F.col("cid").alias("other_id"), F.col("sim").alias("similarity"))
+
+
 def top_k_cosine(vectors: DataFrame, id_col: str, vec_col: str, k: int = 5,
-                 block_rows: int = 16384) -> DataFrame:
+                 block_rows: int = 16384, pruned: bool | None = None) -> DataFrame:
     """(id, rank 1..k, other_id, similarity) by cosine, self excluded, ties by id.
 
-    ``id_col`` must be a bigint key; ``vec_col`` an array of numbers.
+    ``id_col`` must be a bigint key; ``vec_col`` an array of numbers.  ``pruned``: by pivots; by default if there are
+    more than ``block_rows`` vectors.
     """
     v = vectors.select(F.col(id_col).cast("bigint").alias("id"),
                        F.col(vec_col).cast("array<double>").alias("vec"))
-    # blocks of block_rows at most, and enough of them for every core to have a pair of blocks
     n = vectors.count()
+    if pruned or pruned is None and n > block_rows:
+        return _merged(_pruned(v, n, k, block_rows), k, id_col)
+    # blocks of block_rows at most, and enough of them for every core to have a pair of blocks
     cores = vectors.sparkSession.sparkContext.defaultParallelism
     blocks = max(-(-n // block_rows), min(math.isqrt(cores - 1) + 1, -(-n // 64)), 1)
     rows = max(1, -(-n // blocks))
@@ -82,12 +108,88 @@ def top_k_cosine(vectors: DataFrame, id_col: str, vec_col: str, k: int = 5,
                  F.explode(every).alias("cb"))
     c = v.select(F.col("id").alias("cid"), F.col("vec").alias("cvec"), F.col("_b").alias("cb"),
                  F.explode(every).alias("qb"))
-    best = (q.groupBy("qb", "cb").cogroup(c.groupBy("qb", "cb"))
-             .applyInPandas(_block_topk(k), "qid bigint, cid bigint, sim double"))
-    w = Window.partitionBy("qid").orderBy(F.col("sim").desc(), F.col("cid"))
-    ranked = best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    return ranked.select(F.col("qid").alias(id_col), F.col("rank").cast("bigint").alias("rank"),
-                         F.col("cid").alias("other_id"), F.col("sim").alias("similarity"))
+    best = q.groupBy("qb", "cb").cogroup(c.groupBy("qb", "cb")).applyInPandas(_block_topk(k), FOUND)
+    return _merged(best, k, id_col)
+
+
+# ---- pruning by pivots ----
+
+def _angles(vecs, pivots: np.ndarray) -> np.ndarray:
+    m = np.stack(vecs).astype(np.float64)
+    return np.arccos(np.clip(m @ pivots.T / np.linalg.norm(m, axis=1)[:, None], -1.0, 1.0))
+
+
+def _nearest(pivots: np.ndarray):
+    def fn(frames):
+        for f in frames:
+            if f.empty:
+                continue
+            ang = _angles(f["vec"].to_numpy(), pivots)
+            cell = ang.argmin(axis=1)
+            yield f.assign(cell=cell.astype("int32"), ang=ang[np.arange(len(f)), cell])
+    return fn
+
+
+def _reached(pivots: np.ndarray, cell: np.ndarray, low: np.ndarray, high: np.ndarray):
+    """For every query the blocks (numbers into ``cell``, the block's pivot) that may hold one of its neighbours."""
+    def fn(frames):
+        for f in frames:
+            for start in range(0, len(f), 256):
+                part = f.iloc[start:start + 256]
+                ang = _angles(part["vec"].to_numpy(), pivots)[:, cell]
+                least = np.maximum(np.maximum(ang - high, low - ang), 0.0)
+                ok = least <= part["reach"].to_numpy()[:, None] + TOLERANCE
+                ok[np.arange(len(part)), part["block"].to_numpy()] = False       # round one
+                yield part[["id", "vec"]].assign(target=[np.flatnonzero(x).astype("int32") for x in ok])
+    return fn
+
+
+def pivot_blocks(v: DataFrame, n: int, block_rows: int):
+    """(table id, vec, ang, block; pivots; per block its pivot, least and largest angle) of vectors with a direction."""
+    norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda acc, x: acc + x * x))
+    v = v.withColumn("_norm", norm).where((F.col("_norm") > 0) & (F.col("_norm") < float("inf"))).drop("_norm")
+    many = min(MOST_PIVOTS, max(1, -(-4 * n // block_rows)))
+    chosen = v.orderBy(F.xxhash64("id"), "id").limit(many).collect()             # at most MOST_PIVOTS rows
+    if not chosen:
+        return v.select("id", "vec", F.lit(0.0).alias("ang"), F.lit(0).alias("block")), np.zeros((0, 1)), np.zeros((3, 0))
+    pivots = np.array([r["vec"] for r in chosen], np.float64)
+    pivots /= np.linalg.norm(pivots, axis=1)[:, None]
+    cells = materialize(v.mapInPandas(_nearest(pivots), "id bigint, vec array<double>, cell int, ang double"), "vector_cells")
+    rows = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("ang").alias("low"), F.max("ang").alias("high")).orderBy("cell").collect()
+    parts = [max(1, -(-r["n"] // block_rows)) for r in rows]
+    firsts = np.concatenate([[0], np.cumsum(parts)]).tolist()
+    listed = F.create_map(*[F.lit(x) for r, p, a in zip(rows, parts, firsts) for x in (r["cell"], a * (1 << 31) + p)])
+    code = F.element_at(listed, F.col("cell")).cast("bigint")
+    block = (F.shiftright(code, 31) + F.pmod(F.xxhash64("id"), code % (1 << 31))).cast("int")
+    bounds = np.array([[r["cell"], r["low"], r["high"]] for r, p in zip(rows, parts) for _ in range(p)]).T
+    return cells.select("id", "vec", "ang", block.alias("block")), pivots, bounds
+
+
+def query_blocks(blocks: DataFrame, found: DataFrame, pivots: np.ndarray, bounds: np.ndarray, k: int) -> DataFrame:
+    """(id, vec, target): the blocks beyond its own that each query has to be compared with.  ``found``: round one."""
+    reach = found.groupBy("qid").agg(F.count(F.lit(1)).alias("m"), F.min("sim").alias("s"))
+    reach = reach.select(F.col("qid").alias("id"), F.when(F.col("m") >= k, F.acos(F.greatest(F.least("s", F.lit(1.0)), F.lit(-1.0)))).alias("reach"))
+    q = blocks.select("id", "vec", "block").join(reach, "id", "left").fillna({"reach": math.pi})
+    some = q.mapInPandas(_reached(pivots, bounds[0].astype(int), bounds[1], bounds[2]), "id bigint, vec array<double>, target array<int>")
+    return some.select("id", "vec", F.explode("target").alias("target"))
+
+
+def _pruned(v: DataFrame, n: int, k: int, block_rows: int) -> DataFrame:
+    blocks, pivots, bounds = pivot_blocks(v, n, block_rows)
+    if not len(pivots):
+        return v.sparkSession.createDataFrame([], FOUND)
+    c = blocks.select(F.col("id").alias("cid"), F.col("vec").alias("cvec"), "block")
+    own = blocks.select(F.col("id").alias("qid"), F.col("vec").alias("qvec"), "block")
+    found = materialize(own.groupBy("block").cogroup(c.groupBy("block")).applyInPandas(_block_topk(k), FOUND), "neighbours_own")
+    q = materialize(query_blocks(blocks, found, pivots, bounds, k), "neighbour_queries")
+    # a block's queries in chunks; the list has one row per block
+    chunks = q.groupBy("target").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("chunks"))
+    chunks = F.broadcast(materialize(chunks, "neighbour_chunks"))
+    q = q.join(chunks, "target").select(F.col("id").alias("qid"), F.col("vec").alias("qvec"), F.col("target").alias("block"),
+                                        F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int").alias("chunk"))
+    c = c.join(chunks.withColumnRenamed("target", "block"), "block").select("cid", "cvec", "block", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
+    more = q.groupBy("block", "chunk").cogroup(c.groupBy("block", "chunk")).applyInPandas(_block_topk(k), FOUND)
+    return found.unionByName(more)
 
 
 def word_neighbours(word_vectors: DataFrame, k: int = 5, word_col: str = "word",
