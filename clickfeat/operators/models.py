@@ -8,6 +8,8 @@ executor costs a re-read, not a recomputation.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml.classification import (GBTClassificationModel, GBTClassifier, LogisticRegression,
                                        LogisticRegressionModel)
 from pyspark.ml.feature import VectorAssembler
@@ -15,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickfeat.functions.random import hash_uniform
 from clickfeat.schemas import FEATURE_COLUMNS
-from clickfeat.session import checkpoint_dir, materialize
+from clickfeat.session import checkpoint_dir, estimated_bytes, materialize
 
 # Published solver settings.
 LR_MAX_ITER = 100
@@ -25,8 +27,12 @@ GBT_MAX_DEPTH = 3
 GBT_STEP = 0.1
 GBT_MAX_BINS = 32
 TRAIN_SHARE = 0.7
-# Partitions of a training set: fixed, so that fits agree on any machine; raise it with the data.
+# Bytes of the written training table per partition: the count follows from the data, not from the machine, so that
+# fits agree on any machine.  At least MODEL_PARTITIONS.
+MODEL_BYTES = 32 << 20
 MODEL_PARTITIONS = 16
+# Names of the columns of the node table.
+NODE_COLUMNS = ["tree", "node", "feature", "threshold", "left", "right", "value", "gain", "impurity", "rows", "weight"]
 
 
 def assemble(vectors: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -83,17 +89,67 @@ def score_fixed(assembled_or_vectors: DataFrame, weights: list[float], threshold
         "prediction", (F.col("probability") > threshold).cast("double"))
 
 
+def tree_nodes(spark: SparkSession, model: GBTClassificationModel) -> DataFrame:
+    """The whole ensemble as a table, one row per node: tree, node (0 is the root), feature (-1 in a leaf), threshold (rows
+    with a value of at most that go left), left, right, value, gain, impurity, rows, weight of the tree."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/gbt-{uuid.uuid4().hex}"
+    model.write().save(path)
+    saved = spark.read.parquet(f"{path}/data")
+    n, split = F.col("nodeData"), F.col("nodeData.split")
+    leaf = n["leftChild"] < 0
+    weights = F.array(*[F.lit(float(w)) for w in model.treeWeights])
+    return saved.select(
+        F.col("treeID").alias("tree"), n["id"].alias("node"), F.when(leaf, -1).otherwise(split["featureIndex"]).alias("feature"),
+        F.when(~leaf, F.get(split["leftCategoriesOrThreshold"], F.lit(0))).alias("threshold"),
+        n["leftChild"].alias("left"), n["rightChild"].alias("right"), n["prediction"].alias("value"),
+        F.when(~leaf, n["gain"]).alias("gain"), n["impurity"].alias("impurity"), n["rawCount"].alias("rows"),
+        F.get(weights, F.col("treeID")).alias("weight"))
+
+
+def score_nodes(vectors: DataFrame, nodes: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """``vectors`` (with FEATURE_COLUMNS) scored from a node table, as columns: margin = sum of weight * value of the leaf a
+    row reaches in every tree, probability = 1 / (1 + exp(-2 margin)), prediction = probability > threshold.
+
+    The ensemble (as many nodes as the solver's settings allow) becomes one column expression, so rows are neither
+    joined nor repeated per tree."""
+    by_tree: dict[int, dict[int, object]] = {}
+    for r in nodes.collect():
+        by_tree.setdefault(r["tree"], {})[r["node"]] = r
+
+    def walk(tree: dict, at: int) -> F.Column:
+        r = tree[at]
+        if r["feature"] < 0:
+            return F.lit(float(r["value"]))
+        x = F.col(FEATURE_COLUMNS[r["feature"]]).cast("double")
+        return F.when(x <= F.lit(float(r["threshold"])), walk(tree, r["left"])).otherwise(walk(tree, r["right"]))
+
+    margin = F.lit(0.0)
+    for _, tree in sorted(by_tree.items()):
+        margin = margin + F.lit(float(tree[0]["weight"])) * walk(tree, 0)
+    scored = vectors.withColumn("margin", margin)
+    p = F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-2.0) * F.col("margin")))
+    return scored.withColumn("probability", p).withColumn("prediction", (F.col("probability") > threshold).cast("double"))
+
+
 def gbt_summary(spark: SparkSession, model: GBTClassificationModel) -> DataFrame:
+    """One row: sizes, importances and the full text dump of the trees."""
     return spark.createDataFrame(
         [(int(model.getNumTrees), int(model.totalNumNodes), len(model.toDebugString),
-          model.featureImportances.toArray().tolist())],
-        "num_trees int, total_nodes int, debug_chars int, feature_importances array<double>")
+          model.featureImportances.toArray().tolist(), model.toDebugString)],
+        "num_trees int, total_nodes int, debug_chars int, feature_importances array<double>, debug_string string")
+
+
+def partitions_for(table: DataFrame) -> int:
+    """Partitions of a written training table, from its bytes."""
+    return max(MODEL_PARTITIONS, -(-estimated_bytes(table) // MODEL_BYTES))
 
 
-def materialised_split(vectors: DataFrame, key_cols: list[str], seed: int = 42, partitions: int = MODEL_PARTITIONS):
+def materialised_split(vectors: DataFrame, key_cols: list[str], seed: int = 42, partitions: int | None = None):
     """Assembled train/test sets from one written table.  The training rows are dealt by their key into
-    ``partitions`` sorted partitions, so a fit does not depend on the machine's cores or file splits."""
+    ``partitions`` (by default from the table's bytes) sorted partitions, so a fit does not depend on the machine's cores
+    or file splits."""
     assembled = materialize(split_flag(assemble(vectors, keep=key_cols), key_cols, seed), "training_set", partition_by=["is_train"])
     train = assembled.where(F.col("is_train") == 1).drop("is_train")
-    return (train.repartition(partitions, *key_cols).sortWithinPartitions(*key_cols, "label"),
+    n = partitions or partitions_for(train)
+    return (train.repartition(n, *key_cols).sortWithinPartitions(*key_cols, "label"),
             assembled.where(F.col("is_train") == 0).drop("is_train"))

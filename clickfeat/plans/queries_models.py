@@ -79,3 +79,10 @@ def q_gbt_error(spark, sf_dir):
 def q_gbt_summary(spark, sf_dir):
     train, _ = ml.materialised_split(_vectors(spark, sf_dir), KEY)
     return ml.gbt_summary(spark, ml.fit_gbt(train, GBT_QUERY_ITER))
+
+
+@register("gbt_nodes")
+def q_gbt_nodes(spark, sf_dir):
+    """Every node of the fitted ensemble, one row each."""
+    train, _ = ml.materialised_split(_vectors(spark, sf_dir), KEY)
+    return ml.tree_nodes(spark, ml.fit_gbt(train, GBT_QUERY_ITER))

@@ -48,3 +48,27 @@ def test_split_is_stable(spark):
     a = ml.split_flag(tv, KEY).groupBy("is_train").count().collect()
     b = ml.split_flag(tv.repartition(7), KEY).groupBy("is_train").count().collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_node_table_scores_like_the_model(spark):
+    tv = training_vectors(click_view(spark, SF_SMALL))
+    train, test = ml.materialised_split(tv, KEY)
+    model = ml.fit_gbt(train, max_iter=6)
+    nodes = ml.tree_nodes(spark, model)
+    assert nodes.count() == model.totalNumNodes and nodes.columns == ml.NODE_COLUMNS
+    rows = nodes.collect()
+    assert {r.tree for r in rows} == set(range(6)) and all((r.feature < 0) == (r.left < 0) == (r.threshold is None) for r in rows)
+    real = {tuple(r[c] for c in KEY): (r.p, r.prediction) for r in model.transform(ml.assemble(tv, keep=KEY)).select(*KEY, vector_to_array("probability")[1].alias("p"), "prediction").collect()}
+    got = {tuple(r[c] for c in KEY): (r.probability, r.prediction) for r in ml.score_nodes(tv, nodes).select(*KEY, "probability", "prediction").collect()}
+    assert set(real) == set(got)
+    assert all(abs(real[k][0] - got[k][0]) < 1e-12 and real[k][1] == got[k][1] for k in real)
+    assert "If (feature" in ml.gbt_summary(spark, model).first().debug_string
+
+
+def test_partitions_follow_the_data_not_the_cores(spark, tmp_dir, monkeypatch):
+    tv = training_vectors(click_view(spark, SF_SMALL))
+    ml.assemble(tv, keep=KEY).write.parquet(f"{tmp_dir}/t")
+    table = spark.read.parquet(f"{tmp_dir}/t")
+    assert ml.partitions_for(table) == ml.MODEL_PARTITIONS
+    monkeypatch.setattr(ml, "MODEL_BYTES", 1000)
+    assert ml.partitions_for(table) > 3 * ml.MODEL_PARTITIONS
