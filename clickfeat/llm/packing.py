@@ -243,7 +243,7 @@ class Encoder:
             self.added = [x["content"] for x in json.load(f).get("added_tokens") or []]
         line = self._whole("\n")
         self.line = line[0] if len(line) == 1 else None
-        self.pieces = pretokens.Pieces(pattern, self._learn, self.kind, CACHE)
+        self.pieces = pretokens.Pieces(lambda texts: pretokens.cut(texts, pattern), self._learn, self.kind, CACHE)
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.kind)

@@ -17,6 +17,8 @@ import regex
 
 #: Fixed value: the pattern that is cut by classes of characters.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Fixed value: the pattern of vocabularies with word ends, for lower-case text; white space between its pieces is dropped.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Characters that are cut at once, and after which a long text is cut where no piece reaches over.
 BLOCK = 1 << 20
 SAFE = regex.compile(r"(?<=\S) (?=\S)")
@@ -37,24 +39,15 @@ def _classes() -> np.ndarray:
 _CLASSES: list[np.ndarray] = []
 
 
-def _starts(code: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Where pieces start.  ``first``: the places at which texts start."""
+def _kinds(code: np.ndarray) -> np.ndarray:
     if not _CLASSES:
         _CLASSES.append(_classes())
+    return _CLASSES[0][code]
+
+
+def _endings(code: np.ndarray, kind: np.ndarray, text: np.ndarray, run: np.ndarray, start: np.ndarray) -> None:
+    """Endings: an apostrophe that is a run and a piece's start, and what follows.  ``start`` is changed."""
     n = len(code)
-    kind = _CLASSES[0][code]
-    text = np.zeros(n + 1, bool)                      # a text starts here
-    text[first] = True
-    text[n] = True
-    run = text[:-1].copy()                            # a run of one class starts here
-    run[1:] |= kind[1:] != kind[:-1]
-    space = kind == _SPACE
-    start = run.copy()
-    # white space before something: its last character stands alone or, if a space, begins the next piece
-    last = np.flatnonzero(space[:-1] & ~space[1:] & ~text[1:-1])
-    start[last] = True
-    start[last[code[last] == 0x20] + 1] = False
-    # endings: an apostrophe that is a run and a piece's start, and what follows
     at = np.flatnonzero((code == 0x27) & run & start)
     at = at[at + 1 < n]
     at = at[run[at + 1] & ~text[at + 1] & (kind[at + 1] == _LETTER)]
@@ -66,10 +59,76 @@ def _starts(code: np.ndarray, first: np.ndarray) -> np.ndarray:
         start[at[one | two] + 1] = False
         for some, size in ((at[one], 2), (at[two], 3)):
             end = some + size
-            start[end[end < n]] = True
+            end = end[end < n]
+            start[end[kind[end] != _SPACE]] = True
+
+
+def _starts(code: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Where pieces start.  ``first``: the places at which texts start."""
+    n = len(code)
+    kind = _kinds(code)
+    text = np.zeros(n + 1, bool)                      # a text starts here
+    text[first] = True
+    text[n] = True
+    run = text[:-1].copy()                            # a run of one class starts here
+    run[1:] |= kind[1:] != kind[:-1]
+    space = kind == _SPACE
+    start = run.copy()
+    # white space before something: its last character stands alone or, if a space, begins the next piece
+    last = np.flatnonzero(space[:-1] & ~space[1:] & ~text[1:-1])
+    start[last] = True
+    start[last[code[last] == 0x20] + 1] = False
+    _endings(code, kind, text, run, start)
     return start
 
 
+def _strings(data: bytes, code: np.ndarray, at: np.ndarray) -> pa.StringArray:
+    """The pieces that start at ``at`` of the text with these characters."""
+    width = 1 + (code > 0x7F).astype(np.int8) + (code > 0x7FF) + (code > 0xFFFF)
+    places = np.cumsum(width, dtype=np.int32) - width
+    offsets = np.append(places[at], len(data)).astype(np.int32)
+    return pa.StringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(data))
+
+
+def cut_words(texts: list[str]) -> tuple[pa.StringArray, np.ndarray]:
+    """The pieces of ``WORD_PATTERN`` in the lower-case texts, and how many each text has.  A word (between ASCII white space) with
+    a character beyond Latin-1, a control character or the start of a special token's string is one piece, only A-Z lower."""
+    sizes = np.array([len(t) + 1 for t in texts], np.int64)
+    whole = "".join([t + " " for t in texts])
+    if not whole:
+        return pa.array([], pa.string()), np.zeros(len(texts), np.int64)
+    code = np.frombuffer(whole.encode("utf-32-le"), "<u4").copy()
+    space = (code == 0x20) | (code >= 0x09) & (code <= 0x0D)
+    code[(code >= 0x41) & (code <= 0x5A)] += 32
+    word = ~space
+    word[1:] &= space[:-1]
+    number = np.cumsum(word) - 1
+    odd = ~((code >= 0x21) & (code <= 0x7E) | (code >= 0xA1) & (code <= 0xFF)) & ~space
+    odd[:-1] |= (code[:-1] == ord("<")) & (code[1:] == ord("|"))
+    whole_word = np.zeros(int(number[-1]) + 1, bool)
+    whole_word[number[odd]] = True
+    plain = ~space
+    plain[plain] = ~whole_word[number[plain]]
+    code[plain & (code >= 0xC0) & (code <= 0xDE) & (code != 0xD7)] += 32
+    kind = _kinds(code)
+    kind[space] = _SPACE
+    run = word.copy()
+    run[1:] |= plain[1:] & plain[:-1] & (kind[1:] != kind[:-1])
+    start = run | plain & (kind == _NUMBER)
+    text = np.zeros(len(code) + 1, bool)
+    text[1:-1] = space[:-1]
+    mark = run & plain
+    mark[1:] |= space[1:]
+    held = start & plain
+    _endings(np.where(plain, code, 0), kind, text, mark, held)
+    start = np.where(plain, held, word)
+    at = np.flatnonzero(start)
+    kept = code[~space]
+    data = kept.tobytes().decode("utf-32-le").encode()
+    counts = np.diff(np.searchsorted(at, np.append(0, np.cumsum(sizes))))
+    return _strings(data, kept, (np.cumsum(~space) - 1)[at]), counts
+
+
 def cut(texts: list[str], pattern: str) -> tuple[pa.StringArray, np.ndarray]:
     """All pieces of the texts in order, and how many each text has."""
     if pattern != PATTERN:
@@ -84,12 +143,7 @@ def cut(texts: list[str], pattern: str) -> tuple[pa.StringArray, np.ndarray]:
     ends = np.cumsum(sizes)
     first = (ends - sizes)[sizes > 0]
     at = np.flatnonzero(_starts(code, first))
-    width = 1 + (code > 0x7F).astype(np.int8) + (code > 0x7FF) + (code > 0xFFFF)
-    places = np.append(np.cumsum(width, dtype=np.int32) - width, np.int32(0))
-    data = whole.encode()
-    places[-1] = len(data)
-    offsets = np.append(places[at], np.int32(len(data))).astype(np.int32)
-    pieces = pa.StringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(data))
+    pieces = _strings(whole.encode(), code, at)
     return pieces, np.diff(np.searchsorted(at, np.append(0, ends)))
 
 
@@ -113,11 +167,11 @@ def _blocks(texts: list[str]) -> Iterator[list[tuple[int, str]]]:
 
 
 class Pieces:
-    """Ids of texts from the ids of their different pieces.  ``learn`` gives the ids of new pieces; a bounded
-    number of pieces is remembered."""
+    """Ids of texts from the ids of their different pieces.  ``cut`` lists the pieces of texts, ``learn`` gives the ids
+    of new pieces; a bounded number of pieces is remembered."""
 
-    def __init__(self, pattern: str, learn: Callable[[list[str]], list[np.ndarray]], kind: np.dtype, cache: int):
-        self.pattern, self.learn, self.kind, self.cache = pattern, learn, kind, cache
+    def __init__(self, cut: Callable[[list[str]], tuple[pa.StringArray, np.ndarray]], learn: Callable[[list[str]], list[np.ndarray]], kind: np.dtype, cache: int):
+        self.cut, self.learn, self.kind, self.cache = cut, learn, kind, cache
         self.known: dict[str, bytes] = {}
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
@@ -137,7 +191,7 @@ class Pieces:
         """The ids of every text."""
         parts: list[list[np.ndarray]] = [[] for _ in texts]
         for block in _blocks(texts):
-            pieces, counts = cut([t for _, t in block], self.pattern)
+            pieces, counts = self.cut([t for _, t in block])
             listed = pieces.dictionary_encode()
             ids = self._ids(listed.dictionary.to_pylist())
             flat = np.frombuffer(b"".join(ids), self.kind)

@@ -8,8 +8,8 @@ size and the low 32 bits of the XXH64 of its content, then the number of frames,
 and a magic number.  Any zstandard reader can decompress the whole file; a reader of
 one document reads the tail, then only that document's frame, and checks its checksum.
 
-Words are encoded by the tokenizers library; as its white space never joins words, each worker
-keeps a bounded cache of the ids of words met before.  With ``added`` (as in ``round_trip``) the
+Words are encoded by the tokenizers library; as its white space never joins words, the different pieces of a batch
+of texts are encoded once, and each worker keeps a bounded cache of the ids of pieces met before.  With ``added`` (as in ``round_trip``) the
 strings of the tokenizer's added tokens get those tokens' ids, the library's default; texts that may
 hold one go to the library whole.  Without it they are ordinary text.
 
@@ -41,13 +41,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from clickfeat.llm import common
+from clickfeat.llm import common, pretokens
 
 FRAME = 1 << 16
 LEVEL = 3
 RANGE_ROWS = 4000
 MOST_RANGES = 10_000
-CACHE = 400_000
+CACHE = 700_000
 
 SKIPPABLE, INDEX_FRAME, SEEK_MAGIC = 0x184D2A5E, 0x184D2A5D, 0x8F92EAB1
 DOC = np.dtype([("doc_id", "<i8"), ("known", "u1"), ("frame", "<u4"), ("start", "<u4"), ("n", "<u4")])
@@ -128,17 +128,17 @@ class Reader:
 
 # ---- encoding ----
 
-LATIN = regex.compile(r"[\x21-\x7e\xa1-\xff]+")
 #: Marks that NFC and lower case neither make of other characters nor change, except by a mark that composes.
 MARKS = regex.compile(r"[!-/:<-@\[-_{-~]+")
+LATIN = regex.compile(r"[\x21-\x7e\xa1-\xff]+")
 
 
 class WordEncoder:
-    """The tokenizers library over white-space separated words, with a bounded cache (word -> ids as bytes).
+    """The tokenizers library over the different pieces of a batch of texts, with a bounded cache.
 
-    A word of Latin-1 letters is cut into the tokenizer's own pre-tokens, whose ids are taken from
+    Words of Latin-1 letters are cut into the tokenizer's own pre-tokens, whose ids are taken from
     one call for many of them: each pre-token ends with an id whose text ends with the word-end mark.
-    Other words go to the library whole."""
+    Other words go to the library whole, and whole texts if the tokenizer is of another kind."""
 
     def __init__(self, path: str, added: bool = False):
         from tokenizers import Tokenizer
@@ -148,10 +148,9 @@ class WordEncoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = not added
         mark = said["model"].get("end_of_word_suffix")
-        steps = said["pre_tokenizer"].get("pretokenizers", [])
+        steps = (said["pre_tokenizer"] or {}).get("pretokenizers", [])
         plain = said["normalizer"] and [x["type"] for x in said["normalizer"].get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
         split = next((x["pattern"]["Regex"] for x in steps if x["type"] == "Split" and x["invert"] and x["behavior"] == "Removed"), None)
-        self.split = regex.compile(split).findall if mark and split and plain else None
         # a text without the marks of an added token's string does not hold it; a string without marks may be in any text
         strings = [x["content"] for x in said.get("added_tokens") or []] if added else []
         self.hints = {max(MARKS.findall(x) if plain else [], key=len, default="") for x in strings}
@@ -159,58 +158,35 @@ class WordEncoder:
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         if mark:
             self.ends[[i for w, i in vocab.items() if w.endswith(mark)]] = True
-        self.words: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, "<u4").tobytes() for x in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, words: list[bytes]) -> None:
-        texts = [w.decode() for w in words]
-        if self.split is None:
-            self.words.update(zip(words, self._whole(texts), strict=True))
-            return
-        cut = [self.split(t.lower()) if LATIN.fullmatch(t) else None for t in texts]
-        new = list({p for c in cut if c for p in c if p not in self.pieces})
-        for i in range(0, len(new), 2000):
-            part = new[i:i + 2000]
-            ids = np.array(self.tok.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) != len(part):                 # not one end per pre-token: take them one by one
-                self.pieces.update(zip(part, self._whole(part), strict=True))
-                continue
-            raw, at = ids.tobytes(), 0
-            for p, end in zip(part, (4 * cuts).tolist(), strict=True):
-                self.pieces[p] = raw[at:end]
-                at = end
-        other = [i for i, c in enumerate(cut) if c is None]
-        whole = dict(zip(other, self._whole([texts[i] for i in other]), strict=True))
-        for i, (w, c) in enumerate(zip(words, cut, strict=True)):
-            self.words[w] = whole[i] if c is None else b"".join([self.pieces[p] for p in c])
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        whole = [i for i, t in enumerate(texts) if t and any(h in t for h in self.hints)]
-        if not whole:
-            return self._by_words(texts)
-        out = self._by_words([None if t and any(h in t for h in self.hints) else t for t in texts])
-        for i in whole:
-            out[i] = self._whole([texts[i]])[0]
+        known = mark and plain and split == pretokens.WORD_PATTERN
+        self.pieces = pretokens.Pieces(pretokens.cut_words, self._learn, np.dtype("<u4"), CACHE) if known else None
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, "<u4") for x in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, pieces: list[str]) -> list[np.ndarray]:
+        latin = [bool(LATIN.fullmatch(p)) and "<|" not in p for p in pieces]
+        out: list[np.ndarray | None] = [None] * len(pieces)
+        some = [i for i, x in enumerate(latin) if x]
+        for k in range(0, len(some), 2000):
+            part = some[k:k + 2000]
+            ids = self._whole([" ".join([pieces[i] for i in part])])[0]
+            cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(cuts) == len(part):                 # else not one end per pre-token: take them one by one
+                for i, a, b in zip(part, [0, *cuts[:-1]], cuts, strict=True):
+                    out[i] = ids[a:b]
+        left = [i for i, x in enumerate(out) if x is None]
+        for i, ids in zip(left, self._whole([pieces[i] for i in left]), strict=True):
+            out[i] = ids
         return out
 
-    def _by_words(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.words) > CACHE:
-            self.words.clear()
-        if len(self.pieces) > CACHE:
-            self.pieces.clear()
-        split = [(t or "").encode().lower().split() for t in texts]      # bytes: only A-Z and ASCII white space
-        new = {w for words in split for w in words if w not in self.words}
-        if new:
-            self._learn(list(new))
-        out = [b"".join([self.words[w] for w in words]) for words in split]
-        for w in new:
-            if len(w) > 64:
-                del self.words[w]
-        return out
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        whole = [i for i, t in enumerate(texts) if t and (self.pieces is None or any(h in t for h in self.hints))]
+        skip = set(whole)
+        out = self.pieces.encode(["" if i in skip else t or "" for i, t in enumerate(texts)]) if self.pieces else [np.empty(0, "<u4")] * len(texts)
+        for i, ids in zip(whole, self._whole([texts[i] for i in whole]), strict=True):
+            out[i] = ids
+        return [x.tobytes() for x in out]
 
 
 _ENCODERS: dict = {}
@@ -228,8 +204,8 @@ def _encode(path: str, end_id: int, added: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = word_encoder(path, added)
         for b in batches:
-            for i in range(0, b.num_rows, 100):
-                part = b.slice(i, 100)
+            for i in range(0, b.num_rows, 250):
+                part = b.slice(i, 250)
                 ids = [x + end for x in e.encode(part.column("text").to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in ("place", "doc_id", "h")] + [pa.array(ids, pa.binary())], names=["place", "doc_id", "h", "ids"])
     return run

@@ -143,6 +143,17 @@ def test_pre_tokens_equal_the_pattern():
     assert pretokens.cut([every], P.PATTERN)[0].to_pylist() == find(every)
 
 
+def test_words_equal_the_pattern():
+    find = regex.compile(pretokens.WORD_PATTERN).findall
+    rng = random.Random(3)
+    letters = "''  \n\tstmdrevlÀé²!.1½ªµß'×<>|"
+    for _ in range(4000):
+        texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 14))) for _ in range(5)]
+        pieces, counts = pretokens.cut_words(texts)
+        want = [[p for w in t.split() for p in ([w] if "<|" in w else find(w.lower()))] for t in texts]
+        assert pieces.to_pylist() == [p for x in want for p in x] and counts.tolist() == [len(x) for x in want]
+
+
 def test_long_texts_are_cut_safely(monkeypatch):
     monkeypatch.setattr(pretokens, "BLOCK", 50)
     rng = random.Random(5)
