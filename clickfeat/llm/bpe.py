@@ -8,7 +8,7 @@ gives those two tokens again.  Appending bytes only adds entries, and after an e
 entries before the edit stay and those behind it are computed until they agree again.
 
 A text is cut into the pre-tokens of ``pattern``; each is encoded separately.  Workers keep
-bounded caches of words, pre-tokens and token pairs.
+bounded caches of pre-tokens and token pairs; an automaton lists the tokens that end at a place.
 
 Defined cases: null text counts as empty and gives no ids; an empty table gives no rows;
 other columns are not read.
@@ -20,21 +20,17 @@ import base64
 import hashlib
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 
-from clickfeat.llm import common
+from clickfeat.llm import common, pretokens
 
-#: Entries of each cache of a worker (only speed depends on it).
-CACHE = 300_000
+#: Pre-tokens that a worker remembers, and a quarter of the token pairs (only speed depends on it).
+CACHE = 600_000
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
-#: A single space between two other characters: no pre-token reaches over it.
-SAFE = regex.compile(r"(?<=\S) (?=\S)")
-ODD = regex.compile(r"\s | \s|^ | $")
-
 
 def load_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as f:
@@ -49,41 +45,82 @@ class Bpe:
         self.tokens = {v: k for k, v in ranks.items()}
         self.longest = max(map(len, ranks))
         self.pairs: dict[int, bool] = {}
-
-    def merged(self, data: bytes) -> list[int]:
-        """Encoding by the merges themselves: join the neighbours of lowest rank until none is left."""
+        self.halves: dict[int, tuple[int, int] | None] = {}
+        self.endings = ahocorasick.Automaton()        # the tokens that end at each place of a byte string
+        for k, v in ranks.items():
+            self.endings.add_word(k.decode("latin-1"), (v, len(k)))
+        self.endings.make_automaton()
+        size = max(ranks.values()) + 1
+        sizes = np.array([len(self.tokens.get(i, b"")) for i in range(size)])
+        self.blob = np.frombuffer(b"".join([self.tokens.get(i, b"") for i in range(size)]), np.uint8)
+        self.sizes, self.starts = sizes, np.cumsum(sizes) - sizes
+
+    def merged(self, data: bytes, below: int = 1 << 60) -> list[int]:
+        """Encoding by the merges themselves: join the neighbours of lowest rank until none (``below`` a rank) is left."""
         parts = [data[i:i + 1] for i in range(len(data))]
         while len(parts) > 1:
             rank, at = min((self.ranks.get(parts[i] + parts[i + 1], 1 << 60), i) for i in range(len(parts) - 1))
-            if rank == 1 << 60:
+            if rank >= below:
                 break
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return [self.ranks[x] for x in parts]
 
+    def half(self, token: int) -> tuple[int, int] | None:
+        """The two tokens whose merge makes this one; None for a single byte, and for a token that merges do not make of two."""
+        if token not in self.halves:
+            parts = self.merged(self.tokens[token], token)
+            self.halves[token] = tuple(parts) if len(parts) == 2 else None
+        return self.halves[token]
+
     def follows(self, a: int, b: int) -> bool:
-        """May token b stand behind token a?"""
+        """May token b stand behind token a?  The merges that made a and b are undone at their common border, the
+        latest first.  The pair that then meets there must not merge before the merge undone."""
         key = a << 32 | b
         known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) > 4 * CACHE:
                 self.pairs.clear()
-            known = self.pairs[key] = self.merged(self.tokens[a] + self.tokens[b]) == [a, b]
+            known = self.pairs[key] = self._follows(a, b)
         return known
 
+    def _follows(self, a: int, b: int) -> bool:
+        tokens, ranks, left, right = self.tokens, self.ranks, a, b
+        first = 1 << 60                               # a joint merge of a rank below this came before the merge undone
+        while True:
+            if ranks.get(tokens[left] + tokens[right], 1 << 60) < first:
+                return False
+            one, two = len(tokens[left]) > 1, len(tokens[right]) > 1
+            if not one and not two:
+                return True
+            # of equal merges the left one comes first: also before the joint one, which comes before the right one
+            undo_left = one and (left > right or not two)
+            parts = self.half(left if undo_left else right)
+            if parts is None:
+                break
+            if undo_left:
+                first, left = left, parts[1]
+            else:
+                first, right = right + 1, parts[0]
+        return self.merged(tokens[a] + tokens[b]) == [a, b]
+
     def extend(self, data: bytes, last: list[int], stop=None) -> None:
         """Add the last token of every further prefix of ``data`` to ``last`` (``last[i]``: of the prefix of
-        i + 1 bytes).  ``stop(i)`` may end it early."""
-        ranks, longest, pairs, follows = self.ranks, self.longest, self.pairs, self.follows
-        for end in range(len(last) + 1, len(data) + 1):
-            for start in range(max(0, end - longest), end):        # the longest first
-                token = ranks.get(data[start:end])
-                if token is not None and (start == 0 or (ok := pairs.get(last[start - 1] << 32 | token)) or ok is None and follows(last[start - 1], token)):
-                    last.append(token)
-                    break
-            else:
-                raise ValueError("the vocabulary lacks a byte")
-            if stop and stop(end - 1):
-                return
+        i + 1 bytes).  ``stop(i)`` may end it early.  Only tokens that end at a place are tried there, the longest first."""
+        pairs, follows = self.pairs, self.follows
+        done = len(last)
+        for end, (token, size) in self.endings.iter(data.decode("latin-1"), max(0, done + 1 - self.longest)):
+            if end < done:
+                continue
+            if end > done:
+                break
+            start = end + 1 - size
+            if start == 0 or (ok := pairs.get(last[start - 1] << 32 | token)) or ok is None and follows(last[start - 1], token):
+                last.append(token)
+                done += 1
+                if stop and stop(end):
+                    return
+        if done < len(data):
+            raise ValueError("the vocabulary lacks a byte")
 
     def walk(self, last: list[int], end: int | None = None) -> list[int]:
         """The ids of the prefix of ``end`` bytes."""
@@ -101,7 +138,10 @@ class Bpe:
         return self.walk(last)
 
     def decode(self, ids) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+        ids = np.asarray(ids, np.int64)
+        n = self.sizes[ids]
+        ends = np.cumsum(n)
+        return self.blob[np.repeat(self.starts[ids] - (ends - n), n) + np.arange(ends[-1])].tobytes() if len(ids) else b""
 
 
 class Piece:
@@ -138,45 +178,15 @@ class Piece:
 
 
 class Encoder:
-    """Whole texts: pre-tokens by ``pattern``, each through the dynamic program, with bounded caches.
+    """Whole texts: pre-tokens by ``pattern``, the different ones each through the dynamic program, with a bounded cache.
     Ids are kept as little-endian 32-bit bytes."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.bpe, self.split = Bpe(ranks), regex.compile(pattern).findall
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def _word(self, word: str) -> bytes:
-        out = []
-        for piece in self.split(word):
-            got = self.pieces.get(piece)
-            if got is None:
-                got = np.array(self.bpe.encode(piece.encode()), "<u4").tobytes()
-                if len(piece) <= 64:
-                    self.pieces[piece] = got
-            out.append(got)
-        return b"".join(out)
-
-    def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if ODD.search(text):
-            words = SAFE.split(text)
-        else:
-            words = text.split(" ")
-        words = [words[0], *[" " + w for w in words[1:]]]
-        known, out = self.words.get, []
-        for w in words:
-            got = known(w)
-            if got is None:
-                got = self._word(w)
-                if len(w) <= 64:
-                    self.words[w] = got
-            out.append(got)
-        for cache in (self.words, self.pieces):
-            if len(cache) > CACHE:
-                cache.clear()
-        return b"".join(out)
+        self.bpe = Bpe(ranks)
+        self.pieces = pretokens.Pieces(lambda texts: pretokens.cut(texts, pattern), lambda new: [self.bpe.encode(p.encode()) for p in new], np.dtype("<u4"), CACHE)
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        return self.pieces.encode([t or "" for t in texts])
 
 
 _ENCODERS: dict = {}
@@ -193,9 +203,9 @@ def _encode(path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path, pattern)
         for b in batches:
-            for i in range(0, b.num_rows, 100):
-                part = b.slice(i, 100)
-                ids = [e.encode(t or "") for t in part.column("text").to_pylist()]
+            for i in range(0, b.num_rows, 250):
+                part = b.slice(i, 250)
+                ids = [x.tobytes() for x in e.encode(part.column("text").to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
     return run
 
@@ -211,10 +221,9 @@ def _digests(path: str, pattern: str):
         e = encoder(path, pattern)
         for b in batches:
             rows = []
-            for t in b.column("text").to_pylist():
-                ids = e.encode(t or "")
-                back = e.bpe.decode(np.frombuffer(ids, "<u4").tolist())
-                rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(back).hexdigest()))
+            for i in range(0, b.num_rows, 250):
+                for ids in e.encode(b.column("text").slice(i, 250).to_pylist()):
+                    rows.append((len(ids), hashlib.sha256(ids).hexdigest(), hashlib.sha256(e.bpe.decode(ids)).hexdigest()))
             n, a, c = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(c, pa.string())],
                                              names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
