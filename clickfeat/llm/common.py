@@ -61,6 +61,12 @@ def text_hash(text: Column | str = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
 
 
+def fixed(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with more columns that are computed once a row, however often (also inside lambdas) they are used later:
+    a generator of one row stands between, into which the optimizer inlines nothing."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(k) for k, c in columns.items()]))))
+
+
 def lookup(facts: DataFrame, dim: DataFrame, keys: list[str], spread: Column, least: int = 2000) -> DataFrame:
     """``facts`` inner-joined to ``dim`` (one row per key; its column ``n`` counts the key's
     rows in ``facts``), with the rows of frequent keys dealt over several tasks.
@@ -81,17 +87,23 @@ def lookup(facts: DataFrame, dim: DataFrame, keys: list[str], spread: Column, le
     return left.join(right, [*keys, "__salt"]).drop("__salt")
 
 
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """Every row as one struct, so that no column of ``docs`` can clash with one that an operator adds."""
+    quoted = ["`" + c.replace("`", "``") + "`" for c in docs.columns]
+    return docs.select(F.struct(*quoted).alias("row"))
+
+
 def emit(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     """The rows of ``docs`` that ``decisions`` (doc_id, __h, __emit: how many times a row
     with that doc_id and text hash is wanted, one row per pair) keep, with the columns of ``docs``.
 
     Fully repeated rows (same doc_id, same text) count as one row here."""
-    d = docs.withColumn("__h", text_hash())
-    k = decisions.select(F.col("doc_id").alias("__id"), F.col("__h").alias("__g"), "__emit")
-    j = d.join(k, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__g")))
-    one = Window.partitionBy("doc_id", "__h").orderBy(F.lit(1))
-    j = j.withColumn("__row", F.row_number().over(one)).filter("__row = 1 and __emit > 0")
-    return j.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__emit").cast("int")))).select(*docs.columns)
+    d = whole_rows(docs).select("row", F.col("row.doc_id").alias("id"), text_hash(F.col("row.text")).alias("h"))
+    k = decisions.select(F.col("doc_id").alias("to_id"), F.col("__h").alias("to_h"), F.col("__emit").alias("times"))
+    j = d.join(k, F.col("id").eqNullSafe(F.col("to_id")) & (F.col("h") == F.col("to_h")))
+    one = Window.partitionBy("id", "h").orderBy(F.lit(1))
+    j = j.withColumn("place", F.row_number().over(one)).filter("place = 1 and times > 0")
+    return j.select("row", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select("row.*")
 
 
 # ---- spans of regular expressions, as column expressions ----

@@ -196,10 +196,11 @@ def exact_groups(docs: DataFrame, capacity: int = CAPACITY, max_depth: int = MAX
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns."""
-    got = exact_groups(docs).filter("kept").select("doc_id", "text_sha256", "n_chars")
-    d = docs.withColumn("__sha", F.sha2(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", ""), 256))
-    d = d.withColumn("__n", F.length(F.coalesce("text", F.lit(""))))
-    k = got.select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__k"), F.col("n_chars").alias("__c"))
-    j = d.join(k, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__sha") == F.col("__k")) & (F.col("__n") == F.col("__c")))
-    one = Window.partitionBy("doc_id", "__sha", "__n").orderBy(common.text_hash())
-    return j.withColumn("__row", F.row_number().over(one)).filter("__row = 1").select(*docs.columns)
+    got = exact_groups(docs).filter("kept")
+    text = F.coalesce(F.col("row.text"), F.lit(""))
+    d = common.whole_rows(docs).select("row", F.col("row.doc_id").alias("id"), F.length(text).alias("n"), common.text_hash(F.col("row.text")).alias("h"),
+                                       F.sha2(F.regexp_replace(text, r"[\x20\x09-\x0D]+", ""), 256).alias("sha"))
+    k = got.select(F.col("doc_id").alias("to_id"), F.col("text_sha256").alias("to_sha"), F.col("n_chars").alias("to_n"))
+    j = d.join(k, F.col("id").eqNullSafe(F.col("to_id")) & (F.col("sha") == F.col("to_sha")) & (F.col("n") == F.col("to_n")))
+    one = Window.partitionBy("id", "sha", "n").orderBy("h")
+    return j.withColumn("place", F.row_number().over(one)).filter("place = 1").select("row.*")

@@ -21,6 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from clickfeat.llm import common
@@ -237,7 +238,7 @@ def known_language(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """The documents, with all their columns, whose language is known with at least ``least`` of the probability."""
     common.workers(docs.sparkSession)
     params, langs = fit(docs)
-    inner = docs.select(F.struct(*docs.columns).alias("row"), "text")
-    schema = f"row {inner.schema['row'].dataType.simpleString()}, lang_pred string, score double"
+    inner = common.whole_rows(docs).select("row", F.col("row.text").alias("text"))
+    schema = T.StructType([inner.schema["row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     got = inner.mapInArrow(_predict(params, langs, ["row"]), schema)
     return got.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("row.*")

@@ -39,7 +39,8 @@ def op3(spark, sf_dir):
 @query("op4_pii")
 def op4(spark, sf_dir):
     d = pii.sanitise(common.documents(spark, sf_dir))
-    return d.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans", "n_term",
+    found = F.col("n_email") + F.col("n_ip") + F.col("n_card") + F.col("n_phone") + F.col("n_term")
+    return d.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans", "n_term", found.alias("n_found"),
                     F.sha2("sanitised", 256).alias("sanitised_sha256"))
 
 

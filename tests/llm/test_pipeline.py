@@ -68,3 +68,23 @@ def test_every_stage_takes_odd_rows(spark, name, stage):
             assert all((r.doc_id, r.text) in text for r in got)
         else:
             assert len(got) == len(rows)
+
+
+def test_no_extra_column_can_clash(spark):
+    """Every stage returns the same rows when the documents have columns with the names that operators use inside."""
+    from pyspark.sql import functions as F
+    names = ["__h", "__id", "__g", "__emit", "__row", "__copy", "__sha", "__n", "__k", "__c", "row", "id", "h", "times", "place", "to_id", "to_h", "to_sha", "to_n", "sha", "n",
+             "__part", "__sum", "__before", "__s", "__p", "__inside", "__epochs", "__last", "fp", "leaf", "root", "component_id", "one", "size", "lang_pred", "score", "key", "odd.name", "b`q"]
+    plain = frame(spark, [*edge_rows(), *[(100 + i, f"some words number {i % 7} of the river bank and the lazy dog", "en", "abc"[i % 3]) for i in range(40)]], extra=False)
+    wide = plain
+    for x in names:
+        wide = wide.withColumn(x, F.lit("x"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        a = stage(spark, plain, None)
+        b = stage(spark, wide, None)
+        assert b.columns == wide.columns, name
+        cols = plain.columns
+        assert sorted(map(repr, a.select(*cols).collect())) == sorted(map(repr, b.select(*cols).collect())), name
+        assert b.filter(F.col("`odd.name`") != "x").count() == 0
+    last = corpus_pipeline.STAGES[-1][1]
+    assert sorted(map(repr, last(spark, plain, None).collect())) == sorted(map(repr, last(spark, wide, None).collect()))
