@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from clickfeat.operators import catalogue as cat
 from clickfeat.operators.counters import all_counters
 from clickfeat.operators.enrichment import training_vectors
 from clickfeat.operators.feature_store import counter_pairs, feature_store
+from clickfeat.plans import queries_catalogue  # noqa: F401  (its SQL is used below)
 from clickfeat.plans.queries_counters import ALL_COUNTERS_SQL_BODY, TRAINING_SQL_BODY, _store_sql
-from clickfeat.plans.registry import register, sql_with
+from clickfeat.plans.registry import ORACLE, register, sql_with
 from clickfeat.schemas import CLICK_COLUMNS, FEATURE_COLUMNS
+from clickfeat.sinks import files as sinks
 from clickfeat.sinks.files import clicks_csv_lines, training_tuple_lines, tuple_pair_lines
-from clickfeat.sources.files import (blank, parse_clicks, parse_training_points, parse_tuple_pairs, parse_users,
-                                     rejected_clicks, valid_click_lines)
-from clickfeat.sources.fixtures import click_view, user_view
+from clickfeat.sources.files import (blank, parse_clicks, parse_flat_map, parse_list_map, parse_set_map, parse_training_points,
+                                     parse_tuple_pairs, parse_users, rejected_clicks, valid_click_lines)
+from clickfeat.sources.fixtures import ad_view, click_view, user_view
 
 CLICK_CSV_SQL = ("concat_ws(',', device_ip, device_id, session_id, query, ad_id, campaign_id, cat_match, clicked)")
 
@@ -126,14 +129,47 @@ def q_scan_training(spark, sf_dir):
     return parse_training_points(training_tuple_lines(tv, FEATURE_COLUMNS))
 
 
-@register("parse_features", sql_with(["click"], "SELECT count(*) AS n_ok, 0 AS n_rejected FROM tv",
+@register("parse_features", sql_with(["click"], "SELECT count(*) FILTER (ad_id % 97 <> 0) AS n_ok, "
+                                     "CAST(count(*) FILTER (ad_id % 97 = 0) AS INTEGER) AS n_rejected FROM tv",
                                      [f"tv AS ({TRAINING_SQL_BODY})"]))
 def q_parse_features(spark, sf_dir):
+    """Training lines of which some (every ad whose id is a multiple of 97) hold a feature that is no number."""
     tv = training_vectors(click_view(spark, sf_dir))
-    p = parse_training_points(training_tuple_lines(tv, FEATURE_COLUMNS))
-    bad = None
+    lines = training_tuple_lines(tv, FEATURE_COLUMNS, keep=["ad_id"])
+    broken = F.regexp_replace("value", r"^\('[^,]*", "('n/a")
+    lines = lines.withColumn("value", F.when(F.col("ad_id") % 97 == 0, broken).otherwise(F.col("value")))
+    p = parse_training_points(lines)
+    bad = F.lit(False)
     for c in ["label"] + [f"f{i}" for i in range(len(FEATURE_COLUMNS))]:
-        cond = F.col(c).isNull()
-        bad = cond if bad is None else bad | cond
+        bad = bad | F.col(c).isNull()
     return p.agg(F.sum((~bad).cast("int")).cast("bigint").alias("n_ok"),
                  F.sum(bad.cast("int")).cast("int").alias("n_rejected"))
+
+
+# The five other map documents of the catalogue, each written as lines and read back.
+@register("export_campaign_weight_map", ORACLE["campaign_weight_last"])
+def q_campaign_weight_map(spark, sf_dir):
+    w = cat.campaign_weight_last(ad_view(spark, sf_dir)).select("campaign_id", F.round("weight", 9).alias("weight"))
+    return parse_flat_map(sinks.flat_map_lines(w, "campaign_id", "weight"), "campaign_id", "weight")
+
+
+@register("export_ad_score_map", ORACLE["ad_last_score"])
+def q_ad_score_map(spark, sf_dir):
+    w = cat.ad_last_score(ad_view(spark, sf_dir)).select("ad_id", F.round("relevance", 9).alias("relevance"))
+    return parse_flat_map(sinks.flat_map_lines(w, "ad_id", "relevance"), "ad_id", "relevance", key_type="bigint")
+
+
+@register("export_category_map", ORACLE["campaign_category"])
+def q_category_map(spark, sf_dir):
+    c = cat.campaign_category(ad_view(spark, sf_dir))
+    return parse_flat_map(sinks.flat_map_lines(c, "campaign_id", "category"), "campaign_id", "category", value_type="string")
+
+
+@register("export_group_query_map", ORACLE["group_queries"])
+def q_group_query_map(spark, sf_dir):
+    return parse_set_map(sinks.set_map_lines(cat.group_queries(ad_view(spark, sf_dir)), chunk=16))
+
+
+@register("export_campaign_ads_map", sql_with(["ad"], "SELECT campaign_id, ad_id, row_number() OVER (PARTITION BY campaign_id ORDER BY pos) - 1 AS idx FROM ad"))
+def q_campaign_ads_map(spark, sf_dir):
+    return parse_list_map(sinks.list_map_lines(cat.campaign_ads(ad_view(spark, sf_dir)), chunk=64))

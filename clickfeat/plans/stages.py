@@ -32,7 +32,7 @@ from clickfeat.operators.enrichment import training_vectors
 from clickfeat.operators.feature_store import feature_store
 from clickfeat.operators.neighbours import word_neighbours
 from clickfeat.operators.rewrites import rewrite_lines, rewrite_rows
-from clickfeat.operators.word2vec import W2V_PARTITIONS, fit_word2vec, word_vectors
+from clickfeat.operators.word2vec import fit_word2vec, word_vectors
 from clickfeat.schemas import AD, AD_REQUIRED_SENTENCES, AD_REQUIRED_WEIGHTS
 from clickfeat.sinks import files as sinks
 from clickfeat.sources import files as src
@@ -57,7 +57,15 @@ def stage_catalogue(spark: SparkSession, ads_path: str, out_dir: str, ad_schema=
     sinks.write_parquet(cat.campaign_weight_last(ads), _p(out_dir, "campaign_weight_last"))
     sinks.write_parquet(cat.campaign_category(ads), _p(out_dir, "campaign_category"))
     sinks.write_parquet(cat.group_queries(ads), _p(out_dir, "group_queries"))
+    # the six map documents
     sinks.write_nested_map(cat.group_campaign_ads(ads), _p(out_dir, "group_campaign_ads_map"))
+    last = cat.dedupe_last(cat.ad_weights(ads).select(cat.A, "pos", "weight"))
+    for lines, name in ((sinks.flat_map_lines(cat.campaign_weight_last(ads), cat.C, "weight"), "campaign_weight_map"),
+                        (sinks.flat_map_lines(last, cat.A, "weight"), "ad_weight_map"),
+                        (sinks.set_map_lines(cat.group_queries_dropfirst(ads)), "group_query_map"),
+                        (sinks.flat_map_lines(cat.campaign_category(ads), cat.C, "category"), "campaign_category_map"),
+                        (sinks.list_map_lines(cat.campaign_ads_reset(ads)), "campaign_ads_map")):
+        sinks.write_lines(lines, _p(out_dir, name))
     sinks.write_parquet(cat.campaign_ads(ads), _p(out_dir, "campaign_ads"))
     sinks.write_parquet(cat.campaign_ads_reset(ads), _p(out_dir, "campaign_ads_reset"))
 
@@ -67,7 +75,7 @@ def stage_corpus(spark: SparkSession, ads_path: str, out_dir: str, ad_schema=AD)
     sinks.write_sentences(tx.sentences(ads), _p(out_dir, "sentences"))
 
 
-def stage_embeddings(spark: SparkSession, out_dir: str, num_partitions: int = W2V_PARTITIONS) -> None:
+def stage_embeddings(spark: SparkSession, out_dir: str, num_partitions: int | None = None) -> None:
     words = tx.sentence_words(spark.read.text(_p(out_dir, "sentences")).withColumnRenamed("value", "sentence"))
     model = fit_word2vec(words, num_partitions=num_partitions)
     model.write().overwrite().save(_p(out_dir, "word2vec_model"))

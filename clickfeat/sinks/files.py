@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from clickfeat.operators.lookup import split_join
 from clickfeat.sinks.delta_store import DeltaStore
 
 
@@ -29,6 +30,35 @@ def write_nested_map(rows: DataFrame, path: str, mode: str = "overwrite", **kw)
     nested_map_lines(rows, **kw).write.mode(mode).text(path)
 
 
+def flat_map_lines(rows: DataFrame, key: str, value: str) -> DataFrame:
+    """Rows -> JSON lines ``{key: value}``, one entry a line: all lines together are the published document.  Rows without a key
+    cannot be written as such and are left out."""
+    return rows.where(F.col(key).isNotNull()).select(F.to_json(F.create_map(F.col(key).cast("string"), F.col(value)), {"ignoreNullFields": "false"}).alias("value"))
+
+
+def list_map_lines(rows: DataFrame, key: str = "campaign_id", item: str = "ad_id", order: str = "pos", chunk: int = 10000) -> DataFrame:
+    """Rows -> JSON lines ``{"chunk": k, "map": {key: [items in order]}}``; as in ``nested_map_lines`` a chunk covers ``chunk`` positions."""
+    k = F.floor(F.col(order) / chunk).alias("_chunk")
+    agg = rows.where(F.col(key).isNotNull()).groupBy(key, k).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(item).alias("i")))).alias("_l"))
+    listed = F.create_map(F.col(key).cast("string"), F.transform("_l", lambda s: s["i"]))
+    return agg.select(F.to_json(F.struct(F.col("_chunk").alias("chunk"), listed.alias("map"))).alias("value"))
+
+
+def set_map_lines(rows: DataFrame, key: str = "query_group_id", member: str = "query", chunk: int = 10000) -> DataFrame:
+    """Distinct rows -> JSON lines ``{key: {member: 1, ...}}``.  The members of a key are dealt by hash over as many lines as it takes
+    for about ``chunk`` members each, so no line grows with a key."""
+    d = rows.where(F.col(key).isNotNull() & F.col(member).isNotNull()).select(key, F.col(member).cast("string").alias("_m")).distinct()
+    many = d.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / chunk).alias("_lines"))
+    part = F.pmod(F.xxhash64("_m"), F.col("_lines")).alias("_part")
+    agg = split_join(d, many, [key]).groupBy(key, part).agg(F.sort_array(F.collect_list("_m")).alias("_l"))
+    ones = F.map_from_arrays("_l", F.transform("_l", lambda _: F.lit(1)))
+    return agg.select(F.to_json(F.create_map(F.col(key).cast("string"), ones)).alias("value"))
+
+
+def write_lines(lines: DataFrame, path: str, mode: str = "overwrite") -> None:
+    lines.write.mode(mode).text(path)
+
+
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """JSON lines (the feature pairs, synonyms, rewrites).  ``mode='append'``
     reproduces the append-on-rerun behaviour of the published feature file."""
@@ -85,8 +115,8 @@ def tuple_pair_lines(df: DataFrame, key_col: str, value_col: str, keep: list[str
                               F.col(value_col).cast("string"), F.lit(")")).alias("value"))
 
 
-def training_tuple_lines(vectors: DataFrame, feature_cols: list[str], label_col: str = "label") -> DataFrame:
+def training_tuple_lines(vectors: DataFrame, feature_cols: list[str], label_col: str = "label", keep: list[str] | None = None) -> DataFrame:
     """Legacy text form of a training row: ``('f1,...,f11', label)``."""
     feats = F.concat_ws(",", *[F.col(c).cast("string") for c in feature_cols])
-    return vectors.select(F.concat(F.lit("('"), feats, F.lit("', "), F.col(label_col).cast("string"),
+    return vectors.select(*(keep or []), F.concat(F.lit("('"), feats, F.lit("', "), F.col(label_col).cast("string"),
                                    F.lit(")")).alias("value"))

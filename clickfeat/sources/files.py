@@ -191,6 +191,31 @@ def read_synonyms(spark: SparkSession, path: str) -> DataFrame:
     return parse_synonyms(read_lines(spark, path, positions=True))
 
 
+# --------------------------------------------------------------- map documents
+def parse_flat_map(lines: DataFrame, key: str, value: str, key_type: str = "string", value_type: str = "double") -> DataFrame:
+    """``{key: value, ...}`` lines (one entry or many, also a whole published document) -> (key, value)."""
+    m = lines.select(F.explode(F.from_json("value", f"map<string, {value_type}>")).alias("_k", value))
+    return m.select(F.col("_k").cast(key_type).alias(key), value)
+
+
+def parse_list_map(lines: DataFrame, key: str = "campaign_id", item: str = "ad_id", key_type: str = "string") -> DataFrame:
+    """``{"chunk": k, "map": {key: [item, ...]}}`` lines, or plain documents ``{key: [...]}``, -> (key, item, idx)."""
+    kind = "map<string, array<bigint>>"
+    j, whole = F.from_json("value", f"chunk bigint, map {kind}"), F.from_json("value", kind)
+    m = lines.select(F.coalesce(j["chunk"], F.lit(0)).alias("_k"), F.when(j["map"].isNotNull(), j["map"]).otherwise(whole).alias("m"))
+    c = m.select("_k", F.explode("m").alias("_key", "_items"))
+    before = Window.partitionBy("_key").orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)      # one number per chunk
+    n = c.select("_key", "_k", F.coalesce(F.sum(F.size("_items")).over(before), F.lit(0)).alias("_before"))
+    rows = c.join(n, ["_key", "_k"]).select("_key", "_before", F.posexplode("_items").alias("_i", item))
+    return rows.select(F.col("_key").cast(key_type).alias(key), item, (F.col("_before") + F.col("_i")).cast("bigint").alias("idx"))
+
+
+def parse_set_map(lines: DataFrame, key: str = "query_group_id", member: str = "query", key_type: str = "bigint") -> DataFrame:
+    """``{key: {member: 1, ...}}`` lines or documents -> (key, member)."""
+    m = lines.select(F.explode(F.from_json("value", "map<string, map<string, int>>")).alias("_k", "_m"))
+    return m.select(F.col("_k").cast(key_type).alias(key), F.explode(F.map_keys("_m")).alias(member))
+
+
 # --------------------------------------------------------------- nested map documents
 NESTED_MAP = "map<string, map<string, array<bigint>>>"
 
