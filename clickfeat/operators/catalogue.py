@@ -16,7 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from clickfeat.functions.text import tokens
-from clickfeat.operators.lookup import split_join
+from clickfeat.operators.lookup import sized_join, split_join
+from clickfeat.session import materialize
 
 G, C, A = "query_group_id", "campaign_id", "ad_id"
 
@@ -77,9 +78,9 @@ def group_relevance(ads: DataFrame) -> DataFrame:
 def ad_weights(ads: DataFrame) -> DataFrame:
     """Each ad's share of its (group, campaign) relevance; a zero total leaves the
     raw score.  Columns: group, campaign, ad_id, pos, relevance, weight."""
-    s = scored(ads).select(G, C, A, "pos", "relevance")
+    s = materialize(scored(ads).select(G, C, A, "pos", "relevance"), "scored")
     tot = s.groupBy(G, C).agg(F.sum("relevance").alias("_t"))
-    return (split_join(s, tot, [G, C])
+    return (sized_join(s, tot, [G, C], source=s)
              .withColumn("weight", F.when(F.col("_t") > 0, F.col("relevance") / F.col("_t"))
                                     .otherwise(F.col("relevance")))
              .drop("_t"))
@@ -88,9 +89,9 @@ def ad_weights(ads: DataFrame) -> DataFrame:
 def campaign_weights(ads: DataFrame) -> DataFrame:
     """Each campaign's share of its group's relevance; zero total leaves the raw
     campaign total.  Columns: group, campaign, first_pos, n_ads, campaign_total, weight."""
-    camp = campaign_relevance(ads)
+    camp = materialize(campaign_relevance(ads), "campaign_relevance")
     grp = camp.groupBy(G).agg(F.sum("campaign_total").alias("_gt"))
-    return (split_join(camp, grp, [G])
+    return (sized_join(camp, grp, [G], source=camp)
                 .withColumn("weight", F.when(F.col("_gt") > 0, F.col("campaign_total") / F.col("_gt"))
                                        .otherwise(F.col("campaign_total")))
                 .drop("_gt"))

@@ -4,7 +4,7 @@ and query x ad.
 ``all_counters`` reads the log once.  The three kinds that are part of (query, campaign, ad) are not
 counted on raw rows: one GROUPING SETS aggregate counts device ips, device ids and
 (query, campaign, ad) -- FileScan -> Expand(x3) -> partial HashAggregate -> Exchange -> final
-HashAggregate -- and is written once; ad, query x campaign and query x ad are then added up from
+HashAggregate; ad, query x campaign and query x ad are then added up by a second aggregate from
 its (query, campaign, ad) rows, of which there are as many as different triples.  The partial
 (map-side) aggregates emit at most one row per key per task, so a key holding a third of the
 log is pre-aggregated before the shuffle and never lands whole in one task.
@@ -16,8 +16,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from clickfeat.session import materialize
-
 KEY_COLS = ["device_ip", "device_id", "query", "campaign_id", "ad_id"]
 
 # kind -> grouping columns
@@ -57,22 +55,23 @@ LATTICE_KINDS = ["ad", "query_campaign", "query_ad"]
 def _lattice(c: DataFrame, measures: list, sums: list, extra: list[str]) -> DataFrame:
     """Tall table by the lattice.  ``measures``: aggregates of raw rows, ``sums``: the same of their results, ``extra``: columns besides the counts."""
     level = (F.when(F.grouping("device_ip") == 0, "device_ip").when(F.grouping("device_id") == 0, "device_id").otherwise("triple"))
-    base = materialize(c.groupingSets(BASE_SETS, *KEY_COLS).agg(*measures, level.alias("level")), "counter_base", partition_by=["level"])
-    values = ["clicks", "impressions", *extra]
-    devices = base.where(F.col("level") != "triple").select(F.col("level").alias("kind"), *KEY_COLS, *values)
-    triples = base.where(F.col("level") == "triple").select("query", "campaign_id", "ad_id", *values)
-    kind = F.when(F.grouping("campaign_id") == 0, "query_campaign").when(F.grouping("query") == 0, "query_ad").otherwise("ad")
-    rest = triples.groupingSets([KIND_KEYS[k] for k in LATTICE_KINDS], "query", "campaign_id", "ad_id").agg(*sums, kind.alias("kind"))
-    rest = rest.select("kind", *[F.lit(None).cast(c.schema[k].dataType).alias(k) for k in ("device_ip", "device_id")],
-                       "query", "campaign_id", "ad_id", *values)
-    return devices.unionByName(rest)
+    base = c.groupingSets(BASE_SETS, *KEY_COLS).agg(*measures, level.alias("level"))
+
+    def row(kind, keys: list[str]):
+        return F.struct(kind.alias("kind"), *[(F.col(k) if k in keys else F.lit(None).cast(c.schema[k].dataType)).alias(k) for k in KEY_COLS])
+
+    device = row(F.col("level"), KEY_COLS[:2])
+    triple = [row(F.lit(k), KIND_KEYS[k]) for k in LATTICE_KINDS]
+    rows = base.select(F.explode(F.when(F.col("level") == "triple", F.array(*triple)).otherwise(F.array(device))).alias("r"), "clicks", "impressions", *extra)
+    rows = rows.select("r.*", "clicks", "impressions", *extra)
+    return rows.groupBy("kind", *KEY_COLS).agg(*sums)
 
 
 def all_counters(clicks: DataFrame, method: str | None = None) -> DataFrame:
     """Tall table (kind, device_ip, device_id, query, campaign_id, ad_id, clicks, impressions).
 
-    method="lattice": three sets from raw rows, the others from their result (default; writes that result).
-    method="grouping_sets": one scan, one shuffle, nothing written (the default of a stream).
+    method="lattice": three sets from raw rows, the others from their result (default).
+    method="grouping_sets": one scan, one shuffle (the default of a stream).
     method="union": five independent aggregates (five scans) -- kept for benchmarking.
     """
     c = clicks.select(*KEY_COLS, "clicked")

@@ -45,7 +45,8 @@ def alternatives(queries: DataFrame, synonyms: DataFrame, query_col: str = "quer
     q = queries.select(text.alias("query")).where(F.col("query").isNotNull())
     q = q.groupBy(query_key("query").alias("query_key")).agg(F.min("query").alias("query"))
     terms = q.select("query_key", F.posexplode(tokens("query")).alias("ti", "term"))
-    syn = synonyms.select(F.col("word").alias("term"), F.col("synonyms").alias("alts"))
+    # as a table its size is known, which decides how the terms meet it
+    syn = materialize(synonyms.select(F.col("word").alias("term"), F.col("synonyms").alias("alts")), "synonyms")
     looked = lookup_join(terms, syn, ["term"]).select("query_key", "ti", F.coalesce("alts", F.array("term")).alias("alts"))
     per_q = looked.groupBy("query_key").agg(F.array_sort(F.collect_list(F.struct("ti", "alts"))).alias("_l"))
     return per_q.select("query_key", F.transform("_l", lambda s: s["alts"]).alias("lists"))

@@ -65,7 +65,7 @@ def weighted_buckets(items: DataFrame, keys: list[str], order_col: str, weight_c
     b = (run.join(last, list(keys) + ["_pch"], "left")
             .withColumn("lo", F.coalesce("_prev", "_lasthi", F.lit(0.0))))
     summary = b.groupBy(*keys).agg(F.max("hi").alias("total"), F.count(F.lit(1)).alias("nbins"))
-    return split_join(b.drop("_ch", "_ct", "_cb", "_pch", "_prev", "_lasthi"), summary, list(keys))
+    return sized_join(b.drop("_ch", "_ct", "_cb", "_pch", "_prev", "_lasthi"), summary, list(keys), source=items)
 
 
 def fold_cycles(u, total):
