@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from clickfeat.plans import stages
 from clickfeat.sources.fixtures import ad_view, click_view
+from clickfeat.sinks.files import read_feature_store
 from conftest import SF_SMALL
 
 
@@ -27,7 +28,7 @@ def test_stages_end_to_end(spark, tmp_dir):
     n = click_view(spark, SF_SMALL).count()
     assert spark.read.parquet(os.path.join(out, "clicks_rejected")).count() == 0
     assert spark.read.parquet(os.path.join(out, "training_vectors")).count() == n
-    store = spark.read.parquet(os.path.join(out, "feature_store", "v=0"))
+    store = read_feature_store(spark, os.path.join(out, "feature_store"))
     assert store.where("feature_key LIKE 'dipi_%'").agg(F.sum("feature_value")).first()[0] == n
     w = spark.read.json(os.path.join(out, "lr_weights_json")).first()
     assert len(w.weights) == 11 and w.bias == 0.0
