@@ -5,15 +5,19 @@ fingerprints link at ``max_bits`` or fewer differing bits.  The bits are cut int
 ``max_bits // 2 + 1`` blocks, so two linked fingerprints differ in at most one bit within
 at least one block; each block has its own vantage-point tree.
 
-A tree has ``depth`` vantage points; a node's branches are the distances from its vantage
-point, so a leaf (a shard) is the list of a fingerprint's distances to the vantage points.
+Every node of a tree has a vantage point of its own, chosen among the fingerprints of a sample that reach
+it; a node's branches are the distances (within the block) from it.  A branch is a leaf, a shard, once it is expected to
+hold at most ``leaf_rows`` fingerprints, so trees deepen with the input.
 By the triangle inequality a neighbour within one bit lies on the same branch or the next
-one at every level; since one changed bit changes every distance by exactly one, it lies in
-the same leaf or in one where every distance differs by one.  Every fingerprint therefore has
+one; since one changed bit changes every distance by exactly one, it lies in
+the same leaf or on a branch beside it at every node.  Every fingerprint therefore has
 one home leaf and visits the boundary-overlapping leaves whose first distance is one more
-(the others are visited from the opposite side).  The task of a leaf compares its home
-fingerprints with each other and with its visitors exactly, over all 64 bits, and reports only
-a spanning forest of the links it finds, never all pairs of a group.  Leaves beyond
+(the others are visited from the opposite side).
+
+The task of a leaf goes on in the same way on its own rows: a larger leaf gets a tree of its own over the block, and rows that
+are equal within the block one over blocks of the remaining bits, until LOCAL_ROWS are left.  These are compared
+exactly, over all 64 bits, and only
+a spanning forest of the links is reported, never all pairs of a group.  Leaves beyond
 ``leaf_rows`` are cut into blocks of rows.  Components come from repeated minimum labels with
 pointer jumping; every round is a written table.
 
@@ -38,9 +42,12 @@ SHINGLE = 4
 MAX_BITS = 4
 #: Home rows of a leaf's block.
 LEAF_ROWS = 4096
-#: Distinct fingerprints (by hash order) on which the vantage points are chosen; a fixed bound.
-SAMPLE = 4096
-MAX_DEPTH = 5
+#: Rows of a task that are compared without a tree of their own.
+LOCAL_ROWS = 512
+#: Distinct fingerprints (by hash order) on which the trees are built: SAMPLED per expected leaf, MOST_SAMPLE at most.
+SAMPLED, MOST_SAMPLE = 16, 1 << 18
+#: Vantage points tried per node, and sampled fingerprints below which a node is not split.
+TRIALS, LEAST_SEEN = 12, 8
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -70,55 +77,103 @@ def _fingerprints(shingle: int):
     return run
 
 
+class Tree:
+    """A vantage-point tree over the bits of ``mask``; leaves are numbered from ``first``."""
+
+    def __init__(self, seen: np.ndarray, mask: int, rows: int, leaf_rows: int, first: int = 0, seed: int = 1):
+        self.mask = np.uint64(mask)
+        width = mask.bit_count()
+        rng = np.random.default_rng(seed)
+        points, children, leaves = [], [], first
+        todo = [(seen, None, 0)]                       # the sample at a node, and the place that names it
+        self.root = -1 - leaves                        # nodes are 0 and more, leaf i is -1 - i
+        while todo:
+            own, parent, ring = todo.pop()
+            part = own & self.mask
+            if len(own) < LEAST_SEEN or len(own) / len(seen) * rows <= leaf_rows or (part == part[0]).all():
+                name, leaves = -1 - leaves, leaves + 1
+            else:
+                name = len(points)
+                some = part[rng.integers(0, len(part), TRIALS)]
+                far = np.bitwise_count(part[None, :] ^ some[:, None])
+                load = [float((np.bincount(x, minlength=1).astype(float) ** 2).sum()) for x in far]
+                best = int(np.argmin(load))
+                points.append(some[best])
+                children.append(np.full(width + 1, 0, np.int64))
+                for d in range(width + 1):
+                    todo.append((own[far[best] == d], name, d))
+            if parent is None:
+                self.root = name
+            else:
+                children[parent][ring] = name
+        self.points = np.array(points, np.uint64)
+        self.children = np.array(children, np.int64).reshape(len(points), width + 1)
+        self.end = leaves
+
+    def _down(self, fp: np.ndarray, node: np.ndarray, move: int) -> tuple[np.ndarray, np.ndarray]:
+        """(which, next node): to the branch whose distance is ``move`` more."""
+        d = np.bitwise_count((fp ^ self.points[node]) & self.mask).astype(np.int64) + move
+        ok = np.flatnonzero((d >= 0) & (d < self.children.shape[1]))
+        return ok, self.children[node[ok], d[ok]]
+
+    def homes(self, fp: np.ndarray) -> np.ndarray:
+        node = np.full(len(fp), self.root, np.int64)
+        while len(inner := np.flatnonzero(node >= 0)):
+            node[inner] = self._down(fp[inner], node[inner], 0)[1]
+        return -1 - node
+
+    def visits(self, fp: np.ndarray, both: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """(row, leaf): the leaves besides its home that may hold a fingerprint at a distance of one; without ``both`` only those
+        whose distance from the first vantage point is one more."""
+        rows, leaves = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        who, node = np.arange(len(fp)), np.full(len(fp), self.root, np.int64)
+        moves = (1, -1) if both else (1,)
+        while len(who) and (node >= 0).any():
+            next_who, next_node = [], []
+            for move in moves:
+                ok, to = self._down(fp[who], node, move)
+                inner = to >= 0
+                next_who.append(who[ok[inner]])
+                next_node.append(to[inner])
+                rows.append(who[ok[~inner]])
+                leaves.append(-1 - to[~inner])
+            who, node, moves = np.concatenate(next_who), np.concatenate(next_node), (1, -1)
+        return np.concatenate(rows), np.concatenate(leaves)
+
+
+def cut_bits(mask: int, blocks: int) -> list[int]:
+    """The bits of ``mask`` in blocks of about equal size."""
+    bits = [i for i in range(64) if mask >> i & 1]
+    ends = [len(bits) * i // blocks for i in range(blocks + 1)]
+    return [sum(1 << i for i in bits[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True) if b > a]
+
+
 class Forest:
-    """Vantage points of every block's tree."""
+    """A tree for every block of bits."""
 
     def __init__(self, max_bits: int, sample: np.ndarray, rows: int, leaf_rows: int):
         self.max_bits = max_bits
-        blocks = max_bits // 2 + 1
-        cuts = [64 * i // blocks for i in range(blocks + 1)]
-        self.shifts = [np.uint64(a) for a in cuts[:-1]]
-        self.masks = [np.uint64((1 << (b - a)) - 1) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-        rng = np.random.default_rng(1)
-        self.points: list[list[int]] = []
-        for shift, mask in zip(self.shifts, self.masks, strict=True):
-            own = (sample >> shift) & mask
-            points: list[int] = []
-            cells = np.zeros(len(own), np.int64)
-            while len(points) < MAX_DEPTH:
-                trials = [int(x) & int(mask) for x in rng.integers(0, 1 << 63, 24, dtype=np.uint64)]
-                best = min((self._load(split := cells * 64 + np.bitwise_count(own ^ np.uint64(v))), i) for i, v in enumerate(trials))
-                points.append(trials[best[1]])
-                cells = np.unique(cells * 64 + np.bitwise_count(own ^ np.uint64(points[-1])), return_inverse=True)[1]
-                if len(own) == 0 or self._load(cells) * rows <= leaf_rows / 2:
-                    break
-            self.points.append(points)
-
-    @staticmethod
-    def _load(cells: np.ndarray) -> float:
-        """The share of all rows in the leaf of a random row."""
-        n = np.unique(cells, return_counts=True)[1] if len(cells) else np.array([1])
-        return float((n.astype(float) ** 2).sum() / max(1, n.sum()) ** 2)
+        self.trees: list[Tree] = []
+        for mask in cut_bits((1 << 64) - 1, max_bits // 2 + 1):
+            self.trees.append(Tree(sample, mask, rows, leaf_rows, self.trees[-1].end if self.trees else 0) if len(sample) else Tree(np.zeros(1, np.uint64), mask, 0, 1))
+        self.masks = [int(t.mask) for t in self.trees]
+        self.ends = np.array([t.end for t in self.trees])
+
+    def mask_of(self, leaf: int) -> int:
+        return self.masks[int(np.searchsorted(self.ends, leaf, "right"))]
 
     def visits(self, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(leaf, fingerprint, at home) of all leaves that the fingerprints are in or visit."""
         leaf, who, home = [], [], []
-        for b, points in enumerate(self.points):
-            own = (fp >> self.shifts[b]) & self.masks[b]
-            d = [np.bitwise_count(own ^ np.uint64(v)).astype(np.int64) for v in points]
-            base = np.int64(b)
-            moves = [[0] * len(points)]
+        for t in self.trees:
+            leaf.append(t.homes(fp))
+            who.append(fp)
+            home.append(np.ones(len(fp), bool))
             if self.max_bits > 0:
-                moves += [[1] + [1 if m >> i & 1 else -1 for i in range(len(points) - 1)] for m in range(1 << (len(points) - 1))]
-            for no, move in enumerate(moves):
-                code = np.full(len(fp), base)
-                fits = np.ones(len(fp), bool)
-                for x, step in zip(d, move, strict=True):
-                    code = code * 128 + (x + step + 1)
-                    fits &= x + step >= 0
-                leaf.append(code[fits])
-                who.append(fp[fits])
-                home.append(np.full(int(fits.sum()), no == 0))
+                rows, to = t.visits(fp)
+                leaf.append(to)
+                who.append(fp[rows])
+                home.append(np.zeros(len(rows), bool))
         return np.concatenate(leaf), np.concatenate(who), np.concatenate(home)
 
 
@@ -155,13 +210,72 @@ def link(left: np.ndarray, right: np.ndarray, whole: bool, max_bits: int) -> tup
     return nodes[a], nodes[b]
 
 
-def _leaves(max_bits: int):
+def near(left: np.ndarray, right: np.ndarray, whole: bool, max_bits: int, mask: int, equal: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """``link`` for many rows: of pairs that differ in at most one bit of ``mask``.  The bits of ``equal`` are the same in all rows.
+
+    A tree over the bits of ``mask`` deals the rows into leaves; rows that are equal there are dealt on by blocks of the remaining
+    bits, in at least one of which a pair differs in one bit at most."""
+    if len(left) + len(right) <= LOCAL_ROWS or not len(left):
+        return link(left, right, whole, max_bits)
+    every = np.concatenate([left, right])
+    if ((every ^ every[0]) & np.uint64(mask) == 0).all():
+        return _rest(left, right, whole, max_bits, equal | mask)
+    return _dealt(left, right, whole, max_bits, mask, equal)
+
+
+def _dealt(left: np.ndarray, right: np.ndarray, whole: bool, max_bits: int, mask: int, equal: int) -> tuple[np.ndarray, np.ndarray]:
+    tree = Tree(left, mask, len(left), LOCAL_ROWS // 2)
+    if tree.root < 0:                                  # one leaf
+        if len(left) + len(right) > LOCAL_ROWS and ((left ^ left[0]) & np.uint64(mask) == 0).all():
+            return _rest(left, right, whole, max_bits, equal | mask)
+        return link(left, right, whole, max_bits)
+    rows, leaf, role = [left], [tree.homes(left)], [np.zeros(len(left), np.int8)]
+    if max_bits and whole:
+        who, to = tree.visits(left)
+        rows.append(left[who])
+        leaf.append(to)
+        role.append(np.ones(len(who), np.int8))
+    if len(right):
+        who, to = tree.visits(right, both=True) if max_bits else (np.empty(0, np.int64),) * 2
+        rows += [right, right[who]]
+        leaf += [tree.homes(right), to]
+        role += [np.ones(len(right) + len(who), np.int8)]
+    rows, leaf, role = np.concatenate(rows), np.concatenate(leaf), np.concatenate(role)
+    order = np.lexsort((role, leaf))
+    rows, leaf, role = rows[order], leaf[order], role[order]
+    cuts = np.flatnonzero(np.append(True, leaf[1:] != leaf[:-1])).tolist() + [len(leaf)]
+    a, b = [np.empty(0, np.uint64)], [np.empty(0, np.uint64)]
+    for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+        m = x + int(np.searchsorted(role[x:y], 1))
+        if m == x:
+            continue                                   # visitors alone
+        own, other = rows[x:m], rows[m:y]
+        if y - x > LOCAL_ROWS and ((own ^ own[0]) & np.uint64(mask) == 0).all():
+            # home rows that are equal here, and visitors a bit away: the remaining bits tell them apart
+            i, j = _rest(own, other, whole, max_bits, equal | mask)
+        else:
+            i, j = link(own, other, whole, max_bits)
+        a.append(i)
+        b.append(j)
+    return np.concatenate(a), np.concatenate(b)
+
+
+def _rest(left: np.ndarray, right: np.ndarray, whole: bool, max_bits: int, equal: int) -> tuple[np.ndarray, np.ndarray]:
+    """By blocks of the bits that are not in ``equal``: a pair within ``max_bits`` differs in one bit at most of one of them."""
+    rest = ((1 << 64) - 1) & ~equal
+    if not rest:
+        return link(left, right, whole, max_bits)
+    got = [_dealt(left, right, whole, max_bits, part, equal) for part in cut_bits(rest, max_bits // 2 + 1)]
+    return np.concatenate([x for x, _ in got]), np.concatenate([y for _, y in got])
+
+
+def _leaves(max_bits: int, forest: Forest):
     """Rows come ordered by (leaf, i, j); compares each block of a leaf."""
-    def block(cols) -> tuple[np.ndarray, np.ndarray]:
+    def block(leaf: int, cols) -> tuple[np.ndarray, np.ndarray]:
         fp, role = (np.concatenate(x) for x in cols)
         whole = bool((role == 2).any())
         left, right = np.unique(fp[role != 1]), np.unique(fp[role == 1])
-        a, b = link(left, right, whole, max_bits)
+        a, b = near(left, right, whole, max_bits, forest.mask_of(leaf))
         keep = a != b
         return a[keep], b[keep]
 
@@ -183,7 +297,7 @@ def _leaves(max_bits: int):
                     continue
                 if (key := tuple(keys[x])) != at:
                     if at is not None:
-                        out.append(block(held))
+                        out.append(block(at[0], held))
                     at, held = key, ([], [])
                 held[0].append(fp[x:y])
                 held[1].append(role[x:y])
@@ -191,7 +305,7 @@ def _leaves(max_bits: int):
                 yield rows()
                 out = []
         if at is not None:
-            out.append(block(held))
+            out.append(block(at[0], held))
         if out:
             yield rows()
 
@@ -202,7 +316,8 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, leaf_rows: int = LEAF_ROWS)
     """Spanning links (a, b) between the distinct fingerprints in column fp, through the forest."""
     spark = fps.sparkSession
     rows = fps.count()
-    sample = fps.orderBy(F.xxhash64("fp")).limit(SAMPLE).collect()
+    size = min(MOST_SAMPLE, max(SAMPLED * LEAST_SEEN, SAMPLED * rows // leaf_rows))
+    sample = fps.orderBy(F.xxhash64("fp")).limit(size).collect()
     forest = Forest(max_bits, np.array([r["fp"] for r in sample], np.int64).view(np.uint64), rows, leaf_rows)
     visits = common.table(fps.select("fp").mapInArrow(_visits(forest), "leaf long, fp long, home boolean"), "simhash-visits")
     # leaves beyond limit rows are cut; limit follows the input, so they are fewer than 10,000 and their list is broadcast
@@ -225,7 +340,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, leaf_rows: int = LEAF_ROWS)
     dealt = v.select("leaf", "fp", F.explode(places).alias("p")).select("leaf", "p.i", "p.j", "fp", "p.role")
     n = common.partitions(spark)
     ordered = dealt.repartition(n, "leaf", "i", "j").sortWithinPartitions("leaf", "i", "j")
-    return ordered.mapInArrow(_leaves(max_bits), "a long, b long")
+    return ordered.mapInArrow(_leaves(max_bits, forest), "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:

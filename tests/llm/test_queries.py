@@ -16,7 +16,7 @@ def test_names_and_entry():
     spec.loader.exec_module(m)
     names = set(m.queries())
     assert set(queries.QUERIES) <= names and "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert set(queries.ORACLE) <= set(m.oracle_sql())
 

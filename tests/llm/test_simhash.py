@@ -137,3 +137,98 @@ def test_a_tight_group_gives_a_spanning_forest_not_all_pairs():
     x = np.arange(16, dtype=np.uint64)                 # all within four bits
     a, _ = simhash.link(x, np.zeros(0, np.uint64), True, 4)
     assert len(a) == 15
+
+
+def components_of(fp, pairs):
+    at = {int(x): i for i, x in enumerate(fp)}
+    root = list(range(len(fp)))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+    for a, b in pairs:
+        root[find(at[a])] = find(at[b])
+    return [find(i) for i in range(len(fp))]
+
+
+def plain_pairs(fp, bits):
+    out = []
+    for i in range(0, len(fp), 500):
+        for r, c in zip(*np.nonzero(np.bitwise_count(fp[i:i + 500, None] ^ fp[None, :]) <= bits), strict=True):
+            if i + r < c:
+                out.append((int(fp[i + r]), int(fp[c])))
+    return out
+
+
+def partition(labels):
+    first = {}
+    return [first.setdefault(x, i) for i, x in enumerate(labels)]
+
+
+def test_local_trees_find_all_links(monkeypatch):
+    """Rows of one leaf, also equal ones within the block and tight clusters; few rows are compared plainly."""
+    monkeypatch.setattr(simhash, "LOCAL_ROWS", 24)
+    rng = np.random.default_rng(4)
+    mask = simhash.cut_bits((1 << 64) - 1, 3)[1]
+    for kind in range(4):
+        base = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
+        if kind == 1:                                  # equal in the block
+            base = base & ~np.uint64(mask)
+        fps = [base]
+        for _ in range(5):
+            x = fps[-1].copy()
+            for _ in range(int(rng.integers(1, 4))):
+                x ^= np.uint64(1) << rng.integers(0, 64, len(x)).astype(np.uint64)
+            fps.append(x)
+        fp = np.concatenate(fps)
+        if kind == 2:
+            fp = np.concatenate([fp[:200], base[0] ^ rng.integers(0, 64, 64, dtype=np.uint64)])
+        fp = np.unique(fp)
+        for bits in (0, 2, 4):
+            blocks = simhash.cut_bits((1 << 64) - 1, bits // 2 + 1)
+            got = []
+            for part in blocks:
+                a, b = simhash.near(fp, fp[:0], True, bits, part)
+                got += list(zip(a.tolist(), b.tolist(), strict=True))
+            want = plain_pairs(fp, bits)
+            assert all((a ^ b).bit_count() <= bits for a, b in got)
+            assert partition(components_of(fp, got)) == partition(components_of(fp, want)), (kind, bits)
+            left, right = fp[::2], fp[1::2]            # two sides
+            sides = [p for part in blocks for p in zip(*(x.tolist() for x in simhash.near(left, right, False, bits, part)), strict=True)]
+            own = set(left.tolist())
+            across = [(a, b) for a, b in want if (a in own) != (b in own)]
+            assert partition(components_of(fp, sides)) == partition(components_of(fp, across)), (kind, bits)
+
+
+def test_trees_deepen_with_the_input():
+    """Visits grow far slower than the input, and with them the comparisons a fingerprint."""
+    rng = np.random.default_rng(7)
+    cost = []
+    for n in (50_000, 200_000, 800_000):
+        fp = rng.integers(0, 1 << 64, n, dtype=np.uint64)
+        f = simhash.Forest(4, fp[: 16 * n // 512], n, 512)
+        met = 0
+        for t in f.trees:
+            size = np.bincount(t.homes(fp), minlength=t.end)
+            some = fp[:2000]
+            met += size[t.homes(some)].sum() + size[t.visits(some)[1]].sum()
+        cost.append(met / 2000)
+    assert cost[2] < 4.5 * cost[0] and cost[2] < 0.05 * 800_000, cost       # sixteen times the input
+    assert len({int(x) for t in f.trees for x in t.points}) > 300           # a vantage point per node
+
+
+def test_a_neighbour_is_at_home_or_visited():
+    rng = np.random.default_rng(8)
+    fp = rng.integers(0, 1 << 64, 20_000, dtype=np.uint64)
+    for mask in simhash.cut_bits((1 << 64) - 1, 3):
+        t = simhash.Tree(fp, mask, len(fp), 64)
+        bits = [i for i in range(64) if mask >> i & 1]
+        x = fp[:500]
+        y = x ^ np.array([1 << bits[i % len(bits)] for i in range(500)], np.uint64)
+        hx, hy = t.homes(x), t.homes(y)
+        one, other = ({(int(r), int(z)) for r, z in zip(*t.visits(v), strict=True)} for v in (x, y))
+        assert all(hx[i] == hy[i] or (i, int(hy[i])) in one or (i, int(hx[i])) in other for i in range(500))
+        every = {(int(r), int(z)) for r, z in zip(*t.visits(x, both=True), strict=True)}
+        assert all(hx[i] == hy[i] or (i, int(hy[i])) in every for i in range(500))
