@@ -25,6 +25,7 @@ from pyspark.ml.feature import HashingTF
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickfeat import session
 from clickfeat.llm import common
 
 FEATURES = 1 << 13
@@ -214,8 +215,8 @@ def fit(spark: SparkSession, docs: DataFrame):
     counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     weight = F.element_at(F.array(*[F.lit(1.0 / max(1, counts.get(float(i), 1))) for i in range(len(families))]), (F.col("label") + 1).cast("int")) * 100
     rows = rows.withColumn("weight", weight)
-    fitted = lambda d: LogisticRegression(maxIter=40, regParam=1e-3, elasticNetParam=0.5, weightCol="weight", family="multinomial").fit(d)
-    model = fitted(rows.filter("fold <> 0"))
+    lr = LogisticRegression(maxIter=40, regParam=1e-3, elasticNetParam=0.5, weightCol="weight", family="multinomial")
+    model = session.detached(lr.fit(rows.filter("fold <> 0")))
     seen = model.transform(rows.filter("fold = 0 and label = 0")).select((1 - F.element_at(as_array("probability"), 1)).alias("p"))
     reached = seen.approxQuantile("p", [1 - CALIBRATED], 0.0)
     rows.unpersist()

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickfeat.functions.random import hash_uniform
 from clickfeat.schemas import FEATURE_COLUMNS
-from clickfeat.session import checkpoint_dir, estimated_bytes, materialize
+from clickfeat.session import checkpoint_dir, detached, estimated_bytes, materialize
 
 # Published solver settings.
 LR_MAX_ITER = 100
@@ -49,10 +49,10 @@ def split_flag(df: DataFrame, key_cols: list[str], seed: int = 42, share: float
 
 
 def fit_lr(train: DataFrame) -> LogisticRegressionModel:
-    """Binary logistic regression by L-BFGS, no intercept, no regularisation."""
+    """Binary logistic regression by L-BFGS, no intercept, no regularisation.  The model comes without its training summary."""
     lr = LogisticRegression(maxIter=LR_MAX_ITER, regParam=0.0, elasticNetParam=0.0, fitIntercept=False,
                             tol=LR_TOL, featuresCol="features", labelCol="label")
-    return lr.fit(train)
+    return detached(lr.fit(train))
 
 
 def fit_gbt(train: DataFrame, max_iter: int = GBT_MAX_ITER, seed: int = 42) -> GBTClassificationModel:

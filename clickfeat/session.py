@@ -91,6 +91,18 @@ def materialize(df, name: str, partition_by: list[str] | None = None):
     return spark.read.parquet(path)
 
 
+def detached(model):
+    """Write a fitted ``pyspark.ml`` model below the reliable checkpoint folder and read it back.
+
+    A model fresh from ``fit`` holds its training summary, and with that the session, which goes out with every task
+    that predicts.  A session that has observed a metric cannot be serialised, so predictions would fail from then on."""
+    import uuid
+
+    path = f"{checkpoint_dir(SparkSession.active()).rstrip('/')}/models/{type(model).__name__}-{uuid.uuid4().hex}"
+    model.write().save(path)
+    return type(model).load(path)
+
+
 def release_materialized() -> int:
     """Delete the intermediate tables this process wrote (call when the
     DataFrames built on them are no longer needed).  Returns how many."""

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clickfeat.operators import models as ml
 from clickfeat.operators.enrichment import training_vectors
+from clickfeat.schemas import FEATURE_COLUMNS
 from clickfeat.sources.fixtures import click_view
 from conftest import SF_SMALL
 
@@ -72,3 +73,15 @@ def test_partitions_follow_the_data_not_the_cores(spark, tmp_dir, monkeypatch):
     assert ml.partitions_for(table) == ml.MODEL_PARTITIONS
     monkeypatch.setattr(ml, "MODEL_BYTES", 1000)
     assert ml.partitions_for(table) > 3 * ml.MODEL_PARTITIONS
+
+
+def test_predictions_work_in_a_session_that_has_observed(spark):
+    from pyspark.sql import Observation
+    rows = spark.range(200).select(*[((F.col("id") * (i + 3)) % (17 + i)).alias(c) for i, c in enumerate(FEATURE_COLUMNS)],
+                                   (F.xxhash64("id") % 2 == 0).cast("int").alias("label"))
+    seen = Observation("seen")
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 3
+    model = ml.fit_lr(ml.assemble(rows))
+    assert not model.hasSummary
+    assert ml.test_error(model.transform(ml.assemble(rows))).first().n_test == 200
