@@ -12,7 +12,7 @@ from clickfeat.operators.feature_store import feature_store
 from clickfeat.plans.registry import register, sql_with
 from clickfeat.session import checkpoint_dir
 from clickfeat.sinks.delta_store import DeltaStore
-from clickfeat.sources.fixtures import click_view
+from clickfeat.sources.fixtures import click_star, click_view
 
 MEASURES_SQL = "CAST(sum(clicked) AS BIGINT) AS clicks, count(*) AS impressions"
 
@@ -119,7 +119,7 @@ LEFT JOIN (SELECT query, ad_id, CAST(sum(clicked) AS BIGINT) clicks, count(*) im
 
 @register("training_vectors", sql_with(["click"], TRAINING_SQL_BODY))
 def q_training_vectors(spark, sf_dir):
-    return training_vectors(click_view(spark, sf_dir))
+    return training_vectors(click_star(spark, sf_dir))
 
 
 _KEYS = {"ip": "device_ip", "device": "device_id", "ad": "ad_id", "qc": "query, campaign_id", "qa": "query, ad_id"}
@@ -134,4 +134,4 @@ _FOLD = "least(CAST(floor((('0x' || substr(md5('42|fold|' || CAST(session_id AS
   CAST(CASE WHEN cat_match = 1 THEN 1000000 ELSE 0 END AS BIGINT) AS match_feature, clicked AS label
 FROM folded""", [f"folded AS (SELECT *, {_FOLD} AS fold FROM click)"]))
 def q_out_of_fold(spark, sf_dir):
-    return out_of_fold_vectors(click_view(spark, sf_dir), ["session_id", "device_id", "ad_id"])
+    return out_of_fold_vectors(click_star(spark, sf_dir), ["session_id", "device_id", "ad_id"])

@@ -16,7 +16,7 @@ from clickfeat.sinks import files as sinks
 from clickfeat.sinks.files import clicks_csv_lines, training_tuple_lines, tuple_pair_lines
 from clickfeat.sources.files import (blank, parse_clicks, parse_flat_map, parse_list_map, parse_set_map, parse_training_points,
                                      parse_tuple_pairs, parse_users, rejected_clicks, valid_click_lines)
-from clickfeat.sources.fixtures import ad_view, click_view, user_view
+from clickfeat.sources.fixtures import ad_view, click_star, click_view, user_view
 
 CLICK_CSV_SQL = ("concat_ws(',', device_ip, device_id, session_id, query, ad_id, campaign_id, cat_match, clicked)")
 
@@ -125,7 +125,7 @@ TRAIN_POINTS_SQL = ("SELECT CAST(label AS DOUBLE) AS label, "
 
 @register("scan_training", sql_with(["click"], TRAIN_POINTS_SQL, [f"tv AS ({TRAINING_SQL_BODY})"]))
 def q_scan_training(spark, sf_dir):
-    tv = training_vectors(click_view(spark, sf_dir))
+    tv = training_vectors(click_star(spark, sf_dir))
     return parse_training_points(training_tuple_lines(tv, FEATURE_COLUMNS))
 
 
@@ -134,7 +134,7 @@ def q_scan_training(spark, sf_dir):
                                      [f"tv AS ({TRAINING_SQL_BODY})"]))
 def q_parse_features(spark, sf_dir):
     """Training lines of which some (every ad whose id is a multiple of 97) hold a feature that is no number."""
-    tv = training_vectors(click_view(spark, sf_dir))
+    tv = training_vectors(click_star(spark, sf_dir))
     lines = training_tuple_lines(tv, FEATURE_COLUMNS, keep=["ad_id"])
     broken = F.regexp_replace("value", r"^\('[^,]*", "('n/a")
     lines = lines.withColumn("value", F.when(F.col("ad_id") % 97 == 0, broken).otherwise(F.col("value")))

@@ -10,7 +10,7 @@ from clickfeat.plans.queries_counters import TRAINING_SQL_BODY
 from clickfeat.plans.queries_sampling import U
 from clickfeat.plans.registry import register, sql_with
 from clickfeat.schemas import FEATURE_COLUMNS
-from clickfeat.sources.fixtures import click_view
+from clickfeat.sources.fixtures import click_star
 
 KEY = ["session_id", "device_id", "ad_id"]
 # Fixed scoring weights for the SQL-checkable scorer (feature order of FEATURE_COLUMNS).
@@ -22,7 +22,7 @@ TV_CTE = [f"tv AS ({TRAINING_SQL_BODY})"]
 
 
 def _vectors(spark, sf_dir):
-    return training_vectors(click_view(spark, sf_dir))
+    return training_vectors(click_star(spark, sf_dir))
 
 
 @register("split_70_30", sql_with(["click"], f"SELECT session_id, device_id, ad_id, label, {SPLIT_SQL} AS is_train FROM tv",

@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickfeat.operators.indexing import with_global_index
+from clickfeat.operators.lookup import within
+from clickfeat.operators.star import ClickStar
 from clickfeat.session import cut_lineage
 
 
@@ -53,24 +55,28 @@ def spread_scan(df: DataFrame) -> DataFrame:
     return df.repartition(n) if df.rdd.getNumPartitions() < n else df
 
 
-def click_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = spread_scan(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_returnflag", "l_linestatus"))
+def click_star(spark: SparkSession, sf_dir: str) -> ClickStar:
+    """The click view as its three parts (see operators/star.py)."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_returnflag", "l_linestatus")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
-    j = (li.join(o, li.l_orderkey == o.o_orderkey)
-           .join(c, F.col("o_custkey") == c.c_custkey)
-           .join(p, F.col("l_partkey") == p.p_partkey))
-    return j.select(
-        F.col("c_nationkey").alias("device_ip"),
-        F.col("o_custkey").alias("device_id"),
+    facts = (li if not within(o) else spread_scan(li)).select(
         F.col("l_orderkey").alias("session_id"),
-        F.col("p_name").alias("query"),
         F.col("l_partkey").alias("ad_id"),
-        F.col("p_brand").alias("campaign_id"),
         (F.col("l_linestatus") == "F").cast("int").alias("cat_match"),
         (F.col("l_returnflag") == "R").cast("int").alias("clicked"),
     )
+    return ClickStar(
+        facts,
+        o.select(F.col("o_orderkey").alias("session_id"), F.col("o_custkey").alias("device_id")),
+        c.select(F.col("c_custkey").alias("device_id"), F.col("c_nationkey").alias("device_ip")),
+        p.select(F.col("p_partkey").alias("ad_id"), F.col("p_name").alias("query"), F.col("p_brand").alias("campaign_id")),
+    )
+
+
+def click_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return click_star(spark, sf_dir).rows()
 
 
 def user_view(spark: SparkSession, sf_dir: str) -> DataFrame:
