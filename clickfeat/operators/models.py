@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.ml.classification import (GBTClassificationModel, GBTClassifier, LogisticRegression,
                                        LogisticRegressionModel)
 from pyspark.ml.feature import VectorAssembler
@@ -48,11 +49,23 @@ def split_flag(df: DataFrame, key_cols: list[str], seed: int = 42, share: float
     return df.withColumn("is_train", (hash_uniform(seed, F.lit("split"), *key_cols) < share).cast("int"))
 
 
+def _fitted(estimator, train: DataFrame):
+    """``estimator`` fitted on ``train``, whose rows are dealt and sorted once: a solver takes several passes over its
+    input, each of which would deal and sort them again.  On disk, so that the solver's own tables have the memory."""
+    if train.storageLevel.useDisk or train.storageLevel.useMemory:
+        return estimator.fit(train)
+    kept = train.persist(StorageLevel.DISK_ONLY)
+    try:
+        return estimator.fit(kept)
+    finally:
+        kept.unpersist()
+
+
 def fit_lr(train: DataFrame) -> LogisticRegressionModel:
     """Binary logistic regression by L-BFGS, no intercept, no regularisation.  The model comes without its training summary."""
     lr = LogisticRegression(maxIter=LR_MAX_ITER, regParam=0.0, elasticNetParam=0.0, fitIntercept=False,
                             tol=LR_TOL, featuresCol="features", labelCol="label")
-    return detached(lr.fit(train))
+    return detached(_fitted(lr, train))
 
 
 def fit_gbt(train: DataFrame, max_iter: int = GBT_MAX_ITER, seed: int = 42) -> GBTClassificationModel:
@@ -60,7 +73,7 @@ def fit_gbt(train: DataFrame, max_iter: int = GBT_MAX_ITER, seed: int = 42) -> G
     checkpoint_dir(train.sparkSession)
     gbt = GBTClassifier(maxIter=max_iter, maxDepth=GBT_MAX_DEPTH, stepSize=GBT_STEP, maxBins=GBT_MAX_BINS,
                         seed=seed, checkpointInterval=10, featuresCol="features", labelCol="label")
-    return gbt.fit(train)
+    return _fitted(gbt, train)
 
 
 def lr_model_row(spark: SparkSession, model: LogisticRegressionModel) -> DataFrame:

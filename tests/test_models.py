@@ -85,3 +85,17 @@ def test_predictions_work_in_a_session_that_has_observed(spark):
     model = ml.fit_lr(ml.assemble(rows))
     assert not model.hasSummary
     assert ml.test_error(model.transform(ml.assemble(rows))).first().n_test == 200
+
+
+def test_a_fit_deals_and_sorts_its_rows_once(spark):
+    rows = spark.range(300).select(F.col("id").alias("k"), (F.col("id") % 3 == 0).cast("double").alias("label"))
+    train = rows.repartition(5, "k").sortWithinPartitions("k")
+
+    class Solver:
+        def fit(self, df):
+            assert df.storageLevel.useDisk and not df.storageLevel.useMemory
+            return df.rdd.glom().map(lambda p: [r.k for r in p]).collect()
+
+    want = train.rdd.glom().map(lambda p: [r.k for r in p]).collect()
+    assert ml._fitted(Solver(), train) == want and len(want) == 5      # the same partitions in the same order
+    assert not train.storageLevel.useDisk
