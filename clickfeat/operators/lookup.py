@@ -15,16 +15,20 @@ whose other side is an aggregate on the same key.  Here:
 4. One shuffle join on (key, salt): a hot key is spread over its salts.
 
 Every salt's copy carries the same values, so the result never depends on which salt a
-row gets.  Spark's AQE skew-join split stays enabled as a second line of defence.
+row gets.  Joins of up to TASK_ROWS rows are left to AQE (with its skew-join split); those of more rows
+are dealt into one task per TASK_ROWS rows, or into as many as the session has shuffle partitions if those are more.
+What a task sorts and counts then has a bound in rows, however few those partitions are and however well the rows
+compress, which is what AQE's 64 MB are measured by.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from clickfeat.session import broadcast_limit, estimated_bytes, materialize
 
 MIN_TASK_ROWS = 20_000
+TASK_ROWS = 1_000_000
 
 
 def within(df: DataFrame, limit: int | None = None) -> bool:
@@ -32,23 +36,37 @@ def within(df: DataFrame, limit: int | None = None) -> bool:
     return 0 < estimated_bytes(df) <= (broadcast_limit(df.sparkSession) if limit is None else limit)
 
 
-def _hot(count_on: DataFrame, keys: list[str], max_hot_keys: int, salts: int) -> DataFrame:
-    """(keys, _salts) of the hot keys: fewer than ``max_hot_keys`` rows."""
+def join_tasks(spark: SparkSession, n_rows: int) -> int:
+    """Tasks of a shuffle join of ``n_rows`` rows; 0: few enough to leave that to AQE."""
+    return 0 if n_rows <= TASK_ROWS else max(-(-n_rows // TASK_ROWS), spark.sparkContext.defaultParallelism)
+
+
+def _hot(count_on: DataFrame, keys: list[str], max_hot_keys: int, salts: int) -> tuple[DataFrame, int]:
+    """(keys, _salts) of the hot keys, fewer than ``max_hot_keys`` rows, and the number of rows counted."""
     freq = materialize(count_on.groupBy(*keys).agg(F.count(F.lit(1)).alias("_f")), "key_counts")
     total = freq.agg(F.sum("_f")).first()[0] or 0
     per_task = max(MIN_TASK_ROWS, total // max_hot_keys)
     many = F.greatest(F.lit(salts), F.ceil(F.col("_f") / F.lit(per_task))).cast("int")
-    return freq.where(F.col("_f") > total / max_hot_keys).select(*keys, many.alias("_salts"))
+    return freq.where(F.col("_f") > total / max_hot_keys).select(*keys, many.alias("_salts")), total
+
+
+def _heavy(rows: DataFrame, key: str, tasks: int) -> DataFrame:
+    """(key, _salts) of the keys with more than TASK_ROWS of ``rows``.  freqItems misses none that holds more than
+    its share, so that only those it names, at most ``tasks``, are counted, and not every key."""
+    known = rows.select(key).where(F.col(key).isNotNull())
+    named = known.stat.freqItems([key], max(1 / tasks, 0.0001)).select(F.explode(f"{key}_freqItems").alias(key))
+    freq = known.join(F.broadcast(named), key).groupBy(key).agg(F.count(F.lit(1)).alias("_f"))
+    return materialize(freq.where(F.col("_f") > TASK_ROWS).select(key, F.ceil(F.col("_f") / TASK_ROWS).cast("int").alias("_salts")), "heavy_keys")
 
 
-def _spread(rows: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
+def _spread(rows: DataFrame, hot: DataFrame, keys: list[str], tasks: int = 0) -> DataFrame:
     """``rows`` with _salt: 0 for cold keys.  Rows with a null key match nothing and are dealt over all tasks."""
     hashable = [f.name for f in rows.schema.fields if not isinstance(f.dataType, T.MapType)]
     h = F.xxhash64(*[F.col(c) for c in hashable])
     lost = F.lit(False)
     for k in keys:
         lost = lost | F.col(k).isNull()
-    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(tasks, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     salt = F.when(lost, F.pmod(h, F.lit(tasks))).otherwise(F.coalesce(F.pmod(h, F.col("_salts")), F.lit(0)))
     return rows.join(F.broadcast(hot), keys, "left").withColumn("_salt", salt.cast("int")).drop("_salts")
 
@@ -62,8 +80,30 @@ def _repeated(keyed: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
 
 def _salted(rows: DataFrame, keyed: DataFrame, keys: list[str], how: str, max_hot_keys: int, salts: int,
             count_on: DataFrame | None = None) -> DataFrame:
-    hot = _hot(rows if count_on is None else count_on, keys, max_hot_keys, salts)
-    return _spread(rows, hot, keys).join(_repeated(keyed, hot, keys), keys + ["_salt"], how).drop("_salt")
+    hot, total = _hot(rows if count_on is None else count_on, keys, max_hot_keys, salts)
+    tasks = join_tasks(rows.sparkSession, total)
+    return _dealt(_spread(rows, hot, keys, tasks), _repeated(keyed, hot, keys), keys + ["_salt"], how, tasks).drop("_salt")
+
+
+def _dealt(rows: DataFrame, keyed: DataFrame, keys: list[str], how: str, tasks: int) -> DataFrame:
+    """The join in that many tasks (0: as AQE sees fit)."""
+    if tasks:
+        rows, keyed = rows.repartition(tasks, *keys), keyed.repartition(tasks, *keys)
+    return rows.join(keyed, keys, how)
+
+
+def dealt_join(rows: DataFrame, keyed: DataFrame, key: str, count_on: DataFrame | None = None) -> DataFrame:
+    """INNER JOIN of ``rows`` to ``keyed``, whose keys may repeat.  Beyond the broadcast threshold it is dealt into one task per
+    TASK_ROWS rows, and a key with more rows than that over several.  ``count_on``: rows with the same keys that are cheaper to count."""
+    count_on = rows if count_on is None else count_on
+    tasks = 0 if within(keyed) else join_tasks(rows.sparkSession, count_on.count())
+    if not tasks:
+        return rows.join(keyed, key)
+    heavy = _heavy(count_on, key, tasks)
+    if heavy.isEmpty():
+        return _dealt(rows, keyed, [key], "inner", tasks)
+    rows = _spread(rows.where(F.col(key).isNotNull()), heavy, [key], tasks)
+    return _dealt(rows, _repeated(keyed, heavy, [key]), [key, "_salt"], "inner", tasks).drop("_salt")
 
 
 def keyed_left_join(rows: DataFrame, keys: list[str], sides: list[tuple[DataFrame, list[str]]], max_hot_keys: int = 10000,
