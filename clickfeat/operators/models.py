@@ -17,6 +17,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickfeat.functions.random import hash_uniform
+from clickfeat.operators.boosting import BoostedTrees
 from clickfeat.schemas import FEATURE_COLUMNS
 from clickfeat.session import checkpoint_dir, detached, estimated_bytes, materialize
 
@@ -69,11 +70,10 @@ def fit_lr(train: DataFrame) -> LogisticRegressionModel:
 
 
 def fit_gbt(train: DataFrame, max_iter: int = GBT_MAX_ITER, seed: int = 42) -> GBTClassificationModel:
-    """Gradient-boosted trees, log loss, all features continuous."""
-    checkpoint_dir(train.sparkSession)
+    """Gradient-boosted trees, log loss, all features continuous (see operators/boosting.py)."""
     gbt = GBTClassifier(maxIter=max_iter, maxDepth=GBT_MAX_DEPTH, stepSize=GBT_STEP, maxBins=GBT_MAX_BINS,
-                        seed=seed, checkpointInterval=10, featuresCol="features", labelCol="label")
-    return _fitted(gbt, train)
+                        seed=seed, featuresCol="features", labelCol="label")
+    return _fitted(BoostedTrees(gbt), train)
 
 
 def lr_model_row(spark: SparkSession, model: LogisticRegressionModel) -> DataFrame:
